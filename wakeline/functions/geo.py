@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -11,18 +12,32 @@ from wakeline.config import Rectangle
 
 EARTH_RADIUS_KM = 6371.0  # fixed value
 EDGE_TOLERANCE = 1e-15
+BOX_MARGIN_DEG = 1e-6
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance in km. The chord term is clamped to 1 so that
     rounding at antipodal points cannot yield NaN."""
-    half_lat = F.sin((F.radians(lat2) - F.radians(lat1)) / 2)
-    half_lon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
-    chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    chord = F.least(chord, F.lit(1.0))
+    half_lat = F.pow(F.sin(F.radians(lat2 - lat1) / 2), F.lit(2))
+    half_lon = F.pow(F.sin(F.radians(lon2 - lon1) / 2), F.lit(2))
+    chord = F.least(half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon, F.lit(1.0))
     return F.lit(2 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(chord), F.sqrt(1 - chord))
 
 
+def circle_box(lat: float, lon: float, km: float) -> Rectangle | None:
+    """Smallest box holding every point within ``km``, a little widened; None where
+    the circle reaches a pole or the date line and no such box exists."""
+    angle = km / EARTH_RADIUS_KM
+    up = math.degrees(angle)
+    if abs(lat) + up >= 90:
+        return None
+    side = math.degrees(math.asin(math.sin(angle) / math.cos(math.radians(lat))))
+    if abs(lon) + side >= 180:
+        return None
+    up, side = up + BOX_MARGIN_DEG, side + BOX_MARGIN_DEG
+    return Rectangle(lat - up, lat + up, lon - side, lon + side)
+
+
 def in_rectangle(lat: Column, lon: Column, box: Rectangle) -> Column:
     return lat.between(box.lat_min, box.lat_max) & lon.between(box.lon_min, box.lon_max)
 

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULTS, Settings
+from wakeline.functions.geo import circle_box, in_rectangle
+from wakeline.functions.times import clock_text
+from wakeline.operators.once import evaluate_once
 
 # Priorities in order, rule codes, and their display titles.
 PRIORITY_RANK = {"high": 0, "medium": 1, "low": 2}
@@ -75,7 +78,12 @@ def find_alerts(
     ``carry`` names fleet columns to keep beside the alert's own."""
     ship, code = F.col(settings.vessel_key), F.col("type")
     speed, distance = F.col("speed"), F.col("distance_to_port_km")
-    hits = fleet.withColumn("type", alert_type(settings)).filter(code.isNotNull())
+    reach = max(settings.near_port_km, settings.stopped_near_port_km)
+    box = circle_box(*settings.harbour_centre, reach)
+    if box is not None:
+        # Every rule needs a short distance; the box says so in terms a scan can use.
+        fleet = fleet.filter(in_rectangle(F.col("lat"), F.col("lon"), box))
+    hits = evaluate_once(fleet, alert_type(settings), "type").filter(code.isNotNull())
     if not enabled:
         hits = hits.filter(F.lit(False))
     return hits.select(
@@ -86,7 +94,7 @@ def find_alerts(
         _message(ship, code, speed, distance).alias("message"),
         speed,
         distance.alias("distance"),
-        F.col("time_display").alias("time"),
+        clock_text(F.col("timestamp")).alias("time"),
         *carry,
     )
 

@@ -10,6 +10,7 @@ from wakeline.config import DEFAULTS, Rectangle, Settings
 from wakeline.functions.geo import in_polygon, in_rectangle
 from wakeline.functions.times import parse_utc
 from wakeline.functions.vessel import not_nan
+from wakeline.operators.once import evaluate_once
 
 MEASURES = ("lat", "lon", "speed", "heading")
 
@@ -21,7 +22,7 @@ def parse_events(records: DataFrame) -> DataFrame:
     coordinate filter removes what is unusable.
     """
     event = F.from_json(F.col("value").cast("string"), schemas.WIRE_EVENT)
-    flat = records.select(event.alias("event")).select("event.*")
+    flat = evaluate_once(records.select("value"), event, "event").select("event.*")
     return flat.withColumn("timestamp", parse_utc(F.col("timestamp")))
 
 

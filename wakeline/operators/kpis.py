@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULTS, Settings
 from wakeline.functions import vessel
+from wakeline.operators.once import evaluate_once
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -59,18 +60,18 @@ def speed_histogram(fleet: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     the last one; empty bins are left out."""
     n = settings.histogram_bins
     speeds = fleet.select("speed").filter(F.col("speed").isNotNull())
-    bounds = speeds.agg(F.struct(F.min("speed").alias("lo"), F.max("speed").alias("hi"))).scalar()
-    lo, width = bounds["lo"], (bounds["hi"] - bounds["lo"]) / n
-    index = F.when(
-        width > 0, F.least(F.floor((F.col("speed") - lo) / F.nullif(width, F.lit(0.0))) + 1, F.lit(n))
-    ).otherwise(1)
+    lo, hi = F.min("speed"), F.max("speed")
+    bounds = speeds.agg(F.struct(lo.alias("lo"), ((hi - lo) / n).alias("width"))).scalar()
+    lo, width, number = F.col("bounds.lo"), F.col("bounds.width"), F.col("bin")
+    index = F.coalesce(F.least(F.floor(F.try_divide(F.col("speed") - lo, width)) + 1, F.lit(n)), F.lit(1))
     return (
-        speeds.groupBy(index.cast("int").alias("bin"))
-        .agg(F.count("*").alias("vessels"))
+        evaluate_once(speeds, bounds, "bounds")
+        .groupBy(index.cast("int").alias("bin"))
+        .agg(F.count("*").alias("vessels"), F.min(lo).alias("lo"), F.min(width).alias("width"))
         .select(
             "bin",
-            (lo + (F.col("bin") - 1) * width).alias("bin_from"),
-            (lo + F.col("bin") * width).alias("bin_to"),
+            (F.col("lo") + (number - 1) * F.col("width")).alias("bin_from"),
+            (F.col("lo") + number * F.col("width")).alias("bin_to"),
             "vessels",
         )
         .orderBy("bin")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline import schemas
+from wakeline.operators.once import evaluate_once
 
 # The two message kinds used, and the texts and codes derived from them.
 CLASS_A, CLASS_B = "PositionReport", "StandardClassBPositionReport"
@@ -25,7 +26,7 @@ def parse_raw(records: DataFrame) -> DataFrame:
         schemas.RAW_AIS,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
     )
-    return records.withColumn("msg", msg)
+    return evaluate_once(records, msg, "msg")
 
 
 def _field(name: str) -> Column:
