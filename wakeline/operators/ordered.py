@@ -1,9 +1,11 @@
-"""Previous/next row per key that survives a key holding most of the rows.
+"""Previous/next row per key when one key may hold most of the rows.
 
-A plain ``lag`` puts a whole key into one task. Here rows are range-partitioned
-by (key, order), so a large key spreads over many partitions; the neighbour is
-found inside each partition, and only the first and last row of a key in each
-partition go through a second, small window that joins the pieces up.
+A plain ``lag`` puts a whole key into one task. Keys are therefore counted first
+(one narrow pass): the usual ones take the plain window, and rows of the few heavy
+ones are range-partitioned by (key, order), so that a key spreads over many
+partitions. The neighbour is then found inside each partition, and only the first
+and last row of a key in each partition go through a second, small window that
+joins the pieces up.
 """
 
 from __future__ import annotations
@@ -13,8 +15,37 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wakeline.operators.sizing import is_small
+
+HEAVY_ROWS = 10_000_000
+MOST_HEAVY_KEYS = 100_000
 EDGE = -1
 
+Keep = Callable[[Column], Column]
+
+
+def split_heavy(
+    rows: DataFrame, key: str, heavy_rows: int | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of usual keys, rows of heavy keys or None).
+
+    A key is heavy above ``heavy_rows`` rows, a limit raised for huge tables so
+    that at most ``MOST_HEAVY_KEYS`` keys can pass it; their list is what is
+    broadcast. Without ``heavy_rows``, small input is taken as it is.
+    """
+    if heavy_rows is None and is_small(rows):
+        return rows, None
+    counts = rows.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_total"))
+    limit = F.greatest(F.lit(heavy_rows or HEAVY_ROWS), F.floor(total.scalar() / MOST_HEAVY_KEYS))
+    # A bounded list, so it may pass through the driver.
+    found = counts.filter(F.col("_n") > limit).select("_key").collect()
+    if not found:
+        return rows, None
+    heavy = F.broadcast(rows.sparkSession.createDataFrame(found, counts.select("_key").schema))
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    return rows.join(heavy, same, "left_anti"), rows.join(heavy, same, "left_semi")
+
 
 def with_neighbour(
     rows: DataFrame,
@@ -23,20 +54,34 @@ def with_neighbour(
     values: Sequence[str],
     name: str,
     forward: bool = False,
-    keep: Callable[[Column], Column] | None = None,
+    keep: Keep | None = None,
+    sliced: bool = False,
 ) -> DataFrame:
     """Add ``name``: a struct of ``values`` from the previous row of the same key
     (the next one if ``forward``), null where there is none.
 
-    (key, order) should be unique. ``keep`` maps the neighbour to a predicate on
-    the row; rows failing it are removed, most of them before the second shuffle.
+    ``keep`` maps the neighbour to a predicate on the row; rows failing it are
+    removed. ``sliced`` is the form for heavy keys; it needs (key, order) unique,
+    or copies would crowd one partition.
     """
+    if sliced:
+        return _sliced_neighbour(rows, key, order, values, name, forward, keep)
+    near = F.lead if forward else F.lag
+    window = Window.partitionBy(key).orderBy(*order)
+    found = rows.withColumn(name, near(F.struct(*values)).over(window))
+    return found.filter(keep(F.col(name))) if keep is not None else found
+
+
+def _sliced_neighbour(
+    rows: DataFrame, key: str, order: Sequence[str], values: Sequence[str], name: str,
+    forward: bool, keep: Keep | None,
+) -> DataFrame:
     near, far = (F.lead, F.lag) if forward else (F.lag, F.lead)
     payload = F.struct(*values)
 
-    sliced = rows.repartitionByRange(key, *order).withColumn("_slice", F.spark_partition_id())
+    slices = rows.repartitionByRange(key, *order).withColumn("_slice", F.spark_partition_id())
     inside = Window.partitionBy(key, "_slice").orderBy(*order)
-    local = sliced.withColumns(
+    local = slices.withColumns(
         {"_near": near(payload).over(inside), "_far": far(F.lit(True)).over(inside)}
     )
     unknown = F.col("_near").isNull()

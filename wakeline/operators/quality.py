@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,20 +43,24 @@ def with_violations(positions: DataFrame) -> DataFrame:
     return positions.withColumn("violations", F.array_compact(F.array(*names)))
 
 
+def _any_broken() -> Column:
+    """True if some rule is broken; a rule over a missing value is not."""
+    return reduce(or_, [F.coalesce(broken, F.lit(False)) for broken in contract_rules().values()])
+
+
 def valid_positions(positions: DataFrame) -> DataFrame:
-    return with_violations(positions).filter(F.size("violations") == 0).drop("violations")
+    return positions.filter(~_any_broken())
 
 
 def quarantine(positions: DataFrame) -> DataFrame:
     """The complement of ``valid_positions``, with the reasons."""
-    return with_violations(positions).filter(F.size("violations") > 0)
+    return with_violations(positions.filter(_any_broken()))
 
 
 def violation_counts(positions: DataFrame) -> DataFrame:
-    """Records per broken rule; unbroken rules are left out."""
-    return (
-        with_violations(positions)
-        .select(F.explode("violations").alias("rule"))
-        .groupBy("rule")
-        .agg(F.count("*").alias("records"))
-    )
+    """Records per broken rule; unbroken rules are left out. All rules are counted
+    in one aggregation to a single row, which is then turned into rows."""
+    rules = contract_rules()
+    counts = positions.agg(*[F.count_if(broken).alias(name) for name, broken in rules.items()])
+    pairs = [F.struct(F.lit(name).alias("rule"), F.col(name).alias("records")) for name in rules]
+    return counts.select(F.inline(F.array(*pairs))).filter(F.col("records") > 0)

@@ -1,0 +1,20 @@
+"""Estimates that decide between plans, without running a job."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Below this much input even a group holding every row is one ordinary task, and
+# an extra pass over the data costs more than it saves.
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files and tables ``df`` reads, after partition pruning, as Spark
+    estimates it; very large where it has no estimate."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
+    return input_bytes(df) <= limit

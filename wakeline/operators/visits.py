@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULTS
-from wakeline.operators.ordered import with_neighbour
+from wakeline.operators.ordered import split_heavy, with_neighbour
+
+KEY = DEFAULTS.vessel_key
 
 
-def port_states(positions: DataFrame, key: str = DEFAULTS.vessel_key, tie: str | None = None) -> DataFrame:
-    """One ``in_port`` per vessel and instant.
+def port_states(positions: DataFrame, key: str = KEY, tie: str | None = None) -> DataFrame:
+    """``key, timestamp, in_port``: one state per vessel and instant.
 
     Copies and simultaneous reports collapse before the shuffle. The report with
     the greatest ``tie`` decides; without ``tie`` any report inside counts.
@@ -23,53 +27,90 @@ def port_states(positions: DataFrame, key: str = DEFAULTS.vessel_key, tie: str |
     )
 
 
-def _changes(states: DataFrame, key: str, first_inside: bool) -> DataFrame:
+def _last_of_instant(reports: DataFrame, key: str, tie: str | None) -> DataFrame:
+    """The same states without an aggregation, for keys that fit one task: the
+    window's partitioning and order also serve the steps that follow."""
+    window = Window.partitionBy(key).orderBy("timestamp", tie or "in_port")
+    after = F.lead("timestamp").over(window)
+    return (
+        reports.withColumn("_after", after)
+        .filter(F.col("_after").isNull() | (F.col("_after") > F.col("timestamp")))
+        .select(key, "timestamp", "in_port")
+    )
+
+
+def _per_vessel(
+    positions: DataFrame, key: str, tie: str | None, heavy_rows: int | None,
+    steps: Callable[[DataFrame, bool], DataFrame],
+) -> DataFrame:
+    """Apply ``steps(states, sliced)`` to usual vessels in the plain form and to
+    heavy ones in the sliced form."""
+    needed = [key, "timestamp", "in_port", *([tie] if tie else [])]
+    reports = positions.select(*needed).filter(F.col("timestamp").isNotNull())
+    usual, heavy = split_heavy(reports, key, heavy_rows)
+    result = steps(_last_of_instant(usual, key, tie), False)
+    if heavy is not None:
+        result = result.unionByName(steps(port_states(heavy, key, tie), True))
+    return result
+
+
+def _changes(states: DataFrame, key: str, sliced: bool, first_inside: bool) -> DataFrame:
     """Rows whose state differs from the previous one; with ``first_inside`` also a
     vessel's first row when it is already inside."""
 
     def changed(previous):
         differs = previous["in_port"] != F.col("in_port")
-        if first_inside:
-            return F.coalesce(differs, F.col("in_port"))
-        return F.coalesce(differs, F.lit(False))
+        return F.coalesce(differs, F.col("in_port") if first_inside else F.lit(False))
 
-    return with_neighbour(states, key, ["timestamp"], ["in_port"], "_before", keep=changed)
+    return with_neighbour(
+        states, key, ["timestamp"], ["in_port"], "_before", keep=changed, sliced=sliced
+    )
 
 
-def port_transitions(
-    positions: DataFrame, key: str = DEFAULTS.vessel_key, tie: str | None = None
-) -> DataFrame:
-    """``key, timestamp, event``: one row per entry into or exit from the port.
-    A vessel's first report is neither."""
-    return transitions_of(port_states(positions, key, tie), key)
+def transitions_of(states: DataFrame, key: str = KEY, heavy_rows: int | None = None) -> DataFrame:
+    """Entries and exits from rows of ``key, timestamp, in_port``, one per instant."""
+    usual, heavy = split_heavy(states, key, heavy_rows)
+    found = _transitions(usual, key, False)
+    return found if heavy is None else found.unionByName(_transitions(heavy, key, True))
 
 
-def transitions_of(states: DataFrame, key: str = DEFAULTS.vessel_key) -> DataFrame:
-    """The same from rows of ``key, timestamp, in_port``, one per vessel and instant."""
-    changes = _changes(states, key, first_inside=False)
+def _transitions(states: DataFrame, key: str, sliced: bool) -> DataFrame:
     event = F.when(F.col("in_port"), "entry").otherwise("exit")
+    changes = _changes(states, key, sliced, first_inside=False)
     return changes.select(key, "timestamp", event.alias("event"))
 
 
+def port_transitions(
+    positions: DataFrame, key: str = KEY, tie: str | None = None, heavy_rows: int | None = None
+) -> DataFrame:
+    """``key, timestamp, event``: one row per entry into or exit from the port.
+    A vessel's first report is neither. ``heavy_rows`` as for ``split_heavy``."""
+    return _per_vessel(
+        positions, key, tie, heavy_rows, lambda states, sliced: _transitions(states, key, sliced)
+    )
+
+
 def port_visits(
-    positions: DataFrame, key: str = DEFAULTS.vessel_key, tie: str | None = None
+    positions: DataFrame, key: str = KEY, tie: str | None = None, heavy_rows: int | None = None
 ) -> DataFrame:
     """``key, entered_at, left_at, entry_seen, dwell_sec``: one row per stay in port.
 
     A stay starts at an entry, or at the vessel's first report if that is inside
     (``entry_seen`` false), and ends at the first report outside (null if none).
     """
-    changes = _changes(port_states(positions, key, tie), key, first_inside=True)
-    changes = changes.select(
-        key, "timestamp", "in_port", F.col("_before").isNotNull().alias("entry_seen")
-    )
-    # Entries and exits alternate, so the next change after an entry is its exit.
-    stays = with_neighbour(
-        changes, key, ["timestamp"], ["timestamp"], "_next", forward=True,
-        keep=lambda _: F.col("in_port"),
-    )
+
+    def stays(states: DataFrame, sliced: bool) -> DataFrame:
+        changes = _changes(states, key, sliced, first_inside=True).select(
+            key, "timestamp", "in_port", F.col("_before").isNotNull().alias("entry_seen")
+        )
+        # Entries and exits alternate, so the next change after an entry is its exit.
+        return with_neighbour(
+            changes, key, ["timestamp"], ["timestamp"], "_next", forward=True,
+            keep=lambda _: F.col("in_port"), sliced=sliced,
+        )
+
     entered, left = F.col("timestamp"), F.col("_next.timestamp")
-    return stays.select(
+    return _per_vessel(positions, key, tie, heavy_rows, stays).select(
         key,
         entered.alias("entered_at"),
         left.alias("left_at"),

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def object_store_conf(env: Mapping[str, str] | None = None) -> dict[str, str]:
@@ -52,15 +52,28 @@ def build_session(app: str = "wakeline", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def working_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the cluster's shared ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's shared ``spark.checkpoint.dir``.
 
     Only where that is unset and Spark runs in local mode is a temporary folder
     of this machine used; on a cluster without a shared folder this fails.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="wakeline-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="wakeline-")
+
+
+def working_dir(spark: SparkSession, purpose: str) -> str:
+    """A new folder name under the shared folder."""
+    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and read back from the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()

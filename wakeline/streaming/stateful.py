@@ -19,6 +19,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType, TimestampTyp
 from wakeline.config import DEFAULTS
 from wakeline.operators.latest import latest_per_vessel, merge_latest
 from wakeline.operators.lookup import lookup_join
+from wakeline.operators.ordered import HEAVY_ROWS
 from wakeline.operators.visits import port_states, transitions_of
 from wakeline.sources.readers import read_table
 
@@ -74,7 +75,7 @@ def start_latest_snapshots(
 
     def handle(changed: DataFrame, version: int) -> None:
         before = _previous(changed.sparkSession, root, version, schema)
-        _save(merge_latest(before, changed, key=key, ties=ties), root, version, retain)
+        _save(merge_latest(before, changed, key=key, ties=ties, two_pass=False), root, version, retain)
 
     return _start(latest, handle, checkpoint, "update", every)
 
@@ -113,8 +114,8 @@ def start_transitions(
             # it yields no event itself.
             touched = before.join(usable.select(key).distinct(), key, "left_semi")
             _save(aged.filter("late").drop("late"), f"{root}/late", version)
-            _save(transitions_of(usable.unionByName(touched), key), f"{root}/events", version)
-            _save(merge_latest(before, usable, key=key), f"{root}/state", version, retain)
+            _save(transitions_of(usable.unionByName(touched), key, HEAVY_ROWS), f"{root}/events", version)
+            _save(merge_latest(before, usable, key=key, two_pass=False), f"{root}/state", version, retain)
         finally:
             aged.unpersist()
 
