@@ -63,7 +63,8 @@ def speed_histogram(fleet: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     lo, hi = F.min("speed"), F.max("speed")
     bounds = speeds.agg(F.struct(lo.alias("lo"), ((hi - lo) / n).alias("width"))).scalar()
     lo, width, number = F.col("bounds.lo"), F.col("bounds.width"), F.col("bin")
-    index = F.coalesce(F.least(F.floor(F.try_divide(F.col("speed") - lo, width)) + 1, F.lit(n)), F.lit(1))
+    step = F.floor(F.try_divide(F.col("speed") - lo, width))
+    index = F.when(width > 0, F.least(step + 1, F.lit(n))).otherwise(1)
     return (
         evaluate_once(speeds, bounds, "bounds")
         .groupBy(index.cast("int").alias("bin"))
