@@ -28,6 +28,12 @@ def not_nan(value: Column) -> Column:
     return F.nanvl(value, F.lit(None).cast("double"))
 
 
+def one_decimal(value: Column) -> Column:
+    """Text with one decimal, rounded by the exact binary value, ties to even (0.25
+    gives 0.2), unlike ``format_string``, which rounds the decimal text up."""
+    return F.call_function("format_number", value, F.lit("0.0"))
+
+
 def status_category(in_port: Column, speed: Column, s: Settings) -> Column:
     """port, then moving, else stopped; a missing speed counts as stopped."""
     return F.when(in_port, "port").when(speed > s.moving_kn, "moving").otherwise("stopped")

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from wakeline.config import DEFAULTS, Settings
 from wakeline.functions.geo import circle_box, in_rectangle
 from wakeline.functions.times import clock_text
+from wakeline.functions.vessel import one_decimal
 from wakeline.operators.once import evaluate_once
 
-# Priorities in order, rule codes, and their display titles.
+# Priorities in order, rule codes, their display titles and messages.
 PRIORITY_RANK = {"high": 0, "medium": 1, "low": 2}
 OTHER_RANK = 9
 SPEEDING, STOPPED, APPROACHING, STALE = (
@@ -23,6 +24,11 @@ TITLES = {
     STOPPED: "⚠️ Buque parado en zona de navegación",
     APPROACHING: "🧭 Aproximándose al puerto",
 }
+MESSAGES = {
+    SPEEDING: "%s navega a %s kn a %s km del puerto.",
+    STOPPED: "%s está parado a %s km del puerto (fuera de geofence).",
+    APPROACHING: "%s se aproxima (distancia: %s km).",
+}
 
 ALERT_COLUMNS = ("ship", "priority", "priority_rank", "type", "message", "speed", "distance", "time")
 
@@ -52,19 +58,11 @@ def _priority(code: Column) -> Column:
 
 
 def _message(ship: Column, code: Column, speed: Column, distance: Column) -> Column:
+    kn, km = one_decimal(speed), one_decimal(distance)
     return (
-        F.when(
-            code == SPEEDING,
-            F.format_string("%s navega a %.1f kn a %.1f km del puerto.", ship, speed, distance),
-        )
-        .when(
-            code == STOPPED,
-            F.format_string("%s está parado a %.1f km del puerto (fuera de geofence).", ship, distance),
-        )
-        .when(
-            code == APPROACHING,
-            F.format_string("%s se aproxima (distancia: %.1f km).", ship, distance),
-        )
+        F.when(code == SPEEDING, F.format_string(MESSAGES[SPEEDING], ship, kn, km))
+        .when(code == STOPPED, F.format_string(MESSAGES[STOPPED], ship, km))
+        .when(code == APPROACHING, F.format_string(MESSAGES[APPROACHING], ship, km))
     )
 
 

@@ -269,6 +269,15 @@ FROM binned, span"""
     "traffic_history": _with(_timeline("", 10)),
     "alerts_default": _with(_alerts_cte("filtered", 10, 5, 3) + _ALERTS),
     "alerts_wide": _with(_WIDE + _ALERTS),
+    "alert_messages": _with(
+        _WIDE
+        + """
+SELECT ship_name AS ship, CASE priority
+    WHEN 'high' THEN printf('%s navega a %.1f kn a %.1f km del puerto.', ship_name, speed, distance)
+    WHEN 'medium' THEN printf('%s está parado a %.1f km del puerto (fuera de geofence).', ship_name, distance)
+    ELSE printf('%s se aproxima (distancia: %.1f km).', ship_name, distance) END AS message
+FROM alerts"""
+    ),
     "alert_kpis": _with(
         _WIDE
         + " SELECT count(*) AS active_alerts, count(*) FILTER (WHERE priority = 'high') AS critical_alerts FROM alerts"

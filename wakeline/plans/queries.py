@@ -350,6 +350,11 @@ def alerts_wide(spark, d):
     return _alerts(spark, d, WIDE)
 
 
+@query
+def alert_messages(spark, d):
+    return al.find_alerts(_alert_fleet(spark, d), WIDE).select("ship", "message")
+
+
 @query
 def alert_kpis(spark, d):
     return al.alert_kpis(al.find_alerts(_alert_fleet(spark, d), WIDE))

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from wakeline.config import DEFAULTS, Settings
 from wakeline.functions import vessel
 from wakeline.operators import alerts as al
-from wakeline.operators.fleet import enrich
+from wakeline.operators import kpis, rankings
+from wakeline.operators.fleet import enrich, filter_fleet
 from wakeline.operators.latest import latest_per_vessel
+from wakeline.operators.timeline import traffic_timeline
 
 SNAPSHOT_COLUMNS = ("lat", "lon", "speed", "heading", "status", "in_port", "timestamp")
 
@@ -30,6 +32,38 @@ def fleet_snapshot(
     return enrich(latest.select(key, *columns), settings, as_of)
 
 
+def control_room(
+    lake: DataFrame,
+    settings: Settings = DEFAULTS,
+    as_of: Column | datetime | str | None = None,
+    **filters,
+) -> dict[str, DataFrame]:
+    """Every report by name. The snapshot feeds most of them, so it is computed once
+    and kept (one row per vessel); ``reports["fleet"].unpersist()`` releases it.
+
+    Fleet figures and freshness cover all vessels; tables, charts and alerts the
+    vessels passing ``filters`` (as for ``filter_fleet``).
+    """
+    fleet = fleet_snapshot(lake, settings, as_of).persist()
+    shown = filter_fleet(fleet, settings, **filters)
+    alerts = al.find_alerts(shown, settings)
+    return {
+        "fleet": fleet,
+        "fleet_kpis": kpis.fleet_kpis(fleet, settings),
+        "freshness": kpis.freshness_bands(fleet, settings),
+        "stalest": rankings.stalest(fleet, settings),
+        "operational_table": rankings.operational_table(shown, settings),
+        "top_speed": rankings.top_speed(shown, settings),
+        "status_counts": kpis.status_counts(shown),
+        "speed_histogram": kpis.speed_histogram(shown, settings),
+        "speed_vs_distance": kpis.speed_vs_distance(shown, settings),
+        "map_layers": map_layers(shown, settings),
+        "alerts": al.ordered_alerts(alerts),
+        "alert_kpis": al.alert_kpis(alerts),
+        "timeline": traffic_timeline(lake, settings, as_of),
+    }
+
+
 def map_layers(fleet: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Marker per vessel: layer ``alert`` (fixed colour and size) or ``normal``.
 

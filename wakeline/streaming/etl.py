@@ -7,7 +7,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wakeline.config import DEFAULTS, Settings
 from wakeline.operators.clean import parse_events, to_lake
-from wakeline.sources.writers import stream_to_table
+from wakeline.operators.normalize import normalize_ais
+from wakeline.sources.writers import stream_to_table, to_json_records
 
 
 def start_etl(
@@ -22,6 +23,29 @@ def start_etl(
     return stream_to_table(to_lake(parse_events(records), settings), path, checkpoint, fmt, every)
 
 
+def start_normalize(
+    messages: DataFrame,
+    target: str,
+    checkpoint: str,
+    servers: str | None = None,
+    every: str | None = "10 seconds",
+) -> StreamingQuery:
+    """Raw AIS messages to JSON position records: to topic ``target`` when ``servers``
+    is given, else to a folder. Records are stamped with their arrival time."""
+    records = to_json_records(normalize_ais(messages.select("value")))
+    if not servers:
+        return stream_to_table(records, target, checkpoint, "text", every, partition_by=None)
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        records.writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", target)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def run_until_stopped(query: StreamingQuery, timeout: float | None = None) -> None:
     """Wait for the query and stop it cleanly however the wait ends."""
     try:
