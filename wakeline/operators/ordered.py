@@ -29,17 +29,20 @@ def split_heavy(
 ) -> tuple[DataFrame, DataFrame | None]:
     """(rows of usual keys, rows of heavy keys or None).
 
-    A key is heavy above ``heavy_rows`` rows, a limit raised for huge tables so
-    that at most ``MOST_HEAVY_KEYS`` keys can pass it; their list is what is
+    A key is heavy above ``heavy_rows`` rows. The limit is raised until at most
+    ``MOST_HEAVY_KEYS`` keys pass it, as their list goes through the driver and is
     broadcast. Without ``heavy_rows``, small input is taken as it is.
     """
     if heavy_rows is None and is_small(rows):
         return rows, None
     counts = rows.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    limit = F.greatest(F.lit(heavy_rows or HEAVY_ROWS), F.floor(total.scalar() / MOST_HEAVY_KEYS))
-    # A bounded list, so it may pass through the driver.
-    found = counts.filter(F.col("_n") > limit).select("_key").collect()
+    limit = heavy_rows or HEAVY_ROWS
+    while True:
+        above = counts.filter(F.col("_n") > limit).select("_key")
+        found = above.limit(MOST_HEAVY_KEYS + 1).collect()
+        if len(found) <= MOST_HEAVY_KEYS:
+            break
+        limit *= 4
     if not found:
         return rows, None
     heavy = F.broadcast(rows.sparkSession.createDataFrame(found, counts.select("_key").schema))

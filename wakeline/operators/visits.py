@@ -67,26 +67,28 @@ def _changes(states: DataFrame, key: str, sliced: bool, first_inside: bool) -> D
     )
 
 
-def transitions_of(states: DataFrame, key: str = KEY, heavy_rows: int | None = None) -> DataFrame:
-    """Entries and exits from rows of ``key, timestamp, in_port``, one per instant."""
-    usual, heavy = split_heavy(states, key, heavy_rows)
-    found = _transitions(usual, key, False)
-    return found if heavy is None else found.unionByName(_transitions(heavy, key, True))
-
-
-def _transitions(states: DataFrame, key: str, sliced: bool) -> DataFrame:
+def changes_of(states: DataFrame, key: str = KEY, sliced: bool = False) -> DataFrame:
+    """Entries and exits from rows of ``key, timestamp, in_port``, one per instant,
+    in one form for all vessels."""
     event = F.when(F.col("in_port"), "entry").otherwise("exit")
     changes = _changes(states, key, sliced, first_inside=False)
     return changes.select(key, "timestamp", event.alias("event"))
 
 
+def transitions_of(states: DataFrame, key: str = KEY, heavy_rows: int | None = None) -> DataFrame:
+    """The same with heavy vessels, if any, in the sliced form."""
+    usual, heavy = split_heavy(states, key, heavy_rows)
+    found = changes_of(usual, key, False)
+    return found if heavy is None else found.unionByName(changes_of(heavy, key, True))
+
+
 def port_transitions(
     positions: DataFrame, key: str = KEY, tie: str | None = None, heavy_rows: int | None = None
 ) -> DataFrame:
     """``key, timestamp, event``: one row per entry into or exit from the port.
     A vessel's first report is neither. ``heavy_rows`` as for ``split_heavy``."""
     return _per_vessel(
-        positions, key, tie, heavy_rows, lambda states, sliced: _transitions(states, key, sliced)
+        positions, key, tie, heavy_rows, lambda states, sliced: changes_of(states, key, sliced)
     )
 
 

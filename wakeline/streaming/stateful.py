@@ -20,7 +20,7 @@ from wakeline.config import DEFAULTS
 from wakeline.operators.latest import latest_per_vessel, merge_latest
 from wakeline.operators.lookup import lookup_join
 from wakeline.operators.ordered import HEAVY_ROWS
-from wakeline.operators.visits import port_states, transitions_of
+from wakeline.operators.visits import changes_of, port_states, transitions_of
 from wakeline.sources.readers import read_table
 
 KEPT_VERSIONS = 10
@@ -114,7 +114,13 @@ def start_transitions(
             # it yields no event itself.
             touched = before.join(usable.select(key).distinct(), key, "left_semi")
             _save(aged.filter("late").drop("late"), f"{root}/late", version)
-            _save(transitions_of(usable.unionByName(touched), key, HEAVY_ROWS), f"{root}/events", version)
+            sequence = usable.unionByName(touched)
+            # Only a batch above the limit can hold a vessel above it.
+            if aged.count() <= HEAVY_ROWS:
+                events = changes_of(sequence, key)
+            else:
+                events = transitions_of(sequence, key, HEAVY_ROWS)
+            _save(events, f"{root}/events", version)
             _save(merge_latest(before, usable, key=key, two_pass=False), f"{root}/state", version, retain)
         finally:
             aged.unpersist()
