@@ -125,7 +125,8 @@ def high_alerts(alerts: DataFrame) -> DataFrame:
 
 def alerting_vessels(fleet: DataFrame, alerts: DataFrame, key: str = DEFAULTS.vessel_key) -> DataFrame:
     """Fleet rows of vessels with an alert. Neither side is broadcast by hint:
-    adaptive execution does so once it has measured the alert side."""
+    adaptive execution does so once it has measured the alert side. Where ``alerts``
+    derive from ``fleet``, compute ``fleet`` once before."""
     return fleet.join(alerts.select(F.col("ship").alias(key)), key, "left_semi")
 
 

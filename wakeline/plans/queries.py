@@ -28,7 +28,7 @@ from wakeline.operators import (
     visits,
 )
 from wakeline.plans import reports
-from wakeline.session import working_dir
+from wakeline.session import checkpointed, working_dir
 from wakeline.sources import fixture, readers, writers
 from wakeline.streaming import alerts as st_alerts, etl, stateful, traffic
 
@@ -367,14 +367,15 @@ def stale_alerts(spark, d):
 
 @query
 def alerting_vessels(spark, d):
-    fleet = _alert_fleet(spark, d)
+    # Both join sides come from the snapshot, so it is computed once beforehand.
+    fleet = checkpointed(_alert_fleet(spark, d))
     rows = al.alerting_vessels(fleet, al.find_alerts(fleet, WIDE))
     return rounded(rows.select(*FILTER_OUTPUT), "distance_to_port_km")
 
 
 @query
 def quiet_vessels(spark, d):
-    fleet = _alert_fleet(spark, d)
+    fleet = checkpointed(_alert_fleet(spark, d))
     rows = al.quiet_vessels(fleet, al.find_alerts(fleet, WIDE))
     return rounded(rows.select(*FILTER_OUTPUT), "distance_to_port_km")
 

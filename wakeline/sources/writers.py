@@ -30,13 +30,19 @@ def publish(positions: DataFrame, target: str, servers: str | None = None) -> No
         records.write.mode("append").text(target)
 
 
-def append_lake(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
+def append_lake(
+    rows: DataFrame, path: str, fmt: str = "parquet", rebalance: bool = True
+) -> None:
     """Append to the date-partitioned lake table, enforcing its schema.
 
     Rebalancing by date gives few files per date, and splits a date that holds
-    most rows over several tasks.
+    most rows over several tasks. Rows already grouped by date, such as one
+    day's load, do not need that shuffle.
     """
-    conform(rows).hint("rebalance", "date").write.format(fmt).mode("append").partitionBy("date").save(path)
+    table = conform(rows)
+    if rebalance:
+        table = table.hint("rebalance", "date")
+    table.write.format(fmt).mode("append").partitionBy("date").save(path)
 
 
 def export_csv(table: DataFrame, folder: str, stem: str = "fleet_filtered") -> str:
