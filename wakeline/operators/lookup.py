@@ -31,8 +31,10 @@ def lookup_join(
     if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
         lookup = F.broadcast(lookup)
     else:
-        # By row number within the task, so that identical rows spread as well.
-        rows = rows.withColumn("_salt", F.monotonically_increasing_id() % salts)
+        # The input partition is part of the salt so that identical rows spread as
+        # well; a row gets the same salt again if its task is run again.
+        salt = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(salts))
+        rows = rows.withColumn("_salt", salt)
         lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         on.append("_salt")
     match = F.lit(True) if condition is None else condition
