@@ -6,18 +6,51 @@ WITH texts AS (
            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
     FROM documents
 ), starts AS (
-    SELECT row_id, words, unnest(range(1, len(words) - 33)) AS at FROM texts WHERE len(words) >= 35
+    SELECT row_id, words, unnest(range(1, len(words) - 33)) AS pos FROM texts WHERE len(words) >= 35
 ), windows AS (
-    SELECT row_id, at, count(*) OVER (PARTITION BY array_to_string(words[at:at + 34], ' ')) AS times FROM starts
+    SELECT row_id, pos, count(*) OVER (PARTITION BY array_to_string(words[pos:pos + 34], ' ')) AS times FROM starts
 ), gone AS (
-    SELECT DISTINCT row_id, unnest(range(at, at + 35)) AS at FROM windows WHERE times > 1
+    SELECT DISTINCT row_id, unnest(range(pos, pos + 35)) AS pos FROM windows WHERE times > 1
 ), kept AS (
-    SELECT w.row_id, string_agg(w.word, ' ' ORDER BY w.at) AS text, count(*) AS n
-    FROM (SELECT row_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS at FROM texts) w
-    ANTI JOIN gone g ON g.row_id = w.row_id AND g.at = w.at
+    SELECT w.row_id, string_agg(w.word, ' ' ORDER BY w.pos) AS text, count(*) AS n
+    FROM (SELECT row_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM texts) w
+    ANTI JOIN gone g ON g.row_id = w.row_id AND g.pos = w.pos
     GROUP BY w.row_id
 )
 SELECT t.doc_id, len(t.words)::BIGINT AS n_words, (len(t.words) - coalesce(k.n, 0))::BIGINT AS n_removed,
        sha256(coalesce(k.text, '')) AS kept_sha256
 FROM texts t LEFT JOIN kept k ON k.row_id = t.row_id
 """
+
+CONTAMINATION = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), item_windows AS (
+    SELECT DISTINCT item_id, least(len(words), 10) AS size,
+           array_to_string(words[pos:pos + least(len(words), 10) - 1], ' ') AS run
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - 8, 2))) AS pos FROM items WHERE len(words) > 0)
+), text_windows AS (
+    SELECT row_id, pos, size, array_to_string(words[pos:pos + size - 1], ' ') AS run
+    FROM (SELECT row_id, words, size, unnest(range(1, len(words) - size + 2)) AS pos
+          FROM texts, (SELECT DISTINCT size FROM item_windows) WHERE len(words) >= size)
+), found AS (
+    SELECT row_id, pos, t.size, item_id FROM text_windows t JOIN item_windows i USING (size, run)
+), hits AS (
+    SELECT row_id, count(DISTINCT word) AS n
+    FROM (SELECT row_id, unnest(range(pos, pos + size)) AS word FROM found) GROUP BY row_id
+), lists AS (
+    SELECT row_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT row_id, item_id::VARCHAR AS item FROM found) GROUP BY row_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(l.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(l.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM texts t LEFT JOIN hits h USING (row_id) LEFT JOIN lists l USING (row_id)
+"""

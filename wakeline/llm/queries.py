@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.llm import oracles
+from wakeline.llm.decontaminate import find_passages
 from wakeline.llm.substring_dedup import remove_repeats
 from wakeline.llm.workers import importable
 
@@ -23,10 +24,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_passages(documents, _table(spark, sf_dir, "benchmark")).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @_query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-ORACLES: dict[str, str] = {"op10_substring_dedup": oracles.SUBSTRING_DEDUP}
+ORACLES: dict[str, str] = {
+    "op4_benchmark_decontamination": oracles.CONTAMINATION,
+    "op10_substring_dedup": oracles.SUBSTRING_DEDUP}
