@@ -244,45 +244,53 @@ def _told(row: dict, live: np.ndarray | None) -> list[tuple[bytes, bytes]]:
     return out
 
 
+_RESULT = "key binary, n_words long, n_removed long, kept_runs array<struct<start:long,end:long>>, kept_sha256 string"
+_RESULT_ARROW = pa.schema([("key", pa.binary()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_runs", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept_sha256", pa.string())])
+
+
 def _removing(window: int):
-    """Counts, the kept text and the removed runs of each text."""
-    schema = pa.schema([("key", pa.binary()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.large_string()), ("runs", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+    """What is left of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in textscan.slices(batch, "text"):
-                out = []
-                for key, text, places in zip(*(piece.column(c).to_pylist() for c in ("key", "text", "hits")), strict=True):
-                    words = text.encode().split()
-                    step = np.zeros(len(words) + 1, np.int64)
-                    if places:
-                        at = np.concatenate([np.frombuffer(p, "<u4") for p in places]).astype(np.int64)
-                        np.add.at(step, at, 1)
-                        np.add.at(step, at + window, -1)
-                    gone = np.cumsum(step[:-1]) > 0
-                    edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
-                    kept = words if not len(edges) else [w for w, g in zip(words, gone, strict=True) if not g]
-                    out.append((key, len(words), int(gone.sum()), b" ".join(kept).decode(), [{"start": int(a), "end": int(b)} for a, b in edges]))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+                rows = zip(*(piece.column(c).to_pylist() for c in ("key", "text", "hits")), strict=True)
+                yield _record([(key, *_left_over(text.encode().split(), places, window)) for key, text, places in rows], _RESULT_ARROW)
 
     return run
 
 
+def _left_over(words: list[bytes], places: list[bytes] | None, window: int) -> tuple:
+    step = np.zeros(len(words) + 1, np.int64)
+    if places:
+        at = np.concatenate([np.frombuffer(p, "<u4") for p in places]).astype(np.int64)
+        np.add.at(step, at, 1)
+        np.add.at(step, at + window, -1)
+    kept = np.cumsum(step[:-1]) == 0
+    edges = np.flatnonzero(np.diff(kept.astype(np.int8), prepend=0, append=0)).reshape(-1, 2).tolist()
+    text = b" ".join(b" ".join(words[a:b]) for a, b in edges)
+    runs = [{"start": a, "end": b} for a, b in edges]
+    return len(words), len(words) - int(kept.sum()), runs, hashlib.sha256(text).hexdigest()
+
+
 def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, shard_chars: int = SHARD_CHARS) -> DataFrame:
-    """Every row of ``docs`` with ``n_words``, ``n_removed``, ``kept_text`` and ``removed_runs``.
+    """Every row of ``docs`` with ``n_words``, ``n_removed``, ``kept_runs``, ``kept_sha256``
+    and ``kept_text``.
 
     Words are the longest runs of anything but space, tab, line breaks, vertical
     tab and form feed. A word goes if it lies in ``window`` consecutive words that
-    also start anywhere else, in another row or the same text; the kept words are
-    joined by single spaces. Null and empty texts have no words and keep "".
-    Equal rows are copies of each other. Other columns are left as they are,
-    columns of the same names as the new ones are replaced.
+    also start anywhere else, in another row or the same text. ``kept_runs`` are the
+    maximal runs of kept words, numbered from 0, ends excluded; ``kept_text`` joins
+    the kept words by single spaces, ``kept_sha256`` is its digest. Null and empty
+    texts have no words and keep "". Equal rows are copies of each other. Other
+    columns are left as they are, columns of the same names are replaced.
     """
     if window < 3:
         raise ValueError("windows of at least three words are needed")
     block = (window + 1) // 2
     body = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.withColumn("__key", F.unhex(F.md5(body)))
+    # never null, so that no join adds a filter: all uses of `distinct` then share one shuffle
+    keyed = docs.withColumn("__key", F.coalesce(F.unhex(F.md5(body)), F.lit(b"")))
     distinct = (
         keyed.select(F.col("__key").alias("key"), body.alias("text"))
         .groupBy("key")
@@ -298,11 +306,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, sh
     hits = answered(distinct.mapInArrow(_probing(shards, window, block), _SENT), 4)
     around = distinct.join(hits, "key").mapInArrow(_extending(shards, window, block), _SENT)
     repeats = answered(around, 12)
-    result = distinct.join(repeats, "key", "left").select("key", "text", "hits").mapInArrow(
-        _removing(window), "key binary, n_words long, n_removed long, kept string, runs array<struct<start:long,end:long>>"
-    )
-    result = result.select(
-        F.col("key").alias("__key"), "n_words", "n_removed", F.col("kept").alias("kept_text"), F.col("runs").alias("removed_runs")
+    result = distinct.join(repeats, "key", "left").mapInArrow(_removing(window), _RESULT)
+    new = [c for c in result.columns if c != "key"]
+    words = F.regexp_extract_all(F.col("__body"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    kept = F.transform("kept_runs", lambda r: F.slice(words, r["start"].cast("int") + 1, (r["end"] - r["start"]).cast("int")))
+    # the text itself meets the result only where the kept text is asked for
+    return (
+        keyed.withColumn("__body", body)
+        .drop(*new, "kept_text")
+        .join(result.withColumnRenamed("key", "__key"), "__key")
+        .withColumn("kept_text", F.array_join(F.flatten(kept), " "))
+        .drop("__key", "__body")
     )
-    new = ("n_words", "n_removed", "kept_text", "removed_runs")
-    return keyed.drop(*new).join(result, "__key").drop("__key")
