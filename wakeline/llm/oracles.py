@@ -54,3 +54,21 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit,
        sha256(coalesce(l.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
 FROM texts t LEFT JOIN hits h USING (row_id) LEFT JOIN lists l USING (row_id)
 """
+
+URL_FILTERS = r"""
+WITH parts AS (
+    SELECT row_number() OVER () AS row_id, page_id,
+           translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages
+), rules(rule_host, rule_path, verdict) AS (
+    VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+           ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), best AS (
+    SELECT row_id, rule_host || rule_path AS rule, verdict
+    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY length(rule_host) DESC, length(rule_path) DESC) = 1
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (row_id)
+"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wakeline.llm import oracles
 from wakeline.llm.decontaminate import find_passages
 from wakeline.llm.substring_dedup import remove_repeats
+from wakeline.llm.url_rules import judge
 from wakeline.llm.workers import importable
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +38,23 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+#: The rules of the query.
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+@_query
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 @_query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,4 +63,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES: dict[str, str] = {
     "op4_benchmark_decontamination": oracles.CONTAMINATION,
+    "op7_url_filters": oracles.URL_FILTERS,
     "op10_substring_dedup": oracles.SUBSTRING_DEDUP}
