@@ -72,3 +72,60 @@ WITH parts AS (
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (row_id)
 """
+
+PERSPECTIVES = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS speaker, coalesce(text, '') AS text, row_number() OVER () AS row_id
+    FROM conversations
+), own AS (
+    SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'
+), seen AS (
+    SELECT s.*, o.perspective,
+           CASE WHEN s.speaker = o.perspective THEN 'assistant' WHEN s.speaker = 'system' THEN 'system' ELSE 'user' END AS role
+    FROM said s JOIN own o ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+), pieces AS (
+    SELECT *, '<|im_start|>' || role || CASE WHEN role = 'user' THEN ' name=' || speaker ELSE '' END || chr(10)
+              || text || '<|im_end|>' || chr(10) AS rendered
+    FROM seen
+), placed AS (
+    SELECT *, coalesce(sum(length(rendered)) OVER w, 0) AS start, count(*) OVER w AS seq
+    FROM pieces
+    WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text, row_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)
+SELECT conv_id, perspective, turn, seq::BIGINT AS seq, speaker, role, rendered, start::BIGINT AS start,
+       (start + length(rendered))::BIGINT AS "end", role = 'assistant' AS trained,
+       CASE WHEN role = 'assistant' THEN start + length(rendered) - length(text) - 11
+            ELSE start + length(rendered) END::BIGINT AS loss_start,
+       CASE WHEN role = 'assistant' THEN start + length(rendered) - 1 ELSE start + length(rendered) END::BIGINT AS loss_end
+FROM placed
+"""
+
+LINE_DEDUP = r"""
+WITH texts AS (
+    SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, md5(text)) AS row_id, doc_id, text, string_split(text, chr(10)) AS parts
+    FROM documents
+), split AS (
+    SELECT row_id, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS pos FROM texts
+), lines AS (
+    SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY pos) AS seq,
+           len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+    FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), pairs AS (
+    SELECT *, lead(line) OVER (PARTITION BY row_id ORDER BY pos) AS next_line FROM lines
+), marked AS (
+    SELECT *, next_line IS NOT NULL AND row_number() OVER (PARTITION BY line, next_line ORDER BY row_id, seq) > 1 AS starts,
+           words >= 20 AND row_number() OVER (PARTITION BY line ORDER BY row_id, seq) > 1 AS again
+    FROM pairs
+), gone AS (
+    SELECT row_id, pos FROM (
+        SELECT row_id, pos, again OR starts OR coalesce(lag(starts) OVER (PARTITION BY row_id ORDER BY pos), false) AS out FROM marked
+    ) WHERE out
+), kept AS (
+    SELECT row_id, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n
+    FROM split ANTI JOIN gone USING (row_id, pos) GROUP BY row_id
+)
+SELECT doc_id, coalesce(len(parts), 0)::BIGINT AS n_lines, (coalesce(len(parts), 0) - coalesce(k.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k USING (row_id)
+"""

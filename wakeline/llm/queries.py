@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import oracles
+from wakeline.llm import line_dedup, oracles
+from wakeline.llm.chat import rotate
 from wakeline.llm.decontaminate import find_passages
 from wakeline.llm.substring_dedup import remove_repeats
 from wakeline.llm.url_rules import judge
@@ -55,6 +56,17 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+@_query
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate(_table(spark, sf_dir, "conversations"))
+
+
+@_query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @_query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,4 +76,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES: dict[str, str] = {
     "op4_benchmark_decontamination": oracles.CONTAMINATION,
     "op7_url_filters": oracles.URL_FILTERS,
+    "op8_chat_formatting": oracles.PERSPECTIVES,
+    "op9_line_dedup": oracles.LINE_DEDUP,
     "op10_substring_dedup": oracles.SUBSTRING_DEDUP}
