@@ -31,7 +31,8 @@ BLOCK = 18
 SHARD_CHARS = 24_000_000
 
 _SENT = "shard int, entries binary, marks binary, keys binary, counts binary, places binary"
-_HITS = "key binary, places binary"
+_TOLD = "bucket int, keys binary, counts binary, places binary"
+_HITS = "key binary, hits binary"
 _KEY = 16
 
 
@@ -123,7 +124,8 @@ def _record(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 _SENT_ARROW = pa.schema([("shard", pa.int32())] + [(c, pa.binary()) for c in ("entries", "marks", "keys", "counts", "places")])
-_HITS_ARROW = pa.schema([("key", pa.binary()), ("places", pa.binary())])
+_TOLD_ARROW = pa.schema([("bucket", pa.int32())] + [(c, pa.binary()) for c in ("keys", "counts", "places")])
+_HITS_ARROW = pa.schema([("key", pa.binary()), ("hits", pa.binary())])
 
 
 def _keys(batch: pa.RecordBatch) -> np.ndarray:
@@ -172,10 +174,10 @@ def _extending(shards: int, window: int, block: int):
                 words = textscan.scan(piece.column("text"))
                 first, second = (textscan.windows(textscan.hashes(words, seed), window) for seed in (1, 2))
                 near = np.zeros(len(first), bool)
-                for i, places in enumerate(piece.column("hits").to_pylist()):
+                for i, hits in enumerate(piece.column("hits").to_pylist()):
                     at, n = words.first[i], words.first[i + 1] - words.first[i] - window + 1
                     if n > 0:
-                        found = np.concatenate([np.frombuffer(p, "<u4") for p in places]).astype(np.int64)
+                        found = np.frombuffer(hits, "<u4").astype(np.int64)
                         near[at : at + n] = _around(found, n, overlap)
                 use = np.flatnonzero(near)
                 everywhere = np.ones(len(use), bool)
@@ -186,8 +188,9 @@ def _extending(shards: int, window: int, block: int):
     return run
 
 
-def _answering(kept_bytes: int):
-    """Within a shard: which entries are live, told to the texts they came from."""
+def _answering(kept_bytes: int, buckets: int):
+    """Within a shard: which entries are live, told to the texts they came from. Texts
+    are told in buckets, so that rows do not multiply with the shards."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -222,11 +225,32 @@ def _answering(kept_bytes: int):
             if r["counts"]:
                 out += _told(r, total[at : at + n] if n else None)
             at += n
-        return pa.Table.from_batches([_record(out, _HITS_ARROW)])
+        return pa.Table.from_batches([_record(_bucketed(out, buckets), _TOLD_ARROW)])
 
     return run
 
 
+def _bucketed(told: list[tuple[bytes, bytes]], buckets: int) -> list[tuple]:
+    by_bucket: dict[int, list[tuple[bytes, bytes]]] = {}
+    for key, places in told:
+        by_bucket.setdefault(int.from_bytes(key[:4], "little") % buckets, []).append((key, places))
+    return [
+        (to, b"".join(k for k, _ in own), np.array([len(p) for _, p in own], "<u4").tobytes(), b"".join(p for _, p in own))
+        for to, own in by_bucket.items()
+    ]
+
+
+def _gathering(table: pa.Table) -> pa.Table:
+    """All places told to each text of a bucket."""
+    hits: dict[bytes, list[bytes]] = {}
+    for row in table.to_pylist():
+        at = 0
+        for i, size in enumerate(np.frombuffer(row["counts"], "<u4").tolist()):
+            hits.setdefault(row["keys"][_KEY * i : _KEY * (i + 1)], []).append(row["places"][at : at + size])
+            at += size
+    return pa.Table.from_batches([_record([(key, b"".join(places)) for key, places in hits.items()], _HITS_ARROW)])
+
+
 def _told(row: dict, live: np.ndarray | None) -> list[tuple[bytes, bytes]]:
     """(text key, places) of the live entries of one packed row; all of them for None."""
     counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)
@@ -260,10 +284,10 @@ def _removing(window: int):
     return run
 
 
-def _left_over(words: list[bytes], places: list[bytes] | None, window: int) -> tuple:
+def _left_over(words: list[bytes], places: bytes | None, window: int) -> tuple:
     step = np.zeros(len(words) + 1, np.int64)
     if places:
-        at = np.concatenate([np.frombuffer(p, "<u4") for p in places]).astype(np.int64)
+        at = np.frombuffer(places, "<u4").astype(np.int64)
         np.add.at(step, at, 1)
         np.add.at(step, at + window, -1)
     kept = np.cumsum(step[:-1]) == 0
@@ -300,8 +324,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, sh
     shards = max(1, -(-chars // shard_chars))
 
     def answered(sent: DataFrame, kept_bytes: int) -> DataFrame:
-        told = sent.groupBy("shard").applyInArrow(_answering(kept_bytes), _HITS)
-        return told.groupBy("key").agg(F.collect_list("places").alias("hits"))
+        told = sent.groupBy("shard").applyInArrow(_answering(kept_bytes, shards), _TOLD)
+        return told.groupBy("bucket").applyInArrow(_gathering, _HITS)
 
     hits = answered(distinct.mapInArrow(_probing(shards, window, block), _SENT), 4)
     around = distinct.join(hits, "key").mapInArrow(_extending(shards, window, block), _SENT)
