@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import line_dedup, oracles
+from wakeline.llm import bpe, langid, line_dedup, oracles, quality, simhash
 from wakeline.llm.chat import rotate
 from wakeline.llm.decontaminate import find_passages
 from wakeline.llm.substring_dedup import remove_repeats
@@ -26,6 +27,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    aside = langid.held_out(F.col("doc_id"))
+    model = langid.fit(documents.filter(~aside))
+    judged = langid.predict(documents.select("doc_id", "text", aside.alias("held_out")), model)
+    return judged.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@_query
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @_query
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -39,6 +55,22 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+@_query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
+    return judged.drop("text", "n_grams")
+
+
+@_query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = bpe.encode(documents, ranks, public_tokenizers.PATTERN)
+    return encoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 #: The rules of the query.
 URL_RULES = (
     ("org", "/", "allow"),
