@@ -108,14 +108,13 @@ WITH texts AS (
 ), split AS (
     SELECT row_id, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS pos FROM texts
 ), lines AS (
-    SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY pos) AS seq,
-           len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+    SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY pos) AS seq
     FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), pairs AS (
     SELECT *, lead(line) OVER (PARTITION BY row_id ORDER BY pos) AS next_line FROM lines
 ), marked AS (
     SELECT *, next_line IS NOT NULL AND row_number() OVER (PARTITION BY line, next_line ORDER BY row_id, seq) > 1 AS starts,
-           words >= 20 AND row_number() OVER (PARTITION BY line ORDER BY row_id, seq) > 1 AS again
+           length(line) >= 120 AND row_number() OVER (PARTITION BY line ORDER BY row_id, seq) > 1 AS again
     FROM pairs
 ), gone AS (
     SELECT row_id, pos FROM (

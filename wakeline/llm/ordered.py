@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.session import checkpointed
+from wakeline.session import working_dir
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` computed once, as a table in the shared folder."""
+    path = working_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def blocks(df: DataFrame, *keys) -> DataFrame:
@@ -17,4 +24,4 @@ def blocks(df: DataFrame, *keys) -> DataFrame:
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(partitions, *keys)
-    return checkpointed(ranged.withColumn("block", F.spark_partition_id()))
+    return written(ranged.withColumn("block", F.spark_partition_id()), "blocks")
