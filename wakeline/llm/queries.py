@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import bpe, langid, line_dedup, oracles, quality, simhash
+from wakeline.llm import bpe, html, langid, line_dedup, oracles, quality, simhash
 from wakeline.llm.chat import rotate
 from wakeline.llm.decontaminate import find_passages
 from wakeline.llm.substring_dedup import remove_repeats
@@ -27,6 +27,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @_query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
