@@ -129,3 +129,12 @@ def remove_repeats(
         .withColumn("kept_text", F.when(F.col("n_removed") == 0, F.col(text)).otherwise(F.array_join(kept, "\n")))
         .select(*[c for c in docs.columns if c not in _NEW], *_NEW)
     )
+
+
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with the kept text in place of ``text``, without the rows whose every line with
+    a word was removed."""
+    names = docs.columns
+    cut = remove_repeats(docs.select(doc_id, text, F.struct(*names).alias("__row")), doc_id, text, **options)
+    stays = (F.col("n_removed") == 0) | F.coalesce(F.col("kept_text").rlike(_WORD), F.lit(True))
+    return cut.filter(stays).select(*[F.col("kept_text").alias(c) if c == text else F.col("__row")[c].alias(c) for c in names])

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.llm import rows
@@ -171,3 +171,19 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle
     known = smallest.join(roots.withColumnRenamed("node", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
     ids = known.groupBy("root").agg(F.min("least").alias("component_id"))
     return marked.join(known.join(ids, "root").select("bits", "component_id"), "bits")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
+    """One row of every class, unchanged: that of the smallest document id (null last), then
+    of the smallest digest of the text; of equal rows any one."""
+    key = F.coalesce(F.concat(F.lit("="), F.col(doc_id).cast("string")), F.lit(""))
+    keyed = docs.withColumn("__key", key).withColumn("__digest", F.md5(F.coalesce(F.col(text), F.lit(""))))
+    place = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("__key").alias("key"), F.col("__digest").alias("digest"))
+    marked = fingerprints(keyed.select(place.alias("place"), F.col(text).alias("body")), "body", shingle).select("place", "bits")
+    smallest = marked.groupBy("bits").agg(F.min("place").alias("least"))
+    roots = components(links(smallest, threshold))
+    known = smallest.join(roots.withColumnRenamed("node", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
+    chosen = known.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.key").alias("__key"), F.col("least.digest").alias("__digest"))
+    kept = keyed.join(chosen, ["__key", "__digest"], "left_semi")
+    number = F.row_number().over(Window.partitionBy("__key", "__digest").orderBy("__key"))
+    return kept.withColumn("__number", number).filter("__number = 1").select(*docs.columns)
