@@ -103,9 +103,11 @@ def _replicas(prints: DataFrame) -> DataFrame:
 def _linked(bits: np.ndarray, home: np.ndarray, threshold: int) -> list[tuple[int, int]]:
     """Links between fingerprints of one anchor that join what was apart."""
     group = np.arange(len(bits))
+    # unsigned: of negative numbers numpy counts the bits of the absolute value
+    prints = bits.view(np.uint64)
     out = []
     for i in np.flatnonzero(home):
-        near = np.flatnonzero(np.bitwise_count(bits ^ bits[i]) <= threshold)
+        near = np.flatnonzero(np.bitwise_count(prints ^ prints[i]) <= threshold)
         labels, first = np.unique(group[near], return_index=True)
         if len(labels) > 1:
             out += [(i, int(near[k])) for label, k in zip(labels, first, strict=True) if label != group[i]]
