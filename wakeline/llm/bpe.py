@@ -110,23 +110,23 @@ class Codec(dict):
 def stitch(codec: Codec, chunks: list[tuple[int, str, np.ndarray]], chunk: int) -> list[str]:
     """Pre-tokens of the whole text from (start, text, boundaries) of its chunks in order."""
     text = "".join(part[:chunk] if i + 1 < len(chunks) else part for i, (_, part, _) in enumerate(chunks))
-    true, i, reach = [chunks[0][2]], 0, 1
+    # `own` begins at a sure boundary and holds the current chunk's from there on
+    done, own, i, reach = [], chunks[0][2], 0, 1
     while i + 1 < len(chunks):
-        own, start = true[-1], chunks[i + 1][0]
-        common = np.intersect1d(own[own >= start], chunks[i + 1][2])
+        start, _, found = chunks[i + 1]
+        common = np.intersect1d(own[own >= start], found)
         if len(common):
-            true[-1] = own[own <= common[0]]
-            true.append(chunks[i + 1][2][chunks[i + 1][2] > common[0]])
+            done.append(own[own < common[0]])
+            own = found[found >= common[0]]
             i, reach = i + 1, 1
             continue
         # no common boundary: read on from the last sure one, twice as far each time
         last = min(i + 1 + reach, len(chunks)) - 1
         end = chunks[last][0] + len(chunks[last][1])
-        final = last + 1 == len(chunks)
-        sure = own[-1] if len(own) else max(b[-1] for b in true if len(b))
-        true[-1] = np.concatenate([own[:-1], codec.boundaries(text[sure:end], sure, final)])
+        sure = int(own[-1])
+        own = np.concatenate([own[:-1], codec.boundaries(text[sure:end], sure, last + 1 == len(chunks))])
         i, reach = last, reach * 2
-    cuts = np.concatenate(true).tolist()
+    cuts = np.concatenate([*done, own]).tolist()
     return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
