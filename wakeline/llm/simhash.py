@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from wakeline.llm import rows
 from wakeline.llm.components import components
+from wakeline.llm.ordered import written
 
 SHINGLE = 3
 SEED = 42
@@ -158,7 +159,7 @@ def links(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """Every row of ``docs`` with ``bits`` and ``component_id``.
+    """For every row of ``docs``: ``doc_id``, ``bits`` and ``component_id``.
 
     Words are runs of anything but white space of ASCII, A-Z lower-cased; a
     fingerprint counts every shingle as often as it occurs. Fewer words than a shingle
@@ -166,9 +167,9 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle
     ``component_id`` is the smallest document id among all rows that can be reached
     over links; null only where no such row has an id. Equal texts are linked.
     """
-    docs = docs.drop("bits", "component_id")
-    marked = fingerprints(docs, text, shingle)
-    smallest = marked.groupBy("bits").agg(F.min(doc_id).alias("least"))
+    given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    marked = written(fingerprints(given, "text", shingle).select("doc_id", "bits"), "fingerprints")
+    smallest = marked.groupBy("bits").agg(F.min("doc_id").alias("least"))
     roots = components(links(smallest, threshold))
     known = smallest.join(roots.withColumnRenamed("node", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
     ids = known.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -182,6 +183,7 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
     keyed = docs.withColumn("__key", key).withColumn("__digest", F.md5(F.coalesce(F.col(text), F.lit(""))))
     place = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("__key").alias("key"), F.col("__digest").alias("digest"))
     marked = fingerprints(keyed.select(place.alias("place"), F.col(text).alias("body")), "body", shingle).select("place", "bits")
+    marked = written(marked, "fingerprints")
     smallest = marked.groupBy("bits").agg(F.min("place").alias("least"))
     roots = components(links(smallest, threshold))
     known = smallest.join(roots.withColumnRenamed("node", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
