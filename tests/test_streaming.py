@@ -70,9 +70,10 @@ def test_latest_snapshots(spark, sf, landing, tmp_path):
     rows = silver_stream(spark, landing)
     state = stateful.stream_latest(rows)
     root = str(tmp_path / "out")
-    run = stateful.start_latest_snapshots(state, root, str(tmp_path / "c"), every=None, retain=2)
-    run.awaitTermination()
-    got = stateful.read_newest_version(spark, root, run, state.schema)
+    for _ in range(2):  # the second run finds nothing new, the snapshot is still there
+        stateful.start_latest_snapshots(state, root, str(tmp_path / "c"), every=None, retain=2).awaitTermination()
+    got = stateful.read_newest_version(spark, root, state.schema)
+    assert stateful.read_newest_version(spark, root + "-none", state.schema).count() == 0
     assert same(got, latest.latest_per_vessel(fixture.silver(spark, sf).drop("event_id")))
     kept = readers.read_table(spark, root, state.schema).select("v").distinct().count()
     assert kept == 2
@@ -109,6 +110,20 @@ def test_late_reports_are_set_aside(spark, tmp_path):
     assert [tuple(r) for r in late] == [("A", t0, True)]
 
 
+def test_a_vessel_without_a_name_keeps_its_state(spark, tmp_path):
+    t0 = datetime(2024, 1, 1)
+    schema = "ship_name STRING, timestamp TIMESTAMP, in_port BOOLEAN"
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    batches = [[(None, t0, False), ("A", t0, True)], [(None, t0 + timedelta(hours=1), True)]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        stateful.start_transitions(stream, root, str(tmp_path / "c"), every=None).awaitTermination()
+    got = stateful.read_versions(spark, f"{root}/events", EVENTS)
+    assert [tuple(r) for r in got.collect()] == [(None, t0 + timedelta(hours=1), "entry")]
+    assert same(got, visits.port_transitions(spark.read.schema(schema).parquet(source)))
+
+
 def test_rerun_of_a_batch_overwrites_its_output(spark, tmp_path):
     state = spark.createDataFrame([("A", 1)], "k STRING, v1 INT")
     for _ in range(2):

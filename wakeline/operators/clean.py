@@ -27,12 +27,11 @@ def parse_events(records: DataFrame) -> DataFrame:
 
 
 def drop_sentinel_positions(positions: DataFrame) -> DataFrame:
-    """Remove rows whose latitude or longitude is missing or exactly 0.
+    """Remove rows whose latitude or longitude is missing, not a number or exactly 0.
 
-    Missing values fail the comparison, so the two terms are enough and both
-    reach the Parquet scan.
+    Missing values fail the comparisons with 0, which reach the Parquet scan.
     """
-    return positions.filter((F.col("lat") != 0) & (F.col("lon") != 0))
+    return positions.filter((F.col("lat") != 0) & (F.col("lon") != 0) & ~F.isnan("lat") & ~F.isnan("lon"))
 
 
 def drop_unavailable_positions(positions: DataFrame) -> DataFrame:
@@ -69,6 +68,7 @@ def to_lake(positions: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 
 def conform(df: DataFrame) -> DataFrame:
-    """Enforce the lake schema: exactly its columns, in order, cast to its types."""
+    """Enforce the lake schema: exactly its columns, in order, cast to its types. A value
+    that does not fit its type becomes null and does not fail the job."""
     types = dict(part.strip().split(" ", 1) for part in schemas.LAKE.split(","))
-    return df.select(*[F.col(c).cast(types[c]).alias(c) for c in schemas.LAKE_COLUMNS])
+    return df.select(*[F.col(c).try_cast(types[c]).alias(c) for c in schemas.LAKE_COLUMNS])

@@ -8,11 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULTS
-from wakeline.operators.sizing import is_small
-from wakeline.session import checkpointed
-
-# Most vessels whose newest times are broadcast (some tens of MB).
-BROADCAST_VESSELS = 1_000_000
 
 
 def latest_per_vessel(
@@ -21,8 +16,6 @@ def latest_per_vessel(
     order: str = "timestamp",
     ties: Sequence[str] = (),
     columns: Sequence[str] | None = None,
-    two_pass: bool | None = None,
-    broadcast_vessels: int = BROADCAST_VESSELS,
 ) -> DataFrame:
     """One row per vessel: the one with the greatest ``order``, missing times last.
 
@@ -30,19 +23,11 @@ def latest_per_vessel(
     answer never depends on row order. ``columns`` names what the caller needs
     (the scan reads only these); default all.
 
-    One pass takes the greatest row as a struct: each task keeps one row per
+    The greatest row is taken as a struct in one pass: each task keeps one row per
     vessel before the shuffle, so a vessel with a third of all rows costs no
-    more than any other, but rows are sorted by vessel in the task. On large
-    input a first pass over two columns, hashed without sorting, finds each
-    vessel's newest time, and the second keeps only rows at that time. It
-    applies if the vessels can be counted and broadcast. ``two_pass`` forces
-    or forbids it; by default the input size decides.
+    more than any other, and no job runs while the plan is built.
     """
     wanted = list(columns) if columns is not None else positions.columns
-    if two_pass is None:
-        two_pass = not positions.isStreaming and not is_small(positions)
-    if two_pass:
-        positions = _at_newest_time(positions, key, order, broadcast_vessels)
     ranked = [order, *ties]
     rest = [c for c in wanted if c != key and c not in ranked]
     return (
@@ -52,17 +37,6 @@ def latest_per_vessel(
     )
 
 
-def _at_newest_time(positions: DataFrame, key: str, order: str, most: int) -> DataFrame:
-    """Rows at their vessel's newest time; all rows if there are too many vessels."""
-    newest = checkpointed(
-        positions.groupBy(F.col(key).alias("_key")).agg(F.max(order).alias("_newest"))
-    )
-    if newest.count() > most:
-        return positions
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(order).eqNullSafe(F.col("_newest"))
-    return positions.join(F.broadcast(newest), same, "left_semi")
-
-
 def as_of(positions: DataFrame, when: Column, audit_column: str = "ingestion_time") -> DataFrame:
     """The append-only table as it stood at ``when``."""
     return positions.filter(F.col(audit_column) <= when)

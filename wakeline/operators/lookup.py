@@ -20,7 +20,7 @@ def lookup_join(
     salts: int = SALTS,
 ) -> DataFrame:
     """``rows`` left-joined with ``lookup`` (aliased ``r`` and ``l``) on equal ``on``
-    columns and ``condition``.
+    columns, null being equal to null, and ``condition``.
 
     The lookup is broadcast only if counting finds at most ``broadcast_rows``
     rows. Otherwise both sides shuffle on (key, salt): rows of one key spread
@@ -39,5 +39,5 @@ def lookup_join(
         on.append("_salt")
     match = F.lit(True) if condition is None else condition
     for name in on:
-        match = match & (F.col(f"r.{name}") == F.col(f"l.{name}"))
+        match = match & F.col(f"r.{name}").eqNullSafe(F.col(f"l.{name}"))
     return rows.alias("r").join(lookup.alias("l"), match, "left")

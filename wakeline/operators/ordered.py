@@ -1,11 +1,10 @@
 """Previous/next row per key when one key may hold most of the rows.
 
-A plain ``lag`` puts a whole key into one task. Keys are therefore counted first
-(one narrow pass): the usual ones take the plain window, and rows of the few heavy
-ones are range-partitioned by (key, order), so that a key spreads over many
-partitions. The neighbour is then found inside each partition, and only the first
-and last row of a key in each partition go through a second, small window that
-joins the pieces up.
+A plain ``lag`` puts a whole key into one task. Rows are therefore cut into slices
+of time: the neighbour is found inside each (key, slice), and only the first and
+last row of each slice, and the rows that are kept anyway, go through a second window
+per key that joins the slices up. A slice is a function of the row alone, so there
+is one plan for every size of input and no count is needed to choose it.
 """
 
 from __future__ import annotations
@@ -15,76 +14,38 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeline.operators.sizing import is_small
-
-HEAVY_ROWS = 10_000_000
-MOST_HEAVY_KEYS = 100_000
 EDGE = -1
+SLICE_HOURS = 24
 
 Keep = Callable[[Column], Column]
 
 
-def split_heavy(
-    rows: DataFrame, key: str, heavy_rows: int | None = None
-) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of usual keys, rows of heavy keys or None).
-
-    A key is heavy above ``heavy_rows`` rows. The limit is raised until at most
-    ``MOST_HEAVY_KEYS`` keys pass it, as their list goes through the driver and is
-    broadcast. Without ``heavy_rows``, small input is taken as it is.
-    """
-    if heavy_rows is None and is_small(rows):
-        return rows, None
-    counts = rows.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
-    limit = heavy_rows or HEAVY_ROWS
-    while True:
-        above = counts.filter(F.col("_n") > limit).select("_key")
-        found = above.limit(MOST_HEAVY_KEYS + 1).collect()
-        if len(found) <= MOST_HEAVY_KEYS:
-            break
-        limit *= 4
-    if not found:
-        return rows, None
-    heavy = F.broadcast(rows.sparkSession.createDataFrame(found, counts.select("_key").schema))
-    same = F.col(key).eqNullSafe(F.col("_key"))
-    return rows.join(heavy, same, "left_anti"), rows.join(heavy, same, "left_semi")
+def time_slice(time: Column, slice_hours: int = SLICE_HOURS) -> Column:
+    """Number of the slice that ``time`` falls into, from 0 on."""
+    return F.pmod(F.floor(F.unix_seconds(time) / F.lit(slice_hours * 3600)), F.lit(2**40)).cast("long")
 
 
 def with_neighbour(
     rows: DataFrame,
     key: str,
-    order: Sequence[str],
+    time: str,
     values: Sequence[str],
     name: str,
     forward: bool = False,
     keep: Keep | None = None,
-    sliced: bool = False,
+    slice_hours: int = SLICE_HOURS,
 ) -> DataFrame:
-    """Add ``name``: a struct of ``values`` from the previous row of the same key
-    (the next one if ``forward``), null where there is none.
+    """Add ``name``: a struct of ``values`` from the previous row of the same key by
+    ``time`` (the next one if ``forward``), null where there is none.
 
-    ``keep`` maps the neighbour to a predicate on the row; rows failing it are
-    removed. ``sliced`` is the form for heavy keys; it needs (key, order) unique,
-    or copies would crowd one partition.
+    (key, time) must be unique. ``keep`` maps the neighbour to a predicate on the
+    row; rows failing it are removed.
     """
-    if sliced:
-        return _sliced_neighbour(rows, key, order, values, name, forward, keep)
-    near = F.lead if forward else F.lag
-    window = Window.partitionBy(key).orderBy(*order)
-    found = rows.withColumn(name, near(F.struct(*values)).over(window))
-    return found.filter(keep(F.col(name))) if keep is not None else found
-
-
-def _sliced_neighbour(
-    rows: DataFrame, key: str, order: Sequence[str], values: Sequence[str], name: str,
-    forward: bool, keep: Keep | None,
-) -> DataFrame:
     near, far = (F.lead, F.lag) if forward else (F.lag, F.lead)
     payload = F.struct(*values)
 
-    slices = rows.repartitionByRange(key, *order).withColumn("_slice", F.spark_partition_id())
-    inside = Window.partitionBy(key, "_slice").orderBy(*order)
-    local = slices.withColumns(
+    inside = Window.partitionBy(key, "_slice").orderBy(time)
+    local = rows.withColumn("_slice", time_slice(F.col(time), slice_hours)).withColumns(
         {"_near": near(payload).over(inside), "_far": far(F.lit(True)).over(inside)}
     )
     unknown = F.col("_near").isNull()
@@ -94,7 +55,7 @@ def _sliced_neighbour(
 
     across = Window.partitionBy(
         key, F.when(F.col("_edge"), F.lit(EDGE)).otherwise(F.col("_slice"))
-    ).orderBy(*order)
+    ).orderBy(time)
     found = local.withColumn("_over", near(payload).over(across)).withColumn(
         name, F.when(unknown, F.col("_over")).otherwise(F.col("_near"))
     )

@@ -2,59 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULTS
-from wakeline.operators.ordered import split_heavy, with_neighbour
+from wakeline.operators.ordered import SLICE_HOURS, time_slice, with_neighbour
 
 KEY = DEFAULTS.vessel_key
 
 
-def port_states(positions: DataFrame, key: str = KEY, tie: str | None = None) -> DataFrame:
+def port_states(
+    positions: DataFrame, key: str = KEY, tie: str | None = None, slice_hours: int = SLICE_HOURS
+) -> DataFrame:
     """``key, timestamp, in_port``: one state per vessel and instant.
 
-    Copies and simultaneous reports collapse before the shuffle. The report with
-    the greatest ``tie`` decides; without ``tie`` any report inside counts.
+    Of simultaneous reports the one with the greatest ``tie`` decides (null last);
+    among equal ties, and without ``tie``, any report inside counts. The
+    window's partitioning and order also serve the search for neighbours.
     """
-    state = F.max_by("in_port", tie) if tie else F.max("in_port")
-    return (
-        positions.filter(F.col("timestamp").isNotNull())
-        .groupBy(key, "timestamp")
-        .agg(state.alias("in_port"))
-    )
-
-
-def _last_of_instant(reports: DataFrame, key: str, tie: str | None) -> DataFrame:
-    """The same states without an aggregation, for keys that fit one task: the
-    window's partitioning and order also serve the steps that follow."""
-    window = Window.partitionBy(key).orderBy("timestamp", tie or "in_port")
-    after = F.lead("timestamp").over(window)
+    needed = [key, "timestamp", "in_port", *([tie] if tie else [])]
+    window = Window.partitionBy(key, "_slice").orderBy("timestamp", *([tie] if tie else []), "in_port")
     return (
-        reports.withColumn("_after", after)
+        positions.select(*needed)
+        .filter(F.col("timestamp").isNotNull())
+        .withColumn("_slice", time_slice(F.col("timestamp"), slice_hours))
+        .withColumn("_after", F.lead("timestamp").over(window))
         .filter(F.col("_after").isNull() | (F.col("_after") > F.col("timestamp")))
         .select(key, "timestamp", "in_port")
     )
 
 
-def _per_vessel(
-    positions: DataFrame, key: str, tie: str | None, heavy_rows: int | None,
-    steps: Callable[[DataFrame, bool], DataFrame],
-) -> DataFrame:
-    """Apply ``steps(states, sliced)`` to usual vessels in the plain form and to
-    heavy ones in the sliced form."""
-    needed = [key, "timestamp", "in_port", *([tie] if tie else [])]
-    reports = positions.select(*needed).filter(F.col("timestamp").isNotNull())
-    usual, heavy = split_heavy(reports, key, heavy_rows)
-    result = steps(_last_of_instant(usual, key, tie), False)
-    if heavy is not None:
-        result = result.unionByName(steps(port_states(heavy, key, tie), True))
-    return result
-
-
-def _changes(states: DataFrame, key: str, sliced: bool, first_inside: bool) -> DataFrame:
+def _changes(states: DataFrame, key: str, first_inside: bool, slice_hours: int) -> DataFrame:
     """Rows whose state differs from the previous one; with ``first_inside`` also a
     vessel's first row when it is already inside."""
 
@@ -63,56 +41,45 @@ def _changes(states: DataFrame, key: str, sliced: bool, first_inside: bool) -> D
         return F.coalesce(differs, F.col("in_port") if first_inside else F.lit(False))
 
     return with_neighbour(
-        states, key, ["timestamp"], ["in_port"], "_before", keep=changed, sliced=sliced
+        states, key, "timestamp", ["in_port"], "_before", keep=changed, slice_hours=slice_hours
     )
 
 
-def changes_of(states: DataFrame, key: str = KEY, sliced: bool = False) -> DataFrame:
-    """Entries and exits from rows of ``key, timestamp, in_port``, one per instant,
-    in one form for all vessels."""
+def changes_of(states: DataFrame, key: str = KEY, slice_hours: int = SLICE_HOURS) -> DataFrame:
+    """Entries and exits from rows of ``key, timestamp, in_port``, one per instant."""
     event = F.when(F.col("in_port"), "entry").otherwise("exit")
-    changes = _changes(states, key, sliced, first_inside=False)
+    changes = _changes(states, key, False, slice_hours)
     return changes.select(key, "timestamp", event.alias("event"))
 
 
-def transitions_of(states: DataFrame, key: str = KEY, heavy_rows: int | None = None) -> DataFrame:
-    """The same with heavy vessels, if any, in the sliced form."""
-    usual, heavy = split_heavy(states, key, heavy_rows)
-    found = changes_of(usual, key, False)
-    return found if heavy is None else found.unionByName(changes_of(heavy, key, True))
-
-
 def port_transitions(
-    positions: DataFrame, key: str = KEY, tie: str | None = None, heavy_rows: int | None = None
+    positions: DataFrame, key: str = KEY, tie: str | None = None, slice_hours: int = SLICE_HOURS
 ) -> DataFrame:
     """``key, timestamp, event``: one row per entry into or exit from the port.
-    A vessel's first report is neither. ``heavy_rows`` as for ``split_heavy``."""
-    return _per_vessel(
-        positions, key, tie, heavy_rows, lambda states, sliced: changes_of(states, key, sliced)
-    )
+    A vessel's first report is neither. ``slice_hours`` only sets how the work is
+    cut, never the answer."""
+    return changes_of(port_states(positions, key, tie, slice_hours), key, slice_hours)
 
 
 def port_visits(
-    positions: DataFrame, key: str = KEY, tie: str | None = None, heavy_rows: int | None = None
+    positions: DataFrame, key: str = KEY, tie: str | None = None, slice_hours: int = SLICE_HOURS
 ) -> DataFrame:
     """``key, entered_at, left_at, entry_seen, dwell_sec``: one row per stay in port.
 
     A stay starts at an entry, or at the vessel's first report if that is inside
     (``entry_seen`` false), and ends at the first report outside (null if none).
     """
-
-    def stays(states: DataFrame, sliced: bool) -> DataFrame:
-        changes = _changes(states, key, sliced, first_inside=True).select(
-            key, "timestamp", "in_port", F.col("_before").isNotNull().alias("entry_seen")
-        )
-        # Entries and exits alternate, so the next change after an entry is its exit.
-        return with_neighbour(
-            changes, key, ["timestamp"], ["timestamp"], "_next", forward=True,
-            keep=lambda _: F.col("in_port"), sliced=sliced,
-        )
-
+    states = port_states(positions, key, tie, slice_hours)
+    changes = _changes(states, key, True, slice_hours).select(
+        key, "timestamp", "in_port", F.col("_before").isNotNull().alias("entry_seen")
+    )
+    # Entries and exits alternate, so the next change after an entry is its exit.
+    stays = with_neighbour(
+        changes, key, "timestamp", ["timestamp"], "_next", forward=True,
+        keep=lambda _: F.col("in_port"), slice_hours=slice_hours,
+    )
     entered, left = F.col("timestamp"), F.col("_next.timestamp")
-    return _per_vessel(positions, key, tie, heavy_rows, stays).select(
+    return stays.select(
         key,
         entered.alias("entered_at"),
         left.alias("left_at"),

@@ -149,15 +149,13 @@ def latest_by_mmsi(spark, d):
 
 @query
 def latest_vessels_sql(spark, d):
-    """The ranking form, in SQL. Spark keeps one row per vessel and task before the shuffle."""
+    """The greatest row per vessel as an aggregate in SQL; ``rn`` is its rank."""
     return spark.sql(
         """
-        SELECT * FROM (
-          SELECT ship_name, lat, lon, speed, heading, status, in_port, timestamp,
-                 row_number() OVER (PARTITION BY ship_name
-                                    ORDER BY timestamp DESC, event_id DESC) AS rn
-          FROM {positions})
-        WHERE rn = 1
+        SELECT newest.*, 1 AS rn
+        FROM (SELECT max_by(struct(ship_name, lat, lon, speed, heading, status, in_port, timestamp),
+                            struct(timestamp, event_id)) AS newest
+              FROM {positions} GROUP BY ship_name)
         """,
         positions=fixture.silver(spark, d),
     )
@@ -499,11 +497,10 @@ def stream_latest(spark, d):
         "ship_name", "lat", "lon", "speed", "in_port", "timestamp", "event_id"
     )
     latest = stateful.stream_latest(rows, ties=TIE)
-    run = stateful.start_latest_snapshots(
+    stateful.start_latest_snapshots(
         latest, f"{root}/out", f"{root}/checkpoint", ties=TIE, every=None
-    )
-    run.awaitTermination()
-    return stateful.read_newest_version(spark, f"{root}/out", run, latest.schema)
+    ).awaitTermination()
+    return stateful.read_newest_version(spark, f"{root}/out", latest.schema)
 
 
 @query

@@ -18,9 +18,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType, TimestampTyp
 
 from wakeline.config import DEFAULTS
 from wakeline.operators.latest import latest_per_vessel, merge_latest
-from wakeline.operators.lookup import lookup_join
-from wakeline.operators.ordered import HEAVY_ROWS
-from wakeline.operators.visits import changes_of, port_states, transitions_of
+from wakeline.operators.visits import changes_of, port_states
 from wakeline.sources.readers import read_table
 
 KEPT_VERSIONS = 10
@@ -75,7 +73,7 @@ def start_latest_snapshots(
 
     def handle(changed: DataFrame, version: int) -> None:
         before = _previous(changed.sparkSession, root, version, schema)
-        _save(merge_latest(before, changed, key=key, ties=ties, two_pass=False), root, version, retain)
+        _save(merge_latest(before, changed, key=key, ties=ties), root, version, retain)
 
     return _start(latest, handle, checkpoint, "update", every)
 
@@ -100,28 +98,28 @@ def start_transitions(
 
     def handle(batch: DataFrame, version: int) -> None:
         before = _previous(batch.sparkSession, f"{root}/state", version, schema)
-        known = before.select(key, F.col("timestamp").alias("known"))
-        states = port_states(batch, key, tie)
+        known = before.select(F.col(key).alias("_key"), F.col("timestamp").alias("_known"))
+        # Both sides have one row per vessel or per vessel and instant; Spark splits a
+        # partition of a busy vessel by itself.
+        same = F.col(key).eqNullSafe(F.col("_key"))
         aged = (
-            lookup_join(states, known, [key])
-            .select("r.*", F.coalesce(F.col("r.timestamp") <= F.col("known"), F.lit(False)).alias("late"))
-            .drop("_salt")
+            port_states(batch, key, tie)
+            .join(known, same, "left")
+            .withColumn("late", F.coalesce(F.col("timestamp") <= F.col("_known"), F.lit(False)))
+            .drop("_key", "_known")
             .persist()
         )
         try:
             usable = aged.filter(~F.col("late")).drop("late")
             # The stored state of a vessel opens its new sequence; as the first row
             # it yields no event itself.
-            touched = before.join(usable.select(key).distinct(), key, "left_semi")
+            seen = usable.select(F.col(key).alias("_key")).distinct()
+            touched = before.join(seen, same, "left_semi")
             _save(aged.filter("late").drop("late"), f"{root}/late", version)
             sequence = usable.unionByName(touched)
-            # Only a batch above the limit can hold a vessel above it.
-            if aged.count() <= HEAVY_ROWS:
-                events = changes_of(sequence, key)
-            else:
-                events = transitions_of(sequence, key, HEAVY_ROWS)
+            events = changes_of(sequence, key)
             _save(events, f"{root}/events", version)
-            _save(merge_latest(before, usable, key=key, two_pass=False), f"{root}/state", version, retain)
+            _save(merge_latest(before, usable, key=key), f"{root}/state", version, retain)
         finally:
             aged.unpersist()
 
@@ -133,11 +131,13 @@ def read_versions(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return read_table(spark, root, schema).drop("v")
 
 
-def read_newest_version(
-    spark: SparkSession, root: str, query: StreamingQuery, schema: StructType
-) -> DataFrame:
-    """The snapshot written by the query's last micro-batch."""
-    progress = query.lastProgress
-    if progress is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(version_path(root, progress["batchId"]))
+def read_newest_version(spark: SparkSession, root: str, schema: str | StructType) -> DataFrame:
+    """The newest complete snapshot under ``root``; empty if there is none.
+
+    Versions are found by listing, so a query that was started again and has had no
+    new data yet is answered too.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v=*/_SUCCESS")
+    found = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(folder)
+    paths = sorted(str(status.getPath().getParent()) for status in found or [])
+    return spark.read.schema(schema).parquet(paths[-1]) if paths else spark.createDataFrame([], schema)
