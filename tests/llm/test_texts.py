@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -323,9 +324,9 @@ def test_language_odd(lab, odd):
 
 def test_unseen_words_go_back_to_shorter_runs(lab):
     model = langid.fit(lab.createDataFrame([("abab abab", "a"), ("cdcd cdcd", "b")], "text string, lang string"))
-    reader = langid._Reader(model)
-    assert reader._longest("abab") and len(reader._longest("ababx")) < 7
-    assert reader.judge("xab")[0] == "a" and reader.judge("dcx")[0] == "b"
+    reader = langid.Reader(model)
+    assert reader.longest("abab") and len(reader.longest("ababx")) < 7
+    assert reader.judge(pa.array(["xab", "dcx", None, "1 !", "ABAB"]))[0] == ["a", "b", "und", "und", "a"]
 
 
 def test_language_is_found_on_held_out_texts(lab):

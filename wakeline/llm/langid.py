@@ -7,16 +7,17 @@ four down to one; their mean is the word's score.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.llm import rows, textscan
+from wakeline.llm.ordered import written
 
 #: Size of the model: the most frequent words and runs that are kept, counted over all training texts.
 MAX_WORDS = 200_000
@@ -27,12 +28,14 @@ LONGEST_RUN = 4
 MAX_WORD_CHARS = 40
 UNKNOWN = "und"
 
-_LETTERS = re.compile(r"[^\W\d_]+")
-_FLUSH = 200_000
+_FLUSH = 400_000
+#: Log frequencies are whole numbers of this part, so that sums do not depend on their order.
+_ONE = 1 << 20
 
 
-def words_of(text: str | None) -> list[str]:
-    return _LETTERS.findall((text or "").lower())
+def _words_only(texts: pa.Array) -> pa.Array:
+    """Lower-cased letters, everything else a space."""
+    return pc.replace_substring_regex(pc.utf8_lower(texts.fill_null("")), r"[^\p{L}]+", " ")
 
 
 def _runs(word: str) -> Iterator[str]:
@@ -42,43 +45,56 @@ def _runs(word: str) -> Iterator[str]:
             yield padded[i : i + n]
 
 
-def _table(counts: Counter) -> pa.RecordBatch:
-    keys = list(counts)
-    return pa.RecordBatch.from_pydict({"lang": [k[0] for k in keys], "unit": [k[1] for k in keys], "n": list(counts.values())})
+_COUNTS = "lang string, unit string, n long"
+
+
+def _table(counts: dict[str, Counter]) -> pa.RecordBatch:
+    langs = [lang for lang, own in counts.items() for _ in own]
+    units = [unit for own in counts.values() for unit in own]
+    n = [n for own in counts.values() for n in own.values()]
+    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(units, pa.string()), pa.array(n, pa.int64())], names=["lang", "unit", "n"])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    counts: dict[str, Counter] = defaultdict(Counter)
     for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            for word, n in Counter(words_of(text)).items():
-                counts[lang, word] += n
-            if len(counts) >= _FLUSH:
+        for piece in textscan.slices(batch, "text"):
+            for lang, text in zip(piece.column("lang").to_pylist(), _words_only(piece.column("text")).to_pylist(), strict=True):
+                counts[lang].update(text.split())
+            if sum(map(len, counts.values())) >= _FLUSH:
                 yield _table(counts)
                 counts.clear()
     yield _table(counts)
 
 
 def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    counts: dict[str, Counter] = defaultdict(Counter)
     for batch in batches:
         for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "unit", "n")), strict=True):
+            own = counts[lang]
             for run in _runs(word):
-                counts[lang, run] += n
-            if len(counts) >= _FLUSH:
-                yield _table(counts)
-                counts.clear()
+                own[run] += n
+        if sum(map(len, counts.values())) >= _FLUSH:
+            yield _table(counts)
+            counts.clear()
     yield _table(counts)
 
 
-_COUNTS = "lang string, unit string, n long"
-
-
 class Model:
-    """``langs`` in order; per word and per run a row of log frequencies."""
-
-    def __init__(self, langs: list[str], words: dict[str, int], runs: dict[str, int], values: np.ndarray):
-        self.langs, self.words, self.runs, self.values = langs, words, runs, values
+    """``langs`` in order; hashes of the known words, sorted, and of the known runs a
+    row number; one row of log frequencies for each."""
+
+    def __init__(self, langs: list[str], words: list[str], runs: list[str], counts: np.ndarray):
+        self.langs = langs
+        values = np.empty_like(counts)
+        for part in (slice(0, len(words)), slice(len(words), None)):
+            smooth = counts[part] + 0.5
+            values[part] = np.log(smooth / smooth.sum(axis=0)) if len(smooth) else smooth
+        values = np.rint(values * _ONE).astype(np.int64)
+        hashed = textscan.hashes(textscan.scan(pa.array(words, pa.string())))
+        order = np.argsort(hashed)
+        self.known, self.word_values = hashed[order], values[: len(words)][order]
+        self.runs, self.run_values = {run: i for i, run in enumerate(runs)}, values[len(words) :]
 
 
 def _most_frequent(counts: DataFrame, limit: int, least: int) -> list:
@@ -94,42 +110,28 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_words:
     rows on the driver and the workers. Ties go by the word itself.
     """
     used = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
-    words = used.mapInArrow(_count_words, _COUNTS).groupBy("lang", "unit").agg(F.sum("n").alias("n"))
-    totals = {"words": dict(words.groupBy("lang").agg(F.sum("n")).collect())}
+    words = written(used.mapInArrow(_count_words, _COUNTS).groupBy("lang", "unit").agg(F.sum("n").alias("n")), "words")
     runs = words.mapInArrow(_count_runs, _COUNTS).groupBy("lang", "unit").agg(F.sum("n").alias("n"))
     top_words = _most_frequent(words.filter(F.length("unit") <= MAX_WORD_CHARS), max_words, MIN_COUNT)
     top_runs = _most_frequent(runs, max_runs, 1)
-    langs = sorted(totals["words"])
+    langs = sorted(r[0] for r in words.select("lang").distinct().collect())
     column = {x: i for i, x in enumerate(langs)}
     counts = np.zeros((len(top_words) + len(top_runs), len(langs)))
     for i, row in enumerate(top_words + top_runs):
         for x, n in row["by"].items():
             counts[i, column[x]] = n
-    values = np.empty_like(counts)
-    for part in (slice(0, len(top_words)), slice(len(top_words), None)):
-        smooth = counts[part] + 0.5
-        values[part] = np.log(smooth / smooth.sum(axis=0)) if len(smooth) else smooth
-    return Model(
-        langs, {r["unit"]: i for i, r in enumerate(top_words)}, {r["unit"]: len(top_words) + i for i, r in enumerate(top_runs)}, values
-    )
+    return Model(langs, [r["unit"] for r in top_words], [r["unit"] for r in top_runs], counts)
 
 
-class _Reader(dict):
-    """Word to a row of scores; unseen words are worked out and kept for a while."""
+class Reader:
+    """Scores texts; what unseen words amount to is kept for a while."""
 
     def __init__(self, model: Model):
-        super().__init__(model.words)
-        self.model, self.next = model, len(model.values)
-        self.values = np.concatenate([model.values, np.zeros((_FLUSH, len(model.langs)))])
-
-    def __missing__(self, word: str) -> int:
-        at = self.next
-        self.values[at] = self.model.values[self._longest(word)].mean(axis=0)
-        self.next += 1
-        self[word] = at
-        return at
-
-    def _longest(self, word: str) -> list[int]:
+        self.model = model
+        self.unseen: dict[int, np.ndarray] = {}
+
+    def longest(self, word: str) -> list[int]:
+        """Rows of the longest known run at each place of the word."""
         padded, runs, found = f" {word} ", self.model.runs, []
         for i in range(len(padded)):
             for n in range(min(LONGEST_RUN, len(padded) - i), 0, -1):
@@ -137,26 +139,47 @@ class _Reader(dict):
                 if at is not None:
                     found.append(at)
                     break
-        return found or list(runs.values())[:1]
-
-    def tidy(self, coming: int) -> None:
-        """Room for that many unseen words."""
-        if self.next + coming > len(self.values):
-            self.clear()
-            self.update(self.model.words)
-            self.next = len(self.model.values)
-            if coming > _FLUSH:
-                self.values = np.concatenate([self.model.values, np.zeros((coming, len(self.model.langs)))])
-
-    def judge(self, text: str | None) -> tuple[str, float]:
-        counts = Counter(words_of(text))
-        if not counts or not self.model.langs or not self.model.runs:
-            return UNKNOWN, 0.0
-        self.tidy(len(counts))
-        at = [self[w] for w in counts]
-        total = (self.values[at] * np.fromiter(counts.values(), np.float64)[:, None]).sum(axis=0)
-        best = int(total.argmax())
-        return self.model.langs[best], float(1 / np.exp(total - total[best]).sum())
+        return found
+
+    def _backoff(self, words: textscan.Words, hashed: np.ndarray, at: np.ndarray) -> np.ndarray:
+        values = np.zeros((len(at), len(self.model.langs)), np.int64)
+        for k, (i, key) in enumerate(zip(at.tolist(), hashed[at].tolist(), strict=True)):
+            row = self.unseen.get(key)
+            if row is None:
+                found = self.longest(words.data[words.start[i] : words.end[i]].tobytes().decode())
+                row = self.model.run_values[found].sum(axis=0) // max(1, len(found))
+                if len(self.unseen) >= _FLUSH:
+                    self.unseen.clear()
+                self.unseen[key] = row
+            values[k] = row
+        return values
+
+    def judge(self, texts: pa.Array) -> tuple[list[str], list[float]]:
+        model, n = self.model, len(texts)
+        words = textscan.scan(_words_only(texts))
+        if not model.langs or not len(words.start):
+            return [UNKNOWN] * n, [0.0] * n
+        hashed = textscan.hashes(words)
+        values = np.zeros((len(hashed), len(model.langs)), np.int64)
+        known = np.zeros(len(hashed), bool)
+        if len(model.known):
+            at = np.minimum(np.searchsorted(model.known, hashed), len(model.known) - 1)
+            known = model.known[at] == hashed
+            values[known] = model.word_values[at[known]]
+        rest = np.flatnonzero(~known)
+        if len(rest):
+            _, first, inverse = np.unique(hashed[rest], return_index=True, return_inverse=True)
+            values[rest] = self._backoff(words, hashed, rest[first])[inverse]
+        sums = np.concatenate([np.zeros((1, len(model.langs)), np.int64), np.cumsum(values, axis=0)])[words.first]
+        total = np.diff(sums, axis=0)
+        best = total.argmax(axis=1)
+        lead = (total - total.max(axis=1, keepdims=True)) / _ONE
+        score = 1 / np.exp(lead).sum(axis=1)
+        some = words.count > 0
+        return (
+            [model.langs[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)],
+            np.where(some, score, 0.0).tolist(),
+        )
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -170,11 +193,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        reader = _Reader(known.value)
+        reader = Reader(known.value)
 
         def work(piece: pa.RecordBatch) -> list[pa.Array]:
-            found = [reader.judge(x) for x in piece.column("__text").to_pylist()]
-            return [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
+            langs, scores = reader.judge(piece.column("__text"))
+            return [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
 
         return work
 
