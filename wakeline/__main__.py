@@ -13,12 +13,16 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from wakeline.config import DEFAULTS
+from wakeline.operators.fleet import CATEGORIES
 from wakeline.plans.reports import control_room
 from wakeline.session import build_session
 from wakeline.sources import readers
 from wakeline.streaming import etl
 
 
+LIMITS = ("min_speed_kn", "max_distance_km", "speed_high_kn", "near_port_km", "stopped_near_port_km")
+
+
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="wakeline")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -28,23 +32,35 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("target", help="topic or folder (normalize), lake path (etl)")
         job.add_argument("--checkpoint", required=True)
         job.add_argument("--servers", default=os.environ.get("KAFKA_BOOTSTRAP_SERVERS"))
-        job.add_argument("--max-offsets", type=int, default=200)
+        job.add_argument("--max-offsets", type=int, default=0, help="records per trigger and topic; 200 suits a small host")
         job.add_argument("--every", default="10 seconds")
         job.add_argument("--once", action="store_true", help="drain what is there and end")
         if name == "etl":
             job.add_argument("--format", default="parquet")
+        else:
+            job.add_argument("--area", action="store_true", help="only positions in the configured feed area")
     report = jobs.add_parser("report")
     report.add_argument("lake")
     report.add_argument("target")
     report.add_argument("--hours", type=int, default=DEFAULTS.history_hours)
     report.add_argument("--bucket-minutes", type=int, default=DEFAULTS.bucket_minutes)
     report.add_argument("--search", default="")
+    report.add_argument("--literal", action="store_true", help="search for the text itself")
+    report.add_argument("--status", nargs="+", choices=CATEGORIES, default=list(CATEGORIES))
+    report.add_argument("--zone", choices=("inside", "outside"))
+    report.add_argument("--min-quality", type=int)
+    report.add_argument("--no-alerts", action="store_true")
+    report.add_argument("--as-of", help="ISO time, default the clock")
+    report.add_argument("--vessel-key", choices=("ship_name", "mmsi"), default=DEFAULTS.vessel_key)
+    report.add_argument("--format", default="parquet")
+    for name in LIMITS:
+        report.add_argument("--" + name.replace("_", "-"), type=float, default=getattr(DEFAULTS, name))
     return parser.parse_args(argv)
 
 
 def records(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.servers:
-        return readers.stream_kafka(spark, args.servers, args.source, args.max_offsets)
+        return readers.stream_kafka(spark, args.servers, args.source, args.max_offsets or None)
     return readers.stream_text(spark, args.source)
 
 
@@ -52,8 +68,14 @@ def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session(f"wakeline-{args.job}")
     if args.job == "report":
-        settings = DEFAULTS.but(history_hours=args.hours, bucket_minutes=args.bucket_minutes)
-        reports = control_room(readers.read_lake(spark, args.lake), settings, search=args.search)
+        settings = DEFAULTS.but(
+            history_hours=args.hours, bucket_minutes=args.bucket_minutes, vessel_key=args.vessel_key,
+            **{name: getattr(args, name) for name in LIMITS},
+        )
+        reports = control_room(
+            readers.read_lake(spark, args.lake, fmt=args.format), settings, args.as_of, not args.no_alerts,
+            search=args.search, literal=args.literal, statuses=args.status, zone=args.zone, min_quality=args.min_quality,
+        )
         for name, table in reports.items():
             table.write.mode("overwrite").parquet(f"{args.target}/{name}")
         reports["fleet"].unpersist()
@@ -61,7 +83,8 @@ def main(argv: list[str] | None = None) -> None:
     every = None if args.once else args.every
     if args.job == "normalize":
         run = etl.start_normalize(
-            records(spark, args), args.target, args.checkpoint, args.servers, every
+            records(spark, args), args.target, args.checkpoint, args.servers, every,
+            DEFAULTS.feed_area if args.area else None,
         )
     else:
         run = etl.start_etl(

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULTS, Settings
 from wakeline.functions import vessel
-from wakeline.operators.once import evaluate_once
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -59,16 +58,16 @@ def speed_histogram(fleet: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     """Vessels per speed bin: equal bins between slowest and fastest, the fastest in
     the last one; empty bins are left out."""
     n = settings.histogram_bins
-    speeds = fleet.select("speed").filter(F.col("speed").isNotNull())
-    lo, hi = F.min("speed"), F.max("speed")
-    bounds = speeds.agg(F.struct(lo.alias("lo"), ((hi - lo) / n).alias("width"))).scalar()
-    lo, width, number = F.col("bounds.lo"), F.col("bounds.width"), F.col("bin")
+    # One row per distinct speed, so that the bounds need no second look at the fleet.
+    every = Window.partitionBy()
+    speeds = fleet.filter(F.col("speed").isNotNull()).groupBy("speed").agg(F.count("*").alias("vessels"))
+    bounded = speeds.withColumns({"lo": F.min("speed").over(every), "hi": F.max("speed").over(every)})
+    lo, width, number = F.col("lo"), (F.col("hi") - F.col("lo")) / n, F.col("bin")
     step = F.floor(F.try_divide(F.col("speed") - lo, width))
     index = F.when(width > 0, F.least(step + 1, F.lit(n))).otherwise(1)
     return (
-        evaluate_once(speeds, bounds, "bounds")
-        .groupBy(index.cast("int").alias("bin"))
-        .agg(F.count("*").alias("vessels"), F.min(lo).alias("lo"), F.min(width).alias("width"))
+        bounded.groupBy(index.cast("int").alias("bin"))
+        .agg(F.sum("vessels").alias("vessels"), F.min(lo).alias("lo"), F.min(width).alias("width"))
         .select(
             "bin",
             (F.col("lo") + (number - 1) * F.col("width")).alias("bin_from"),

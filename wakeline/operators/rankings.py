@@ -6,16 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeline import schemas
 from wakeline.config import DEFAULTS, Settings
 
 
 def operational_table(fleet: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """By category, fastest first, at most ``max_rows``."""
     return (
-        fleet.select(
-            settings.vessel_key, "speed", "heading", "status_category",
-            "distance_to_port_km", "age_sec", "time_display",
-        )
+        fleet.select(settings.vessel_key, *schemas.OPERATIONAL_COLUMNS)
         .orderBy(
             F.asc_nulls_last("status_category"), F.desc_nulls_last("speed"), settings.vessel_key
         )
@@ -25,7 +23,7 @@ def operational_table(fleet: DataFrame, settings: Settings = DEFAULTS) -> DataFr
 
 def top_speed(fleet: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     return (
-        fleet.select(settings.vessel_key, "speed", "distance_to_port_km", "status_category")
+        fleet.select(settings.vessel_key, *schemas.TOP_SPEED_COLUMNS)
         .orderBy(F.desc_nulls_last("speed"), settings.vessel_key)
         .limit(settings.top_speed_rows)
     )
@@ -34,9 +32,7 @@ def top_speed(fleet: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 def stalest(fleet: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """The vessels heard from longest ago."""
     return (
-        fleet.select(
-            settings.vessel_key, "age_sec", "time_display", "status_category", "distance_to_port_km"
-        )
+        fleet.select(settings.vessel_key, *schemas.STALEST_COLUMNS)
         .orderBy(F.desc_nulls_last("age_sec"), settings.vessel_key)
         .limit(settings.worst_rows)
     )

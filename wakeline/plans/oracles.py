@@ -74,13 +74,12 @@ _KEY = "concat_ws('|', priority, ship_name, type, time_display)"
 
 def _timeline(where: str, minutes: int) -> str:
     return f"""
-SELECT time_bucket(INTERVAL '{minutes} minutes', timestamp) AS ts_bin,
-       count(DISTINCT ship_name) AS vessels_total,
-       CAST(sum(CASE WHEN in_port THEN 1 ELSE 0 END) AS BIGINT) AS rows_in_port,
-       CAST(sum(CASE WHEN NOT in_port AND speed > 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS rows_moving,
-       CAST(sum(CASE WHEN NOT in_port AND speed <= 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS rows_stopped
-FROM silver {where}
-GROUP BY 1"""
+, binned AS (SELECT *, time_bucket(INTERVAL '{minutes} minutes', timestamp) AS ts_bin FROM silver {where})
+SELECT ts_bin, count(DISTINCT ship_name) AS vessels_total,
+       count(*) FILTER (in_port) AS rows_in_port,
+       count(*) FILTER (NOT in_port AND speed > 0.5) AS rows_moving,
+       count(*) FILTER (NOT in_port AND speed <= 0.5) AS rows_stopped
+FROM binned GROUP BY ts_bin"""
 
 
 def _trailing(hours: int) -> str:
@@ -168,6 +167,14 @@ ORACLES: dict[str, str] = {
     "bbox_positions": _with(
         "SELECT * FROM positions WHERE lat BETWEEN 27.0 AND 29.5 AND lon BETWEEN -18.5 AND -13.0"
     ),
+    "bbox_inner": _with(
+        "SELECT * FROM positions WHERE lat >= 28.1 AND lat <= 28.2 AND lon >= -15.45 AND lon <= -15.35"
+    ),
+    "geofence_concave": _with(
+        """SELECT event_id, (lat > 28.0705 AND lat < 28.1305 AND lon > -15.4805 AND lon < -15.3605)
+                        OR (lat > 28.0705 AND lat < 28.2205 AND lon > -15.4805 AND lon < -15.4205) AS in_port
+FROM silver"""
+    ),
     "geofence_flag": _with("SELECT event_id, in_port FROM silver"),
     "geofence_polygon": _with("SELECT event_id, in_port FROM silver"),
     "port_assignment": _with(
@@ -182,6 +189,14 @@ SELECT event_id, port FROM silver LEFT JOIN boxes
     ),
     "normalize_ais": _with(_RAW + " SELECT * FROM normal"),
     "ingest_outcomes": _with(_RAW + " SELECT outcome, count(*) AS messages FROM outcome GROUP BY 1"),
+    "ingest_outcomes_malformed": _with(
+        _RAW
+        + """ SELECT CASE WHEN event_id % 211 = 0 THEN 'malformed' ELSE outcome END AS outcome,
+       count(*) AS messages FROM outcome GROUP BY 1"""
+    ),
+    "normalize_area": _with(
+        _RAW + " SELECT * FROM normal WHERE lat >= 28.1 AND lat <= 28.2 AND lon >= -15.45 AND lon <= -15.35"
+    ),
     "nav_status_counts": _with(_RAW + " SELECT status, count(*) AS messages FROM normal GROUP BY 1"),
     "json_roundtrip": _with(
         "SELECT mmsi, ship_name, lat, lon, speed, heading, status, timestamp FROM positions"
@@ -306,6 +321,13 @@ FROM ruled"""
         _EVERY_POSITION
         + f"""
 SELECT priority, ship_name AS ship, type, time_display AS time, count(*) AS raised, {_KEY} AS alert_key
+FROM alerts WHERE priority = 'high' GROUP BY priority, ship_name, type, time_display"""
+    ),
+    "alert_dedup_repeated": _with(
+        _EVERY_POSITION
+        + f"""
+SELECT priority, ship_name AS ship, type, time_display AS time,
+       CAST(sum(CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS raised, {_KEY} AS alert_key
 FROM alerts WHERE priority = 'high' GROUP BY priority, ship_name, type, time_display"""
     ),
     "contract_violations": _with(
@@ -339,12 +361,7 @@ FROM stays WHERE in_port"""
         """SELECT mmsi, ship_name, lat, lon, speed, heading, status, timestamp, in_port,
        strftime(timestamp, '%Y-%m-%d') AS date FROM silver"""
     ),
-    # Buckets the watermark (newest time less 10 minutes) has closed.
-    "stream_timeline": _with(
-        "SELECT * FROM ("
-        + _timeline("", 10)
-        + ") WHERE ts_bin + INTERVAL '10 minutes' <= (SELECT t FROM newest) - INTERVAL '10 minutes'"
-    ),
+    "stream_timeline": _with(_timeline("", 10)),
     "stream_transitions": _with(_TRANSITIONS),
     "stream_latest": _with(f"SELECT {_LATEST_CORE} FROM latest"),
     "stream_alert_dedup": _with(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline import schemas
-from wakeline.config import DEFAULTS, Settings
+from wakeline.config import DEFAULTS, Rectangle, Settings
 from wakeline.functions.times import hours
 from wakeline.operators import (
     alerts as al,
@@ -86,6 +86,25 @@ def bbox_positions(spark, d):
     return clean.within_box(clean.drop_unavailable_positions(fixture.positions(spark, d)))
 
 
+# A box inside the data and a polygon that is not its own hull.
+INNER = Rectangle(28.1, 28.2, -15.45, -15.35)
+CORNER = (
+    (-15.4805, 28.0705), (-15.3605, 28.0705), (-15.3605, 28.1305),
+    (-15.4205, 28.1305), (-15.4205, 28.2205), (-15.4805, 28.2205),
+)
+
+
+@query
+def bbox_inner(spark, d):
+    return clean.within_box(clean.drop_unavailable_positions(fixture.positions(spark, d)), INNER)
+
+
+@query
+def geofence_concave(spark, d):
+    rows = clean.drop_sentinel_positions(fixture.positions(spark, d))
+    return clean.flag_harbour(rows, polygon=CORNER).select("event_id", "in_port")
+
+
 @query
 def geofence_flag(spark, d):
     return fixture.silver(spark, d).select("event_id", "in_port")
@@ -113,6 +132,20 @@ def ingest_outcomes(spark, d):
     return normalize.ingest_outcomes(fixture.raw_ais(spark, d))
 
 
+@query
+def ingest_outcomes_malformed(spark, d):
+    """Every 211th message is cut off."""
+    raw = fixture.raw_ais(spark, d)
+    cut = F.when(F.col("event_id") % 211 == 0, F.substring("value", 1, 40)).otherwise(F.col("value"))
+    return normalize.ingest_outcomes(raw.withColumn("value", cut))
+
+
+@query
+def normalize_area(spark, d):
+    """Only messages from an area, as the feed may be asked for."""
+    return clean.within_box(normalize_ais(spark, d), INNER)
+
+
 @query
 def nav_status_counts(spark, d):
     return normalize_ais(spark, d).groupBy("status").agg(F.count("*").alias("messages"))
@@ -391,6 +424,14 @@ def alert_dedup(spark, d):
     return al.distinct_alerts(al.find_alerts(fleet, WIDE))
 
 
+@query
+def alert_dedup_repeated(spark, d):
+    """As above with a third of all positions reported twice."""
+    silver = fixture.silver(spark, d)
+    twice = silver.unionByName(silver.filter("event_id % 3 = 0"))
+    return al.distinct_alerts(al.find_alerts(fl.enrich(twice, WIDE, F.col("timestamp")), WIDE))
+
+
 # --- data quality --------------------------------------------------------------------
 
 
@@ -467,14 +508,15 @@ def stream_etl(spark, d):
     )
 
 
-def _silver_stream(spark, d):
-    return clean.to_silver(fixture.as_positions(fixture.stream_events(spark, d)))
+def _silver_stream(spark, d, root, **how):
+    events = fixture.stream_events(spark, d, f"{root}/landing", **how)
+    return clean.to_silver(fixture.as_positions(events))
 
 
 @query
 def stream_timeline(spark, d):
     root = working_dir(spark, "stream-timeline")
-    counts = traffic.stream_traffic(_silver_stream(spark, d))
+    counts = traffic.stream_traffic(_silver_stream(spark, d, root, closing=True))
     sink = (f"{root}/table", f"{root}/checkpoint")
     writers.stream_to_table(counts, *sink, every=None, partition_by=None).awaitTermination()
     return readers.read_table(spark, sink[0], counts.schema)
@@ -484,7 +526,7 @@ def stream_timeline(spark, d):
 def stream_transitions(spark, d):
     root = working_dir(spark, "stream-transitions")
     stateful.start_transitions(
-        _silver_stream(spark, d), f"{root}/out", f"{root}/checkpoint", tie="event_id", every=None
+        _silver_stream(spark, d, root), f"{root}/out", f"{root}/checkpoint", tie="event_id", every=None
     ).awaitTermination()
     schema = "ship_name STRING, timestamp TIMESTAMP, event STRING"
     return stateful.read_versions(spark, f"{root}/out/events", schema)
@@ -493,7 +535,7 @@ def stream_transitions(spark, d):
 @query
 def stream_latest(spark, d):
     root = working_dir(spark, "stream-latest")
-    rows = _silver_stream(spark, d).select(
+    rows = _silver_stream(spark, d, root).select(
         "ship_name", "lat", "lon", "speed", "in_port", "timestamp", "event_id"
     )
     latest = stateful.stream_latest(rows, ties=TIE)
@@ -506,7 +548,8 @@ def stream_latest(spark, d):
 @query
 def stream_alert_dedup(spark, d):
     root = working_dir(spark, "stream-alerts")
-    notices = st_alerts.stream_high_alerts(_silver_stream(spark, d), WIDE)
+    silver = _silver_stream(spark, d, root, again=True)
+    notices = st_alerts.stream_high_alerts(silver, WIDE, remember="60 days")
     sink = (f"{root}/table", f"{root}/checkpoint")
     writers.stream_to_table(notices, *sink, every=None, partition_by=None).awaitTermination()
     table = readers.read_table(spark, sink[0], notices.schema)

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wakeline import schemas
 from wakeline.config import DEFAULTS, Settings
 from wakeline.functions import vessel
 from wakeline.operators import alerts as al
@@ -16,7 +17,7 @@ from wakeline.operators.fleet import enrich, filter_fleet
 from wakeline.operators.latest import latest_per_vessel
 from wakeline.operators.timeline import traffic_timeline
 
-SNAPSHOT_COLUMNS = ("lat", "lon", "speed", "heading", "status", "in_port", "timestamp")
+SNAPSHOT_COLUMNS = schemas.SNAPSHOT_COLUMNS
 
 
 def fleet_snapshot(
@@ -36,17 +37,20 @@ def control_room(
     lake: DataFrame,
     settings: Settings = DEFAULTS,
     as_of: Column | datetime | str | None = None,
+    with_alerts: bool = True,
     **filters,
 ) -> dict[str, DataFrame]:
     """Every report by name. The snapshot feeds most of them, so it is computed once
     and kept (one row per vessel); ``reports["fleet"].unpersist()`` releases it.
 
     Fleet figures and freshness cover all vessels; tables, charts and alerts the
-    vessels passing ``filters`` (as for ``filter_fleet``).
+    vessels passing ``filters`` (as for ``filter_fleet``). Without ``with_alerts`` the
+    alert reports are left out and every marker is a normal one.
     """
     fleet = fleet_snapshot(lake, settings, as_of).persist()
     shown = filter_fleet(fleet, settings, **filters)
     alerts = al.find_alerts(shown, settings)
+    alert_reports = {"alerts": al.ordered_alerts(alerts), "alert_kpis": al.alert_kpis(alerts)}
     return {
         "fleet": fleet,
         "fleet_kpis": kpis.fleet_kpis(fleet, settings),
@@ -57,19 +61,20 @@ def control_room(
         "status_counts": kpis.status_counts(shown),
         "speed_histogram": kpis.speed_histogram(shown, settings),
         "speed_vs_distance": kpis.speed_vs_distance(shown, settings),
-        "map_layers": map_layers(shown, settings),
-        "alerts": al.ordered_alerts(alerts),
-        "alert_kpis": al.alert_kpis(alerts),
+        "map_layers": map_layers(shown, settings, with_alerts),
+        **(alert_reports if with_alerts else {}),
         "timeline": traffic_timeline(lake, settings, as_of),
     }
 
 
-def map_layers(fleet: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def map_layers(
+    fleet: DataFrame, settings: Settings = DEFAULTS, with_alerts: bool = True
+) -> DataFrame:
     """Marker per vessel: layer ``alert`` (fixed colour and size) or ``normal``.
 
     An alert is decided by its own row alone, so no join is needed here.
     """
-    alerting = al.alert_type(settings).isNotNull()
+    alerting = al.alert_type(settings).isNotNull() if with_alerts else F.lit(False)
     return fleet.select(
         settings.vessel_key,
         "lat",

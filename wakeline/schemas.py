@@ -33,3 +33,12 @@ LAKE = POSITION + ", in_port BOOLEAN, ingestion_time TIMESTAMP, date DATE"
 LAKE_COLUMNS = (*POSITION_COLUMNS, "in_port", "ingestion_time", "date")
 
 TEXT = "value STRING"
+
+# Columns of the outputs, in order. The vessel key, where a report has one, is
+# the first of each.
+SNAPSHOT_COLUMNS = ("lat", "lon", "speed", "heading", "status", "in_port", "timestamp")
+OPERATIONAL_COLUMNS = (
+    "speed", "heading", "status_category", "distance_to_port_km", "age_sec", "time_display",
+)
+TOP_SPEED_COLUMNS = ("speed", "distance_to_port_km", "status_category")
+STALEST_COLUMNS = ("age_sec", "time_display", "status_category", "distance_to_port_km")

@@ -45,9 +45,26 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(events_path(sf_dir))
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A stream's plain path must be a folder; a pattern may name a single file as well.
-    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
+def stream_events(
+    spark: SparkSession, sf_dir: str, folder: str, parts: int = 4, again: bool = False, closing: bool = False
+) -> DataFrame:
+    """All events as a stream of at least ``parts`` micro-batches, in order of ``event_id``.
+
+    They are landed in ``folder`` in that many steps. ``again`` lands the first part
+    once more at the end, late and repeated; ``closing`` adds one event a day after
+    the newest, so that every window before it closes.
+    """
+    events = read_events(spark, sf_dir)
+    low, high, newest = events.agg(F.min("event_id"), F.max("event_id"), F.max("ts")).first()
+    bounds = [low + (high + 1 - low) * i // parts for i in range(parts + 1)]
+    steps = [events.filter((F.col("event_id") >= a) & (F.col("event_id") < b)) for a, b in zip(bounds, bounds[1:], strict=False)]
+    if again:
+        steps.append(steps[0])
+    if closing:
+        steps.append(events.filter(F.col("event_id") == low + 1).withColumn("ts", F.lit(newest) + F.make_dt_interval(days=F.lit(1))))
+    for step in steps:
+        step.write.mode("append").parquet(folder)
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 def as_positions(events: DataFrame) -> DataFrame:

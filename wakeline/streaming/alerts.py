@@ -15,16 +15,13 @@ def stream_high_alerts(
 ) -> DataFrame:
     """Each high alert once per notification key while the key is remembered.
 
-    ``remember`` bounds the state; a key seen again after that is notified
-    again. Duplicates are removed per input partition first, so that a flood of
-    copies of one alert is not sent whole to a single task.
+    ``remember`` bounds the state and is also how late a report may be: older ones
+    give no notice and are left to the batch report ``distinct_alerts``. A key seen
+    again after that is notified again. Only high alerts reach the state, one per key.
     """
     marked = silver.withWatermark("timestamp", remember)
     fleet = enrich(marked, settings, F.col("timestamp"))
     alerts = high_alerts(find_alerts(fleet, settings, carry=["timestamp"]))
-    keyed = alerts.withColumn("alert_key", alert_key()).withColumn("_part", F.spark_partition_id())
-    once_per_part = keyed.dropDuplicatesWithinWatermark(["alert_key", "_part"])
-    return once_per_part.dropDuplicatesWithinWatermark(["alert_key"]).select(
+    return alerts.withColumn("alert_key", alert_key()).dropDuplicatesWithinWatermark(["alert_key"]).select(
         "priority", "ship", "type", "time", "alert_key", "timestamp"
     )
-

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from wakeline.config import DEFAULTS, Settings
-from wakeline.operators.clean import parse_events, to_lake
+from wakeline.config import DEFAULTS, Rectangle, Settings
+from wakeline.operators.clean import parse_events, to_lake, within_box
 from wakeline.operators.normalize import normalize_ais
 from wakeline.sources.writers import stream_to_table, to_json_records
 
@@ -29,10 +29,13 @@ def start_normalize(
     checkpoint: str,
     servers: str | None = None,
     every: str | None = "10 seconds",
+    area: Rectangle | None = None,
 ) -> StreamingQuery:
     """Raw AIS messages to JSON position records: to topic ``target`` when ``servers``
-    is given, else to a folder. Records are stamped with their arrival time."""
-    records = to_json_records(normalize_ais(messages.select("value")))
+    is given, else to a folder. Records are stamped with their arrival time. With
+    ``area`` only positions inside it are passed on."""
+    positions = normalize_ais(messages.select("value"))
+    records = to_json_records(within_box(positions, area) if area else positions)
     if not servers:
         return stream_to_table(records, target, checkpoint, "text", every, partition_by=None)
     trigger = {"processingTime": every} if every else {"availableNow": True}
