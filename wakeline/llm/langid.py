@@ -98,16 +98,28 @@ class Model:
 
 
 def _most_frequent(counts: DataFrame, limit: int, least: int) -> list:
+    """Units by count, at most ``limit`` of them: all from some count upwards. The count is
+    read off a histogram, so that no more than the chosen rows go to the driver."""
     by_unit = counts.groupBy("unit").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-    return by_unit.filter(F.col("total") >= least).orderBy(F.desc("total"), "unit").limit(limit).collect()
+    level = F.floor(F.log2("total") * 32).cast("int")
+    sizes = by_unit.filter(F.col("total") >= least).groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()
+    kept, room = [], limit
+    for row in sorted(sizes, reverse=True):
+        room -= row["n"]
+        if room < 0:
+            break
+        kept.append(row["level"])
+    if not kept:
+        return []
+    return sorted(by_unit.filter((F.col("total") >= least) & (level >= min(kept))).select("unit", "by").collect())
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_words: int = MAX_WORDS, max_runs: int = MAX_RUNS) -> Model:
     """A model of all rows of ``labelled`` that have a text and a language.
 
-    Words and runs are counted over all of them; the ``max_words`` most frequent words
-    (of those found twice) and ``max_runs`` runs are the model, at most that many
-    rows on the driver and the workers. Ties go by the word itself.
+    Words and runs are counted over all of them; the most frequent words (of those found
+    twice) and runs are the model, down to a count at which there are at most
+    ``max_words`` and ``max_runs``. No more rows go to the driver and the workers.
     """
     used = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     words = written(used.mapInArrow(_count_words, _COUNTS).groupBy("lang", "unit").agg(F.sum("n").alias("n")), "words")

@@ -65,9 +65,15 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sampled(labels: DataFrame, doc_id: str, limit: int) -> DataFrame:
     """Of trusted rows one half is the target and one half sets the threshold."""
     own = labels.filter(F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    order = F.xxhash64(F.lit(7), doc_id)
-    good = own.filter("quality = 1 AND coalesce(toxic, 0) = 0").orderBy(order, doc_id).limit(limit)
-    poor = own.filter("quality = 0").orderBy(order, doc_id).limit(limit)
+    trusted, bad = F.expr("quality = 1 AND coalesce(toxic, 0) = 0"), F.expr("quality = 0")
+    counts = own.agg(F.count_if(trusted), F.count_if(bad)).first()
+
+    def share(n: int):
+        # a little under the limit, so that chance does not carry the choice over it
+        part = min(1.0, 0.95 * limit / n) if n > limit else 1.0
+        return F.pmod(F.xxhash64(F.lit(7), doc_id), F.lit(1 << 30)) < int(part * (1 << 30))
+
+    good, poor = own.filter(trusted & share(counts[0])), own.filter(bad & share(counts[1]))
     half = F.when(F.pmod(F.xxhash64(F.lit(8), doc_id), F.lit(2)) == 0, "target").otherwise("good")
     return good.select(doc_id, half.alias("use")).unionByName(poor.select(doc_id, F.lit("poor").alias("use")))
 
