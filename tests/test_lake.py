@@ -94,3 +94,26 @@ def test_object_store_settings():
 
 def test_working_folder_is_the_shared_one(spark):
     assert working_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
+
+
+def test_a_load_written_again_replaces_itself(spark, sf, tmp_path):
+    rows = clean.to_lake(fixture.positions(spark, sf))
+    for _ in range(2):
+        writers.append_lake(rows, str(tmp_path / "lake"), load="one")
+    assert readers.read_lake(spark, str(tmp_path / "lake")).count() == 9_688
+
+
+def test_compaction_keeps_every_row(spark, sf, tmp_path):
+    path = str(tmp_path / "lake")
+    rows = clean.to_lake(fixture.positions(spark, sf)).filter("date IN ('2024-01-03', '2024-01-04')")
+    for i in range(5):
+        writers.append_lake(rows.filter(F.pmod("mmsi", F.lit(5)) == i), path)
+    before = readers.read_lake(spark, path)
+    want, day = before.count(), date(2024, 1, 3)
+    files = before.filter(F.col("date") == F.lit(day)).select(F.input_file_name()).distinct().count()
+    writers.compact_day(spark, path, day)
+    after = readers.read_lake(spark, path)
+    assert after.count() == want
+    assert after.filter(F.col("date") == F.lit(day)).select(F.input_file_name()).distinct().count() < files
+    kept = after.select("mmsi", "timestamp")
+    assert kept.exceptAll(rows.select("mmsi", "timestamp")).count() == 0

@@ -2,6 +2,7 @@
 
     normalize  raw AIS messages (folder or topic) to JSON position records
     etl        JSON position records to the lake table
+    compact    few files in place of a closed day's many
     report     every control-room report over the lake table, as Parquet
 """
 
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 import os
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +18,7 @@ from wakeline.config import DEFAULTS
 from wakeline.operators.fleet import CATEGORIES
 from wakeline.plans.reports import control_room
 from wakeline.session import build_session
-from wakeline.sources import readers
+from wakeline.sources import readers, writers
 from wakeline.streaming import etl
 
 
@@ -37,8 +39,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--once", action="store_true", help="drain what is there and end")
         if name == "etl":
             job.add_argument("--format", default="parquet")
+            job.add_argument("--quarantine", help="folder for records that break the data contract")
         else:
             job.add_argument("--area", action="store_true", help="only positions in the configured feed area")
+    compact = jobs.add_parser("compact")
+    compact.add_argument("lake")
+    compact.add_argument("days", nargs="+", type=date.fromisoformat, help="closed days, as YYYY-MM-DD")
     report = jobs.add_parser("report")
     report.add_argument("lake")
     report.add_argument("target")
@@ -67,6 +73,10 @@ def records(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session(f"wakeline-{args.job}")
+    if args.job == "compact":
+        for day in args.days:
+            writers.compact_day(spark, args.lake, day)
+        return
     if args.job == "report":
         settings = DEFAULTS.but(
             history_hours=args.hours, bucket_minutes=args.bucket_minutes, vessel_key=args.vessel_key,
@@ -88,7 +98,7 @@ def main(argv: list[str] | None = None) -> None:
         )
     else:
         run = etl.start_etl(
-            records(spark, args), args.target, args.checkpoint, fmt=args.format, every=every
+            records(spark, args), args.target, args.checkpoint, fmt=args.format, every=every, quarantine=args.quarantine
         )
     etl.run_until_stopped(run)
 

@@ -15,14 +15,16 @@ from wakeline.operators.once import evaluate_once
 MEASURES = ("lat", "lon", "speed", "heading")
 
 
-def parse_events(records: DataFrame) -> DataFrame:
+def parse_events(records: DataFrame, keep_text: bool = False) -> DataFrame:
     """Flat JSON records in ``value`` (text or bytes) to typed positions.
 
-    Garbage gives a row of nulls and a wrongly typed field a null field; the
-    coordinate filter removes what is unusable.
+    Garbage gives a row of nulls and a wrongly typed or overflowing field a null
+    field; the coordinate filter removes what is unusable. ``keep_text`` carries
+    ``value`` along as text.
     """
-    event = F.from_json(F.col("value").cast("string"), schemas.WIRE_EVENT)
-    flat = evaluate_once(records.select("value"), event, "event").select("event.*")
+    text = records.select(F.col("value").cast("string").alias("value"))
+    event = F.from_json(F.col("value"), schemas.WIRE_EVENT)
+    flat = evaluate_once(text, event, "event").select("event.*", *(["value"] if keep_text else []))
     return flat.withColumn("timestamp", parse_utc(F.col("timestamp")))
 
 

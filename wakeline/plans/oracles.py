@@ -157,6 +157,26 @@ SELECT {key}, age_sec, time_display, category AS status_category, round(distance
 FROM fleet ORDER BY age_sec DESC, {key} LIMIT 25"""
 
 
+_FIELDS = ("mmsi", "ship_name", "lat", "lon", "speed", "heading", "status", "timestamp")
+_CHECKED = _RULES | {"position_zero": "lat = 0 OR lon = 0"}
+_QUARANTINE = (
+    """, fed AS (SELECT event_id, """
+    + ", ".join(
+        f"CASE WHEN event_id % 211 = 0 THEN NULL"
+        + (" WHEN event_id % 223 = 0 THEN NULL" if c == "mmsi" else "")
+        + (" WHEN event_id % 223 <> 0 AND event_id % 227 = 0 AND lat IS NOT NULL THEN 'NaN'::DOUBLE" if c == "lat" else "")
+        + f" ELSE {c} END AS {c}"
+        for c in _FIELDS
+    )
+    + """ FROM positions),
+broken AS ("""
+    + " UNION ALL ".join(f"SELECT event_id, '{name}' AS rule FROM fed WHERE {test}" for name, test in _CHECKED.items())
+    + """)
+SELECT rule AS outcome, count(*) AS records FROM broken GROUP BY 1
+UNION ALL SELECT 'set aside', count(DISTINCT event_id) FROM broken
+UNION ALL SELECT 'kept', count(*) FROM fed WHERE event_id NOT IN (SELECT event_id FROM broken)"""
+)
+
 _LATEST_CORE = "ship_name, lat, lon, speed, in_port, timestamp, event_id"
 _DAY, _SIX_HOURS = 86400, 21600
 
@@ -355,6 +375,11 @@ FROM stays WHERE in_port"""
     "rows_by_date": _with(
         "SELECT strftime(timestamp, '%Y-%m-%d') AS date, count(*) AS positions FROM silver GROUP BY 1"
     ),
+    "lake_mixed_writers": _with(
+        """SELECT mmsi, ship_name, lat, lon, speed, heading, status, timestamp, in_port,
+       strftime(timestamp, '%Y-%m-%d') AS date FROM silver"""
+    ),
+    "stream_quarantine": _with(_QUARANTINE),
     "lake_timeline": _with(_timeline(_trailing(24), 10)),
     "csv_export_roundtrip": _with(_OPERATIONAL),
     "stream_etl": _with(

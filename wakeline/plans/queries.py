@@ -479,6 +479,19 @@ def rows_by_date(spark, d):
     return counts.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "positions")
 
 
+@query
+def lake_mixed_writers(spark, d):
+    """Half of the table streamed, half appended, the streamed half run twice."""
+    root = working_dir(spark, "lake-mixed")
+    rows = fixture.positions(spark, d)
+    writers.publish(rows.filter("event_id % 2 = 0"), f"{root}/landing")
+    etl.start_etl(readers.stream_text(spark, f"{root}/landing"), f"{root}/lake", f"{root}/checkpoint", every=None).awaitTermination()
+    writers.append_lake(clean.to_lake(rows.filter("event_id % 2 = 1")), f"{root}/lake")
+    etl.start_etl(readers.stream_text(spark, f"{root}/landing"), f"{root}/lake", f"{root}/checkpoint", every=None).awaitTermination()
+    lake = readers.read_lake(spark, f"{root}/lake").filter("ingestion_time IS NOT NULL")
+    return lake.select(*schemas.POSITION_COLUMNS, "in_port", F.date_format("date", "yyyy-MM-dd").alias("date"))
+
+
 @query
 def lake_timeline(spark, d):
     """Timeline on the partitioned table: dates outside the window are not read."""
@@ -508,6 +521,20 @@ def stream_etl(spark, d):
     )
 
 
+@query
+def stream_quarantine(spark, d):
+    """Records kept and records set aside per broken rule, of a feed with bad records."""
+    root = working_dir(spark, "stream-quarantine")
+    fixture.faulty_records(spark, d).write.text(f"{root}/landing")
+    records = readers.stream_text(spark, f"{root}/landing")
+    out = (f"{root}/lake", f"{root}/checkpoint")
+    etl.start_etl(records, *out, every=None, quarantine=f"{root}/aside").awaitTermination()
+    kept = readers.read_lake(spark, out[0]).select(F.lit("kept").alias("outcome"))
+    aside = readers.read_table(spark, f"{root}/aside", "value STRING, violations ARRAY<STRING>")
+    total = kept.unionAll(aside.select(F.lit("set aside"))).unionAll(aside.select(F.explode("violations")))
+    return total.groupBy("outcome").agg(F.count("*").alias("records"))
+
+
 def _silver_stream(spark, d, root, **how):
     events = fixture.stream_events(spark, d, f"{root}/landing", **how)
     return clean.to_silver(fixture.as_positions(events))

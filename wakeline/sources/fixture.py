@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wakeline import schemas
 from wakeline.config import Settings
 from wakeline.operators.clean import to_silver
 from wakeline.operators.normalize import CLASS_A, CLASS_B
@@ -119,6 +120,19 @@ def raw_ais(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_raw_ais(read_events(spark, sf_dir))
 
 
+def faulty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions as JSON text; some are no JSON, overflow or are not a number."""
+    value, event_id = F.col("value"), F.col("event_id")
+    record = F.to_json(F.struct(*schemas.POSITION_COLUMNS), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    faulty = (
+        F.when(event_id % 211 == 0, "not json")
+        .when(event_id % 223 == 0, F.regexp_replace(value, r'"mmsi":\d+', '"mmsi":99999999999'))
+        .when(event_id % 227 == 0, F.regexp_replace(value, r'"lat":[-0-9.]+', '"lat":NaN'))
+        .otherwise(value)
+    )
+    return positions(spark, sf_dir).select("event_id", record.alias("value")).select(faulty.alias("value"))
+
+
 def ports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One port box per row of ``nation``, laid out on a 5-wide grid without overlaps."""
     key = F.col("n_nationkey")

@@ -37,7 +37,7 @@ def read_lake(
     path = path or os.environ.get("WAKELINE_SNAPSHOT") or os.environ.get("WAKELINE_LAKE")
     if not path:
         raise ValueError("give a path or set WAKELINE_LAKE")
-    lake = read_table(spark, path, fmt=fmt)
+    lake = read_table(spark, path, fmt=fmt).select(*schemas.LAKE_COLUMNS)
     return lake.filter(F.col("date") >= F.lit(since)) if since else lake
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+import hashlib
+import uuid
+from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -31,18 +33,50 @@ def publish(positions: DataFrame, target: str, servers: str | None = None) -> No
 
 
 def append_lake(
-    rows: DataFrame, path: str, fmt: str = "parquet", rebalance: bool = True
+    rows: DataFrame, path: str, fmt: str = "parquet", rebalance: bool = True, load: str | None = None
 ) -> None:
-    """Append to the date-partitioned lake table, enforcing its schema.
+    """Append to the lake table, enforcing its schema.
 
-    Rebalancing by date gives few files per date, and splits a date that holds
-    most rows over several tasks. Rows already grouped by date, such as one
-    day's load, do not need that shuffle.
+    Batches and streams share one layout: by ``date``, and within it by ``load``, the
+    name of what wrote the files. Writing a load of the same name again replaces
+    its files and adds none. Rebalancing by date gives few files per date, and splits a
+    date that holds most rows over several tasks. Rows already grouped by date,
+    such as one day's load, do not need that shuffle.
     """
     table = conform(rows)
     if rebalance:
         table = table.hint("rebalance", "date")
-    table.write.format(fmt).mode("append").partitionBy("date").save(path)
+    _write_load(table, path, fmt, load or f"batch-{uuid.uuid4().hex}", "date")
+
+
+def _write_load(table: DataFrame, path: str, fmt: str, load: str, *by: str) -> None:
+    (
+        table.withColumn("load", F.lit(load))
+        .write.format(fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by, "load")
+        .save(path)
+    )
+
+
+def compact_day(spark: SparkSession, path: str, day: date, fmt: str = "parquet") -> None:
+    """One load in place of all loads of ``day``. For days that nothing is written to
+    any more and while nobody reads them.
+
+    The new load is complete before an old one is deleted; a run that was broken off
+    is finished by the next.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    folder = f"{path}/date={day:%Y-%m-%d}"
+    target, staged = hadoop(f"{folder}/load=compacted"), hadoop(f"{path}/_compacting/date={day:%Y-%m-%d}")
+    files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(hadoop(staged, "_SUCCESS")):
+        rows = spark.read.format(fmt).load(folder).drop("load", "date")
+        rows.hint("rebalance").write.format(fmt).mode("overwrite").save(str(staged))
+    for status in files.globStatus(hadoop(f"{folder}/load=*")):
+        files.delete(status.getPath(), True)
+    files.rename(staged, target)
 
 
 def export_csv(table: DataFrame, folder: str, stem: str = "fleet_filtered") -> str:
@@ -71,3 +105,37 @@ def stream_to_table(
         writer = writer.partitionBy(partition_by)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()
+
+
+def stream_to_lake(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    fmt: str = "parquet",
+    every: str | None = "10 seconds",
+    quarantine: str | None = None,
+) -> StreamingQuery:
+    """Start an append of each micro-batch to the lake, as one load named by the stream and
+    the number of the batch: a batch that runs again replaces its own files.
+
+    With ``quarantine``, rows that have ``violations`` go there instead, with all their columns.
+    """
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
+    def handle(batch: DataFrame, number: int) -> None:
+        load = f"stream-{stream}-{number:012d}"
+        if not quarantine:
+            append_lake(batch, path, fmt, load=load)
+            return
+        batch = batch.persist()
+        try:
+            broken = F.size("violations") > 0
+            append_lake(batch.filter(~broken), path, fmt, load=load)
+            _write_load(batch.filter(broken), quarantine, fmt, load)
+        finally:
+            batch.unpersist()
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle).trigger(**trigger).start()
+    )

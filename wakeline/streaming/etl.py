@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wakeline.config import DEFAULTS, Rectangle, Settings
-from wakeline.operators.clean import parse_events, to_lake, within_box
+from wakeline.operators.clean import flag_harbour, nan_to_null, parse_events, to_lake, within_box
 from wakeline.operators.normalize import normalize_ais
-from wakeline.sources.writers import stream_to_table, to_json_records
+from wakeline.operators.quality import with_violations
+from wakeline.sources.writers import stream_to_lake, stream_to_table, to_json_records
 
 
 def start_etl(
@@ -18,9 +20,28 @@ def start_etl(
     settings: Settings = DEFAULTS,
     fmt: str = "parquet",
     every: str | None = "10 seconds",
+    quarantine: str | None = None,
 ) -> StreamingQuery:
-    """Parse, clean, flag and append. Map-only, so no state and no shuffle."""
-    return stream_to_table(to_lake(parse_events(records), settings), path, checkpoint, fmt, every)
+    """Parse, clean, flag and append; no state.
+
+    By default a row is kept if its position is usable. With ``quarantine`` every record
+    must meet the whole data contract: the others go there with their text
+    (``value``) and the names of the broken rules, so that kept and set aside rows
+    add up to what was read.
+    """
+    if not quarantine:
+        return stream_to_lake(to_lake(parse_events(records), settings), path, checkpoint, fmt, every)
+    return stream_to_lake(judged(records, settings), path, checkpoint, fmt, every, quarantine)
+
+
+def judged(records: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """All records as lake rows with ``value`` and ``violations``, none left out."""
+    at_zero = F.when((F.col("lat") == 0) | (F.col("lon") == 0), F.lit("position_zero"))
+    checked = with_violations(parse_events(records, keep_text=True))
+    checked = checked.withColumn("violations", F.array_compact(F.array_append("violations", at_zero)))
+    return flag_harbour(nan_to_null(checked), settings).withColumns(
+        {"ingestion_time": F.current_timestamp(), "date": F.to_date("timestamp")}
+    )
 
 
 def start_normalize(
