@@ -158,7 +158,7 @@ def test_bpe_odd(odd, library, chunk, overlap):
 def test_bpe_stitches_anywhere(library):
     codec = bpe.Codec(ranks(), P.PATTERN)
     random = np.random.default_rng(3)
-    pieces = ["a", " ", "  ", "\n", "'s", "'", "re", "12", "é", "!!", "word", " ", "漢"]
+    pieces = ["a", " ", "  ", "\0", "\x1c", "\xa0", "\u2028", "\u00b2", "'S", "it's ", " \t", "\n", "'s", "'", "re", "12", "é", "!!", "word", " ", "漢"]
     for _ in range(400):
         text = "".join(random.choice(pieces, random.integers(1, 60)))
         chunk = int(random.integers(4, 12))
@@ -167,6 +167,9 @@ def test_bpe_stitches_anywhere(library):
         parts = [(i * chunk, text[i * chunk : (i + 1) * chunk + overlap]) for i in range(n)]
         chunks = [(s, p, codec.boundaries(p, s, i + 1 == n)) for i, (s, p) in enumerate(parts)]
         assert bpe.stitch(codec, chunks, chunk) == codec.find.findall(text)
+        ids = codec.encode_text(text)
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
+        assert codec.decode(ids) == text.encode()
 
 
 def test_bpe_of_a_table(lab, small, library):

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,7 @@ OVERLAP_CHARS = 512
 #: The longest look of the pattern past the end of a pre-token.
 _LOOK = 3
 _CACHED = 200_000
+_BLANK_BEFORE_SPACE = re.compile(r"\s ")
 
 
 def read_ranks(path: str) -> bytes:
@@ -38,6 +40,25 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
+def _remember(cache: dict, key: str, ids: bytes) -> bytes:
+    if len(key) <= 64:
+        if len(cache) >= _CACHED:
+            cache.clear()
+        cache[key] = ids
+    return ids
+
+
+class _Units(dict):
+    """Maps what lies between two spaces, with the space before it, to its ids."""
+
+    def __init__(self, codec: Codec):
+        super().__init__()
+        self.codec = codec
+
+    def __missing__(self, unit: str) -> bytes:
+        return _remember(self, unit, self.codec.encode(self.codec.find.findall(unit)))
+
+
 class Codec(dict):
     """Maps a pre-token to its ids, as little-endian unsigned 32-bit integers."""
 
@@ -46,17 +67,13 @@ class Codec(dict):
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines()) if token}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.find = regex.compile(pattern)
+        self.units = _Units(self)
 
     def __missing__(self, piece: str) -> bytes:
         raw = piece.encode()
         rank = self.ranks.get(raw)
         ids = [rank] if rank is not None else self._merge(raw)
-        out = np.array(ids, "<u4").tobytes()
-        if len(piece) <= 64:
-            if len(self) >= _CACHED:
-                self.clear()
-            self[piece] = out
-        return out
+        return _remember(self, piece, np.array(ids, "<u4").tobytes())
 
     def _merge(self, raw: bytes) -> list[int]:
         """Merges the neighbours of lowest rank, leftmost first, until none is known."""
@@ -95,6 +112,13 @@ class Codec(dict):
     def encode(self, pieces) -> bytes:
         return b"".join(map(self.__getitem__, pieces))
 
+    def encode_text(self, text: str) -> bytes:
+        """A space after anything but white space begins a pre-token, so a text without
+        other white space before a space can be looked up by such units."""
+        if "\0" in text or _BLANK_BEFORE_SPACE.search(text):
+            return self.encode(self.find.findall(text))
+        return b"".join(map(self.units.__getitem__, text.replace(" ", "\0 ").split("\0")))
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -141,7 +165,8 @@ def encode(
 
     ``ranks`` is the content of a rank file, ``pattern`` splits a text into pre-tokens,
     which are encoded separately and without special tokens. The pattern must not look
-    back, nor more than three characters ahead. Null is encoded as the empty
+    back, nor more than three characters ahead, and no pre-token but white space may hold
+    a space after its first character. Null is encoded as the empty
     text: no ids, no bytes. Columns of the same names are replaced.
     """
     if not 0 < overlap_chars < chunk_chars:
@@ -154,7 +179,7 @@ def encode(
         codec = Codec(known.value, pattern)
 
         def work(piece: pa.RecordBatch) -> list[pa.Array]:
-            ids = [codec.encode(codec.find.findall(x or "")) for x in piece.column("__text").to_pylist()]
+            ids = [codec.encode_text(x or "") for x in piece.column("__text").to_pylist()]
             return [
                 pa.array(ids, pa.binary()),
                 pa.array([len(x) // 4 for x in ids], pa.int64()),
