@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as catalog
-from wakeline.operators import alerts, clean, fleet, latest, timeline
+from wakeline.operators import alerts, clean, fleet, kpis, latest, timeline
 from wakeline.plans.queries import REGISTRY
 from wakeline.sources import readers, writers
 from wakeline.sources.fixture import positions
@@ -89,3 +89,21 @@ def test_timeline_reads_only_recent_dates(spark, lake):
     recent.collect()
     main = metrics(recent._jdf.queryExecution().executedPlan(), "numPartitions")
     assert [int(m.value()) for m in main] == [2]
+
+
+def test_known_newest_day_leaves_other_dates_unplanned(spark, lake):
+    table = readers.read_lake(spark, lake)
+    day = readers.newest_day(spark, lake)
+    recent = timeline.traffic_timeline(timeline.near(table, day, 24))
+    assert sorted(map(str, recent.collect())) == sorted(map(str, timeline.traffic_timeline(table).collect()))
+    assert readers.newest_day(spark, lake + "-none") is None
+    partitions = [re.search(r"PartitionFilters: \[(.*?)\]", part).group(1) for part in details_of(recent).split("Scan parquet")[1:] if "PartitionFilters" in part]
+    assert partitions and all("date" in p for p in partitions)
+
+
+def test_histogram_reads_the_fleet_once(spark, sf):
+    assert plan_of(QUERIES["speed_histogram"](spark, sf)).count("SortAggregate") <= 2
+    assert "Subquery" not in plan_of(kpis.speed_histogram(fleet.filter_fleet(spark.createDataFrame([], FLEET))))
+
+
+FLEET = "ship_name STRING, speed DOUBLE, status_category STRING, distance_to_port_km DOUBLE"

@@ -84,6 +84,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         reports = control_room(
             readers.read_lake(spark, args.lake, fmt=args.format), settings, args.as_of, not args.no_alerts,
+            readers.newest_day(spark, args.lake),
             search=args.search, literal=args.literal, statuses=args.status, zone=args.zone, min_quality=args.min_quality,
         )
         for name, table in reports.items():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +14,9 @@ from wakeline.functions.times import bucket_start, hours
 def newest_time(positions: DataFrame) -> Column:
     """The table's own newest time, as a scalar subquery.
 
-    On a table partitioned by ``date`` only the newest partition's times are
-    read; the date itself comes from the partition values.
+    On a table partitioned by ``date`` only the newest partition's times are read. To find
+    that date every file is opened, though no column of it is read; a caller
+    that knows it from the folders narrows the table first (``near``).
     """
     if "date" in positions.columns:
         newest_date = positions.agg(F.max("date")).scalar()
@@ -23,6 +24,13 @@ def newest_time(positions: DataFrame) -> Column:
     return positions.agg(F.max("timestamp")).scalar()
 
 
+def near(positions: DataFrame, newest_day: date, window_hours: int) -> DataFrame:
+    """Only the partitions that a window of that length up to the end of ``newest_day`` can
+    touch; a literal bound, so the others are not even planned."""
+    first = newest_day - timedelta(days=-(-window_hours // 24))
+    return positions.filter(F.col("date") >= F.lit(first))
+
+
 def trailing(positions: DataFrame, window_hours: int, as_of: Column | datetime | None = None) -> DataFrame:
     """Rows no older than ``window_hours`` before ``as_of`` (default: the newest time).
 

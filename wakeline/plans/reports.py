@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from wakeline.operators import alerts as al
 from wakeline.operators import kpis, rankings
 from wakeline.operators.fleet import enrich, filter_fleet
 from wakeline.operators.latest import latest_per_vessel
-from wakeline.operators.timeline import traffic_timeline
+from wakeline.operators.timeline import near, traffic_timeline
 
 SNAPSHOT_COLUMNS = schemas.SNAPSHOT_COLUMNS
 
@@ -38,6 +38,7 @@ def control_room(
     settings: Settings = DEFAULTS,
     as_of: Column | datetime | str | None = None,
     with_alerts: bool = True,
+    newest_day: date | None = None,
     **filters,
 ) -> dict[str, DataFrame]:
     """Every report by name. The snapshot feeds most of them, so it is computed once
@@ -45,11 +46,14 @@ def control_room(
 
     Fleet figures and freshness cover all vessels; tables, charts and alerts the
     vessels passing ``filters`` (as for ``filter_fleet``). Without ``with_alerts`` the
-    alert reports are left out and every marker is a normal one.
+    alert reports are left out and every marker is a normal one. ``newest_day``, where it is
+    known (``readers.newest_day``) and ``as_of`` is not given, keeps the timeline to the
+    partitions it needs.
     """
     fleet = fleet_snapshot(lake, settings, as_of).persist()
     shown = filter_fleet(fleet, settings, **filters)
     alerts = al.find_alerts(shown, settings)
+    recent = near(lake, newest_day, settings.history_hours) if newest_day and as_of is None else lake
     alert_reports = {"alerts": al.ordered_alerts(alerts), "alert_kpis": al.alert_kpis(alerts)}
     return {
         "fleet": fleet,
@@ -63,7 +67,7 @@ def control_room(
         "speed_vs_distance": kpis.speed_vs_distance(shown, settings),
         "map_layers": map_layers(shown, settings, with_alerts),
         **(alert_reports if with_alerts else {}),
-        "timeline": traffic_timeline(lake, settings, as_of),
+        "timeline": traffic_timeline(recent, settings, as_of),
     }
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Mapping
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -52,18 +56,27 @@ def build_session(app: str = "wakeline", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@cache
+def _own_dir() -> str:
+    """One temporary folder for this process, removed when it ends."""
+    path = tempfile.mkdtemp(prefix="wakeline-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared ``spark.checkpoint.dir``.
+    """The cluster's shared ``spark.checkpoint.dir``, or the checkpoint folder that was set
+    on the context.
 
-    Only where that is unset and Spark runs in local mode is a temporary folder
+    Only where neither is set and Spark runs in local mode is a temporary folder
     of this machine used; on a cluster without a shared folder this fails.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="wakeline-")
+    return _own_dir()
 
 
 def working_dir(spark: SparkSession, purpose: str) -> str:
