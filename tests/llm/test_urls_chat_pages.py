@@ -3,6 +3,7 @@
 import html as entities
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,3 +160,26 @@ def test_pages_of_a_table(lab, small):
         inner = re.search(r"<article>(.*?)(</article>|\Z)", pages[r.page_id], re.DOTALL)[1]
         inner = re.sub(r"<[^>]*>", "", re.sub(r"</?(p|h1|br)>", " ", inner))
         assert r.text == " ".join(entities.unescape(inner).split())
+
+
+def test_alignment_is_a_longest_common_subsequence():
+    random = np.random.default_rng(2)
+    for _ in range(300):
+        a, b = ("".join(random.choice(list("abcd"), random.integers(0, 14))) for _ in range(2))
+        pairs = html._matched(a, b)
+        assert all(a[i] == b[j] for i, j in pairs)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, p in enumerate(a):
+            for j, q in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if p == q else max(best[i][j + 1], best[i + 1][j])
+        assert len(pairs) == best[-1][-1]
+
+
+def test_long_pages_without_repeats_align(lab):
+    random = np.random.default_rng(4)
+    names = ["div", "section", "h2", "h3", "table", "pre", "dl", "ul", "blockquote"]
+    body = ["".join(f"<{t} class=k{k % 7}x>t{i}</{t}>" for i, (t, k) in enumerate(zip(random.choice(names, 4000), random.integers(0, 99, 4000), strict=True))) for _ in range(2)]
+    pages = [(i, "http://h/x", f"<article>{b}</article>") for i, b in enumerate(body)]
+    got = html.extract(lab.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)).collect()
+    assert {r.text for r in got} == {" ".join(f"t{i}" for i in range(4000))}
