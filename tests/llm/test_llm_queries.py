@@ -1,6 +1,7 @@
 """Queries of the subpackage against SQL, and the pipeline."""
 
 import pytest
+from pyspark.sql import functions as F
 from oracle import differences
 
 import corpus_pipeline
@@ -51,3 +52,24 @@ def test_rejected_documents_go(lab, small):
     assert kept.filter("doc_id >= 1000000").count() == 0
     assert kept.count() == docs.count()
     assert langid.UNKNOWN not in {r.lang for r in kept.collect()}
+
+
+def test_empty_tables(lab, small, tmp_path):
+    for name in ("documents", "pages", "benchmark", "labels", "conversations"):
+        table = lab.read.parquet(f"{small}/{name}.parquet")
+        table.limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    full = {n: q(lab, small).columns for n, q in queries.REGISTRY.items()}
+    for name, query in queries.REGISTRY.items():
+        got = query(lab, str(tmp_path))
+        assert (got.columns, got.count()) == (full[name], 0)
+    assert corpus_pipeline.run(lab, str(tmp_path)).count() == 0
+
+
+def test_tables_of_nulls(lab, small, tmp_path):
+    for name in ("documents", "pages", "benchmark", "labels", "conversations"):
+        table = lab.read.parquet(f"{small}/{name}.parquet")
+        nulls = table.limit(5).select(*[F.lit(None).cast(t).alias(c) for c, t in table.dtypes])
+        nulls.write.parquet(str(tmp_path / f"{name}.parquet"))
+    rows = {n: q(lab, str(tmp_path)).count() for n, q in queries.REGISTRY.items()}
+    assert rows == {n: 5 for n in queries.REGISTRY}
+    assert corpus_pipeline.run(lab, str(tmp_path)).count() == 0

@@ -111,6 +111,7 @@ def page(body, head="<title>T</title>"):
         "<header><h2>Site</h2></header><div class='cookie-notice'>We use cookies</div>{}<aside><p>Side</p></aside>",
         "<div id=sidebar-1><p>Side</p></div>{}<section class='comments'><article><p>First!</p></article></section>",
         "<form><label>Name</label><input name=q><textarea>Say</textarea><button>Go</button></form>{}<div class=ad-slot>Buy</div>",
+        "<main>{}<div class='share'>Share</div><ol class=comment-list><li>Nice</li></ol></main><div role=navigation>Next</div>",
         "<script>var a='<article>no</article>';</script><style>p{{x:1}}</style><!-- <p>no</p> -->{}<noscript>no</noscript>",
     ],
 )
