@@ -97,21 +97,24 @@ class Model:
         self.runs, self.run_values = {run: i for i, run in enumerate(runs)}, values[len(words) :]
 
 
-def _most_frequent(counts: DataFrame, limit: int, least: int) -> list:
-    """Units by count, at most ``limit`` of them: all from some count upwards. The count is
-    read off a histogram, so that no more than the chosen rows go to the driver."""
-    by_unit = counts.groupBy("unit").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+def _most_frequent(counts: DataFrame, langs: list[str], limit: int, least: int) -> tuple[list[str], np.ndarray]:
+    """Units by count, at most ``limit`` of them: all from some count upwards, with their counts
+    by language. The count is read off a histogram, so that no more than the
+    chosen rows go to the driver, as columns."""
+    own = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(langs)]
+    by_unit = counts.groupBy("unit").agg(F.sum("n").alias("total"), *own).filter(F.col("total") >= least)
     level = F.floor(F.log2("total") * 32).cast("int")
-    sizes = by_unit.filter(F.col("total") >= least).groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()
     kept, room = [], limit
-    for row in sorted(sizes, reverse=True):
+    for row in sorted(by_unit.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect(), reverse=True):
         room -= row["n"]
         if room < 0:
             break
         kept.append(row["level"])
     if not kept:
-        return []
-    return sorted(by_unit.filter((F.col("total") >= least) & (level >= min(kept))).select("unit", "by").collect())
+        return [], np.zeros((0, len(langs)))
+    table = by_unit.filter(level >= min(kept)).drop("total").toArrow().sort_by("unit")
+    columns = [table.column(f"n{i}").to_numpy() for i in range(len(langs))]
+    return table.column("unit").to_pylist(), np.stack(columns, axis=1).astype(np.float64)
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_words: int = MAX_WORDS, max_runs: int = MAX_RUNS) -> Model:
@@ -123,16 +126,11 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_words:
     """
     used = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     words = written(used.mapInArrow(_count_words, _COUNTS).groupBy("lang", "unit").agg(F.sum("n").alias("n")), "words")
-    runs = words.mapInArrow(_count_runs, _COUNTS).groupBy("lang", "unit").agg(F.sum("n").alias("n"))
-    top_words = _most_frequent(words.filter(F.length("unit") <= MAX_WORD_CHARS), max_words, MIN_COUNT)
-    top_runs = _most_frequent(runs, max_runs, 1)
+    runs = written(words.mapInArrow(_count_runs, _COUNTS).groupBy("lang", "unit").agg(F.sum("n").alias("n")), "runs")
     langs = sorted(r[0] for r in words.select("lang").distinct().collect())
-    column = {x: i for i, x in enumerate(langs)}
-    counts = np.zeros((len(top_words) + len(top_runs), len(langs)))
-    for i, row in enumerate(top_words + top_runs):
-        for x, n in row["by"].items():
-            counts[i, column[x]] = n
-    return Model(langs, [r["unit"] for r in top_words], [r["unit"] for r in top_runs], counts)
+    top_words, of_words = _most_frequent(words.filter(F.length("unit") <= MAX_WORD_CHARS), langs, max_words, MIN_COUNT)
+    top_runs, of_runs = _most_frequent(runs, langs, max_runs, 1)
+    return Model(langs, top_words, top_runs, np.concatenate([of_words, of_runs]))
 
 
 class Reader:
