@@ -84,6 +84,10 @@ def test_published_records_keep_microseconds(spark, sf):
     assert '"timestamp":"2024-01-01T00:00:07.179575' in record
 
 
+def test_a_client_gets_a_bounded_result(spark):
+    assert len(writers.client_rows(spark.range(5000), 10)) == 10
+
+
 def test_object_store_settings():
     assert object_store_conf({}) == {}
     conf = object_store_conf({"WAKELINE_S3_ENDPOINT": "http://store:9000", "AWS_ACCESS_KEY_ID": "k", "AWS_SECRET_ACCESS_KEY": "s"})

@@ -147,6 +147,20 @@ def test_alert_notices(spark, sf, landing, tmp_path):
     assert same(got.select("alert_key"), want.select("alert_key"))
 
 
+def test_late_alerts_are_notified_once(spark, sf, tmp_path):
+    """Parts of the table in reverse order, one of them twice, over two runs."""
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    silver = fixture.silver(spark, sf)
+    for part in (2, 0, 1, 0):
+        silver.filter(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        stateful.start_alert_notices(stream, root, str(tmp_path / "c"), WIDE, every=None).awaitTermination()
+    got = stateful.read_versions(spark, root, stateful.NOTICE)
+    want = alerts.distinct_alerts(alerts.find_alerts(fleet.enrich(silver, WIDE, F.col("timestamp")), WIDE))
+    assert got.count() == want.count() > 0
+    assert same(got.select("alert_key"), want.select("alert_key"))
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         readers.stream_kafka(spark, "localhost:9", DEFAULTS.vessel_key)

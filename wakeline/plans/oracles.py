@@ -393,6 +393,12 @@ FROM stays WHERE in_port"""
         _EVERY_POSITION
         + f"""
 SELECT DISTINCT priority, ship_name AS ship, type, time_display AS time, {_KEY} AS alert_key
+FROM alerts WHERE priority = 'high'"""
+    ),
+    "stream_alert_notices": _with(
+        _EVERY_POSITION
+        + f"""
+SELECT DISTINCT priority, ship_name AS ship, type, time_display AS time, {_KEY} AS alert_key
 FROM alerts WHERE priority = 'high'"""
     ),
 }

@@ -581,3 +581,13 @@ def stream_alert_dedup(spark, d):
     writers.stream_to_table(notices, *sink, every=None, partition_by=None).awaitTermination()
     table = readers.read_table(spark, sink[0], notices.schema)
     return table.select("priority", "ship", "type", "time", "alert_key")
+
+
+@query
+def stream_alert_notices(spark, d):
+    """The first part of the table comes again at the end, late and repeated."""
+    root = working_dir(spark, "stream-notices")
+    silver = _silver_stream(spark, d, root, again=True)
+    stateful.start_alert_notices(silver, f"{root}/out", f"{root}/checkpoint", WIDE, every=None).awaitTermination()
+    notices = stateful.read_versions(spark, f"{root}/out", stateful.NOTICE)
+    return notices.select("priority", "ship", "type", "time", "alert_key")

@@ -6,6 +6,7 @@ import hashlib
 import uuid
 from datetime import date, datetime, timezone
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -86,6 +87,11 @@ def export_csv(table: DataFrame, folder: str, stem: str = "fleet_filtered") -> s
     return target
 
 
+def client_rows(table: DataFrame, rows: int = 1_000) -> pd.DataFrame:
+    """At most ``rows`` rows for a client; more are never sent to the driver."""
+    return table.limit(rows).toPandas()
+
+
 def stream_to_table(
     rows: DataFrame,
     path: str,

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BooleanType, StructField, StructType, TimestampType
 
-from wakeline.config import DEFAULTS
+from wakeline.config import DEFAULTS, Settings
+from wakeline.operators.alerts import find_alerts, unseen_alerts
+from wakeline.operators.fleet import enrich
 from wakeline.operators.latest import latest_per_vessel, merge_latest
 from wakeline.operators.visits import changes_of, port_states
 from wakeline.sources.readers import read_table
@@ -126,6 +128,28 @@ def start_transitions(
     return _start(silver, handle, checkpoint, "append", every)
 
 
+NOTICE = "priority STRING, ship STRING, type STRING, time STRING, raised BIGINT, alert_key STRING"
+
+
+def start_alert_notices(
+    silver: DataFrame, root: str, checkpoint: str, settings: Settings = DEFAULTS,
+    every: str | None = "10 seconds",
+) -> StreamingQuery:
+    """High alerts whose key no earlier micro-batch has had, under ``root``.
+
+    What was notified is the output itself, so it survives restarts, and a report is
+    not refused for being late. ``raised`` counts the reports within the micro-batch.
+    """
+
+    def handle(batch: DataFrame, version: int) -> None:
+        fleet = enrich(batch, settings, F.col("timestamp"))
+        before = read_table(batch.sparkSession, root, NOTICE)
+        seen = before.filter(F.col("v") < version) if "v" in before.columns else before
+        _save(unseen_alerts(find_alerts(fleet, settings), seen), root, version)
+
+    return _start(silver, handle, checkpoint, "append", every)
+
+
 def read_versions(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """All versions together, for outputs that accumulate."""
     return read_table(spark, root, schema).drop("v")
