@@ -16,7 +16,9 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,9 @@ CHUNK_CHARS = 65_536
 OVERLAP_CHARS = 512
 #: The longest look of the pattern past the end of a pre-token.
 _LOOK = 3
-_CACHED = 200_000
+#: Pre-tokens and units kept by a worker, twice: those of late and those before.
+_CACHED = 100_000
+_FEW = 48
 _BLANK_BEFORE_SPACE = re.compile(r"\s ")
 
 
@@ -40,40 +44,59 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
-def _remember(cache: dict, key: str, ids: bytes) -> bytes:
-    if len(key) <= 64:
-        if len(cache) >= _CACHED:
-            cache.clear()
-        cache[key] = ids
-    return ids
+class _Remembering(dict):
+    """Works out a missing value and keeps it; what was not used for long is forgotten."""
 
-
-class _Units(dict):
-    """Maps what lies between two spaces, with the space before it, to its ids."""
-
-    def __init__(self, codec: Codec):
+    def __init__(self, work):
         super().__init__()
-        self.codec = codec
+        self.work, self.older = work, {}
 
-    def __missing__(self, unit: str) -> bytes:
-        return _remember(self, unit, self.codec.encode(self.codec.find.findall(unit)))
+    def __missing__(self, key: str) -> bytes:
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.work(key)
+        if len(key) <= 64:
+            if len(self) >= _CACHED:
+                self.older = dict(self)
+                self.clear()
+            self[key] = ids
+        return ids
 
 
-class Codec(dict):
-    """Maps a pre-token to its ids, as little-endian unsigned 32-bit integers."""
+class Codec:
+    """``pieces`` maps a pre-token, ``units`` what lies between two spaces with the space
+    before it, to ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, ranks: bytes, pattern: str):
-        super().__init__()
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines()) if token}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.none = 1 + max(self.tokens)
         self.find = regex.compile(pattern)
-        self.units = _Units(self)
+        self.pieces = _Remembering(self._piece)
+        self.units = _Remembering(lambda unit: self.encode(self.find.findall(unit)))
 
-    def __missing__(self, piece: str) -> bytes:
+    def _piece(self, piece: str) -> bytes:
         raw = piece.encode()
         rank = self.ranks.get(raw)
-        ids = [rank] if rank is not None else self._merge(raw)
-        return _remember(self, piece, np.array(ids, "<u4").tobytes())
+        ids = [rank] if rank is not None else self._merge_few(raw) if len(raw) <= _FEW else self._merge(raw)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _merge_few(self, raw: bytes) -> list[int]:
+        """The same merges as ``_merge`` by looking at all pairs each time."""
+        get, none = self.ranks.get, self.none
+        cuts = list(range(len(raw) + 1))
+        pairs = [get(raw[i : i + 2], none) for i in range(len(raw) - 1)]
+        while pairs:
+            best = min(pairs)
+            if best == none:
+                break
+            i = pairs.index(best)
+            del cuts[i + 1], pairs[i]
+            if i:
+                pairs[i - 1] = get(raw[cuts[i - 1] : cuts[i + 1]], none)
+            if i < len(pairs):
+                pairs[i] = get(raw[cuts[i] : cuts[i + 2]], none)
+        return [self.ranks[raw[a:b]] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _merge(self, raw: bytes) -> list[int]:
         """Merges the neighbours of lowest rank, leftmost first, until none is known."""
@@ -110,7 +133,7 @@ class Codec(dict):
         return out
 
     def encode(self, pieces) -> bytes:
-        return b"".join(map(self.__getitem__, pieces))
+        return b"".join(map(self.pieces.__getitem__, pieces))
 
     def encode_text(self, text: str) -> bytes:
         """A space after anything but white space begins a pre-token, so a text without
@@ -131,6 +154,12 @@ class Codec(dict):
         return np.concatenate([[0], ends]) + start
 
 
+@lru_cache(maxsize=2)
+def codec_of(ranks: bytes, pattern: str) -> Codec:
+    """One codec for all tasks of a worker, with what it remembers."""
+    return Codec(ranks, pattern)
+
+
 def stitch(codec: Codec, chunks: list[tuple[int, str, np.ndarray]], chunk: int) -> list[str]:
     """Pre-tokens of the whole text from (start, text, boundaries) of its chunks in order."""
     text = "".join(part[:chunk] if i + 1 < len(chunks) else part for i, (_, part, _) in enumerate(chunks))
@@ -176,7 +205,7 @@ def encode(
     docs = docs.drop("ids", "n_tokens", "decoded")
 
     def make():
-        codec = Codec(known.value, pattern)
+        codec = codec_of(known.value, pattern)
 
         def work(piece: pa.RecordBatch) -> list[pa.Array]:
             ids = [codec.encode_text(x or "") for x in piece.column("__text").to_pylist()]
@@ -191,7 +220,7 @@ def encode(
     short = rows.append(docs.filter(~long).withColumn("__body", F.col(text)), "__body", _NEW, make).drop("__body")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(known.value, pattern)
+        codec = codec_of(known.value, pattern)
         for batch in batches:
             key, number, start, part, final = (batch.column(i).to_pylist() for i in range(5))
             found = [codec.boundaries(p, s, f).astype("<i8").tobytes() for p, s, f in zip(part, start, final, strict=True)]
@@ -201,7 +230,7 @@ def encode(
             )
 
     def joined(table: pa.Table) -> pa.Table:
-        codec = Codec(known.value, pattern)
+        codec = codec_of(known.value, pattern)
         parts = sorted(table.to_pylist(), key=lambda r: r["number"])
         ids = codec.encode(stitch(codec, [(r["start"], r["part"], np.frombuffer(r["found"], "<i8")) for r in parts], chunk_chars))
         return pa.table({"key": [parts[0]["key"]], "ids": pa.array([ids], pa.binary()), "n_tokens": pa.array([len(ids) // 4], pa.int64()), "decoded": pa.array([codec.decode(ids)], pa.binary())})

@@ -28,7 +28,7 @@ LONGEST_RUN = 4
 MAX_WORD_CHARS = 40
 UNKNOWN = "und"
 
-_FLUSH = 400_000
+_FLUSH = 150_000
 #: Log frequencies are whole numbers of this part, so that sums do not depend on their order.
 _ONE = 1 << 20
 
