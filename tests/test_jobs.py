@@ -6,6 +6,7 @@ from wakeline.__main__ import main
 from wakeline.functions.vessel import one_decimal
 from wakeline.operators import normalize
 from wakeline.sources import fixture, readers
+from wakeline.streaming import stateful
 
 
 def test_raw_messages_to_reports(spark, sf, tmp_path):
@@ -30,6 +31,26 @@ def test_raw_messages_to_reports(spark, sf, tmp_path):
     assert layers.filter("layer = 'alert'").count() == spark.read.parquet(f"{out}/alerts").count()
 
 
+def test_notices_quarantine_compaction_and_filters(spark, sf, tmp_path):
+    events, lake, aside, out, notices = (str(tmp_path / n) for n in ("events", "lake", "aside", "out", "notices"))
+    fixture.faulty_records(spark, sf).write.text(events)
+    main(["etl", events, lake, "--checkpoint", str(tmp_path / "c1"), "--once", "--quarantine", aside])
+    for _ in range(2):
+        main(["notify", events, notices, "--checkpoint", str(tmp_path / "c2"), "--once"])
+    kept = readers.read_lake(spark, lake)
+    assert kept.count() + spark.read.parquet(aside).count() == 10_000
+    keys = stateful.read_versions(spark, notices, stateful.NOTICE).select("alert_key")
+    assert keys.count() == keys.distinct().count() > 0
+    before = kept.count()
+    main(["compact", lake, "2024-01-03"])
+    assert readers.read_lake(spark, lake).count() == before
+    main(["report", lake, out, "--status", "moving", "--zone", "outside", "--no-alerts", "--min-speed-kn", "1"])
+    shown = spark.read.parquet(f"{out}/operational_table")
+    assert shown.count() > 0 and shown.filter("status_category <> 'moving' OR speed < 1").count() == 0
+    assert not (tmp_path / "out" / "alerts").exists()
+    assert spark.read.parquet(f"{out}/map_layers").filter("layer = 'alert'").count() == 0
+
+
 def test_one_decimal_rounds_like_c(spark):
     values = [0.25, 0.35, 0.45, 2.5, 1234.05, 0.05, 0.15, 9.95, 10.0, -0.25]
     df = spark.createDataFrame([(v,) for v in values], "x DOUBLE")

@@ -2,6 +2,7 @@
 
     normalize  raw AIS messages (folder or topic) to JSON position records
     etl        JSON position records to the lake table
+    notify     JSON position records to high alerts, each key once
     compact    few files in place of a closed day's many
     report     every control-room report over the lake table, as Parquet
 """
@@ -15,11 +16,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from wakeline.config import DEFAULTS
+from wakeline.operators.clean import parse_events, to_silver
 from wakeline.operators.fleet import CATEGORIES
 from wakeline.plans.reports import control_room
 from wakeline.session import build_session
 from wakeline.sources import readers, writers
-from wakeline.streaming import etl
+from wakeline.streaming import etl, stateful
 
 
 LIMITS = ("min_speed_kn", "max_distance_km", "speed_high_kn", "near_port_km", "stopped_near_port_km")
@@ -28,10 +30,10 @@ LIMITS = ("min_speed_kn", "max_distance_km", "speed_high_kn", "near_port_km", "s
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="wakeline")
     jobs = parser.add_subparsers(dest="job", required=True)
-    for name in ("normalize", "etl"):
+    for name in ("normalize", "etl", "notify"):
         job = jobs.add_parser(name)
         job.add_argument("source", help="folder of JSON text, or a topic with --servers")
-        job.add_argument("target", help="topic or folder (normalize), lake path (etl)")
+        job.add_argument("target", help="topic or folder (normalize), lake path (etl), folder (notify)")
         job.add_argument("--checkpoint", required=True)
         job.add_argument("--servers", default=os.environ.get("KAFKA_BOOTSTRAP_SERVERS"))
         job.add_argument("--max-offsets", type=int, default=0, help="records per trigger and topic; 200 suits a small host")
@@ -40,7 +42,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         if name == "etl":
             job.add_argument("--format", default="parquet")
             job.add_argument("--quarantine", help="folder for records that break the data contract")
-        else:
+        if name == "normalize":
             job.add_argument("--area", action="store_true", help="only positions in the configured feed area")
     compact = jobs.add_parser("compact")
     compact.add_argument("lake")
@@ -97,6 +99,9 @@ def main(argv: list[str] | None = None) -> None:
             records(spark, args), args.target, args.checkpoint, args.servers, every,
             DEFAULTS.feed_area if args.area else None,
         )
+    elif args.job == "notify":
+        silver = to_silver(parse_events(records(spark, args)))
+        run = stateful.start_alert_notices(silver, args.target, args.checkpoint, every=every)
     else:
         run = etl.start_etl(
             records(spark, args), args.target, args.checkpoint, fmt=args.format, every=every, quarantine=args.quarantine
