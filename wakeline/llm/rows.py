@@ -11,13 +11,16 @@ from pyspark.sql import types as T
 
 from wakeline.llm import textscan
 
+#: Text worked on at once; its arrays take some twenty times as much.
+SLICE_BYTES = 1 << 20
+
 
 def append(
     docs: DataFrame,
     text: str,
     columns: str,
     make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]],
-    slice_bytes: int = textscan.SLICE_BYTES,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """``docs`` with new ``columns`` (DDL) that replace columns of the same names.
 
