@@ -45,6 +45,14 @@ def test_pipeline_takes_odd_rows(lab, odd, small, tmp_path):
     assert docs.filter("NOT round_trip").count() == 0
 
 
+def test_a_single_repeated_line_goes_in_the_pipeline(lab, small):
+    """Shorter than any length limit, between neighbours that are not repeated with it."""
+    docs = lab.read.parquet(f"{small}/documents.parquet").limit(0)
+    rows = [(i, f"first of {i}\nshort line\n\nlast of {i}", "en", "x", 1) for i in range(3)]
+    kept = corpus_pipeline.remove_lines(lab, lab.createDataFrame(rows, docs.schema), small)
+    assert {r.doc_id: r.text for r in kept.collect()} == {0: rows[0][1], 1: "first of 1\n\nlast of 1", 2: "first of 2\n\nlast of 2"}
+
+
 def test_rejected_documents_go(lab, small):
     docs = lab.read.parquet(f"{small}/documents.parquet")
     extra = lab.createDataFrame([(10**6, "1234 !!", "en", "x", 7), (10**6 + 1, None, None, "x", None)], docs.schema)
