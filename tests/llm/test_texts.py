@@ -15,7 +15,7 @@ import xxhash
 from llm.conftest import ODD
 from pyspark.sql import functions as F
 
-from wakeline.llm import bpe, decontaminate, langid, line_dedup, quality, queries, simhash, substring_dedup
+from wakeline.llm import bpe, decontaminate, langid, line_dedup, quality, queries, similar, simhash, substring_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -131,6 +131,43 @@ def test_fingerprints_of_a_table(lab, small):
     assert got == {r.doc_id: (f"{p:016x}", least[g]) for r, p, g in zip(docs, prints, group, strict=True)}
 
 
+def similar_classes_by_hand(texts, size=5, least=0.8):
+    """Number of classes of ``texts``, by all pairs."""
+    own = []
+    for text in texts:
+        words = WORD.findall(lower(text))
+        own.append({tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set())
+    group = list(range(len(own)))
+    for i, a in enumerate(own):
+        for j in range(i):
+            if len(a & own[j]) >= least * len(a | own[j]) and group[i] != group[j]:
+                group = [group[j] if g == group[i] else g for g in group]
+    return group
+
+
+def test_similar_texts_go_whatever_their_fingerprints(lab, odd):
+    random = np.random.default_rng(9)
+    base = [f"v{n}" for n in random.integers(0, 5000, 200)]
+    texts = [" ".join(base)]
+    for n in range(1, 40):
+        # some under the threshold with the base or with each other
+        own = list(base)
+        for at in random.choice(200, 1 + n % 8, replace=False):
+            own[at] = f"new{n}"
+        texts.append(" ".join(own))
+    texts += ["a b c d", "A  b\nc d", "a b c e", "", None]
+    group = similar_classes_by_hand(texts)
+    prints = np.array([fingerprint_by_hand(t) for t in texts], np.uint64)
+    assert any(g == group[0] and np.bitwise_count(p ^ prints[0]) > 3 for g, p in zip(group[:40], prints[:40], strict=True))
+    docs = lab.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    firsts = {min(i for i, h in enumerate(group) if h == g) for g in set(group)}
+    assert {r.doc_id for r in similar.one_of_each(docs).collect()} == firsts
+    assert similar.one_of_each(docs.limit(0)).count() == 0
+    kept = similar.one_of_each(odd)
+    assert kept.columns == odd.columns
+    assert kept.count() == len(set(similar_classes_by_hand([r[1] for r in ODD])))
+
+
 @pytest.fixture(scope="module")
 def library():
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
