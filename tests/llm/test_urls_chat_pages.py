@@ -129,6 +129,18 @@ def test_template_text_is_found_without_an_article(lab):
     assert {r.page_id: r.text for r in got} == {i: f"Text {i}. More {i}." for i in range(5)}
 
 
+@pytest.mark.parametrize("others", [0, 8])
+@pytest.mark.parametrize("copies", [2, 3, 5])
+def test_copies_of_an_article_are_no_template(lab, others, copies):
+    """On a host that holds only copies, and in a layout of their own among other pages."""
+    own = "<div class=special><h2>Copied head</h2><blockquote>Copied text</blockquote></div>"
+    body = "<p>Site name</p><div class=story><h3>Head {0}</h3><pre>Text {0}</pre></div>"
+    pages = [(i, f"http://h/{i}", page(own if i < copies else body.format(i))) for i in range(copies + others)]
+    got = {r.page_id: r.text for r in html.extract(lab.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert {got[i] for i in range(copies)} == {"Copied head Copied text"}
+    assert all(got[i] == f"Head {i} Text {i}" for i in range(copies, copies + others))
+
+
 def test_odd_pages(lab):
     odd = [None, "", " ", "plain text only", "<", "<p", "<p>cut &am", "</p></div>", "<article>unclosed <p>a<p>b", "<!-- open", "<script>open",
            "<article>" + "<div>" * 3000 + "deep", "<article>" + "word " * 50_000, "<article><p>&#65;&#x42;&notin;&bogus; &amp;amp;</article>"]
