@@ -275,6 +275,15 @@ def test_poor_documents_are_dropped_and_trusted_ones_kept(lab):
     assert good.filter("kept").count() > 0.98 * good.count()
 
 
+def test_toxic_documents_are_dropped(lab):
+    """Learned from one half of the labels, asked about the other."""
+    sf = "/root/testdata/sf0.01"
+    labels, docs = lab.read.parquet(f"{sf}/labels.parquet"), lab.read.parquet(f"{sf}/documents.parquet")
+    got = quality.judge(docs.select("doc_id", "text"), labels.filter("doc_id % 2 = 0")).join(labels.filter("doc_id % 2 = 1"), "doc_id").filter("quality = 1 AND NOT base_failed")
+    kept = {r.toxic: r["avg(CAST(kept AS INT))"] for r in got.groupBy("toxic").agg(F.expr("avg(CAST(kept AS INT))")).collect()}
+    assert kept[1] < 0.3 and kept[0] > 0.9
+
+
 def test_contamination_odd(lab, odd):
     items = [(1, RUN_ITEM), (2, "third LINE"), (3, None), (4, ""), (None, "one"), (5, "größe 東京"), (6, "same same same"), (1, "one")]
     bench = lab.createDataFrame(items, "item_id long, text string")

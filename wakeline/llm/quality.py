@@ -5,6 +5,10 @@ buckets; the buckets' counts over all documents and over trusted ones are two
 multinomials. A text's score is the mean log ratio of the two over its runs.
 Counts are summed in integers and logs are rounded once, so a text's score does not
 depend on how texts are grouped into tasks.
+
+A few toxic words do not move a mean over a whole text. They have a ratio of their own: of
+words and pairs of words, by 64-bit hashes, over the texts of toxic and of trusted rows
+that hold them; a text has the greatest ratio of any of its own.
 """
 
 from __future__ import annotations
@@ -27,6 +31,10 @@ MOST_REPEATED = 0.5
 #: Pseudo-counts, as a share of one run per bucket, that pull the trusted counts to the raw ones.
 SMOOTHING = 1.0
 
+#: A word or pair tells toxic texts only if as many toxic rows hold it and its ratio is as high.
+TOXIC_ROWS = 5
+LEAST_TOXIC_RATIO = 1.0
+
 _ONE = 1 << 20
 _SYMBOLS = np.zeros(256, dtype=np.int64)
 _SYMBOLS[list(b"#*$%&|<>")] = 1
@@ -129,6 +137,81 @@ def _scored(docs: DataFrame, text: str, ratio: np.ndarray) -> DataFrame:
     return rows.append(docs.withColumn("__body", F.col(text)), "__body", "n_grams long, llr double", make).drop("__body")
 
 
+def _word_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashed words and pairs of all texts, and the text of each."""
+    words = textscan.scan(texts, lower=True)
+    single = textscan.hashes(words)
+    pairs = textscan.windows(single, 2)
+    whole = np.flatnonzero(textscan.inside_one_text(words, 2)) if len(pairs) else np.zeros(0, np.int64)
+    value, text = np.concatenate([single, pairs[whole]]), np.concatenate([words.text, words.text[whole]])
+    order = np.lexsort((value, text))
+    value, text = value[order], text[order]
+    first = np.ones(len(value), bool)
+    first[1:] = (value[1:] != value[:-1]) | (text[1:] != text[:-1])
+    return value[first].view(np.int64), text[first]
+
+
+def _holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for piece in textscan.slices(batch, "text"):
+            value, text = _word_grams(piece.column("text"))
+            toxic = (piece.column("use").to_numpy(zero_copy_only=False) == "toxic")[text]
+            grams, at = np.unique(value, return_inverse=True)
+            n = np.bincount(at[toxic], minlength=len(grams))
+            yield pa.RecordBatch.from_pydict({"gram": grams, "toxic": n, "trusted": np.bincount(at, minlength=len(grams)) - n})
+
+
+def fit_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", limit: int = LABELLED_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
+    """Hashes of words and pairs that tell toxic texts, sorted, the log ratio of each, and the
+    greatest that is kept.
+
+    Learned from at most ``limit`` toxic rows of either quality and as many trusted ones,
+    chosen by hash; the limit is the last percentile of the half of the trusted ones that is held
+    back. Without toxic or trusted rows nothing is learned and everything is kept.
+    """
+    own = labels.filter(F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    toxic = own.filter("toxic = 1")
+    part = min(1.0, 0.95 * limit / max(1, toxic.count()))
+    toxic = toxic.filter(F.pmod(F.xxhash64(F.lit(7), doc_id), F.lit(1 << 30)) < int(part * (1 << 30)))
+    trusted = _sampled(labels, doc_id, limit).filter("use IN ('target', 'good')")
+    # broadcast: at most 2 * limit ids
+    used = F.broadcast(toxic.select(doc_id, F.lit("toxic").alias("use")).unionByName(trusted))
+    marked = docs.select(doc_id, F.col(text).alias("text")).join(used, doc_id)
+    sizes = dict(marked.groupBy("use").count().collect())
+    nothing = np.zeros(0, np.int64), np.zeros(0), np.inf
+    if not sizes.get("toxic") or not sizes.get("target"):
+        return nothing
+    held = marked.filter("use <> 'good'").select("text", "use").mapInArrow(_holding, "gram long, toxic long, trusted long")
+    sums = held.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("trusted").alias("trusted"))
+    ratio = F.log((F.col("toxic") + 1) / (sizes["toxic"] + 2.0)) - F.log((F.col("trusted") + 1) / (sizes["target"] + 2.0))
+    # what many labelled toxic rows share: bounded by their number
+    told = sums.filter(F.col("toxic") >= TOXIC_ROWS).select("gram", ratio.alias("ratio")).filter(F.col("ratio") >= LEAST_TOXIC_RATIO).orderBy("gram").collect()
+    if not told:
+        return nothing
+    grams, ratios = np.array([t[0] for t in told], np.int64), np.array([t[1] for t in told])
+    good = _toxicity(marked.filter("use = 'good'"), "text", grams, ratios).agg(F.expr("percentile(toxic_ratio, 0.99)")).first()[0]
+    return grams, ratios, 0.0 if good is None else good
+
+
+def _toxicity(docs: DataFrame, text: str, grams: np.ndarray, ratios: np.ndarray) -> DataFrame:
+    table = docs.sparkSession.sparkContext.broadcast((grams, ratios))
+
+    def make():
+        def work(piece: pa.RecordBatch) -> list[pa.Array]:
+            known, ratio = table.value
+            most = np.zeros(piece.num_rows)
+            if len(known):
+                value, own = _word_grams(piece.column("__text"))
+                at = np.minimum(np.searchsorted(known, value), len(known) - 1)
+                hit = known[at] == value
+                np.maximum.at(most, own[hit], ratio[at[hit]])
+            return [pa.array(most, pa.float64())]
+
+        return work
+
+    return rows.append(docs.withColumn("__body", F.col(text)), "__body", "toxic_ratio double", make).drop("__body")
+
+
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines`` and
     ``n_repeat_words``; all zero for null and empty texts.
@@ -168,13 +251,16 @@ def _measured(piece: pa.RecordBatch) -> list[pa.Array]:
 
 
 def judge(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", limit: int = LABELLED_ROWS) -> DataFrame:
-    """``docs`` with the columns of ``measure``, ``n_grams``, ``llr``, ``base_failed`` and ``kept``.
+    """``docs`` with the columns of ``measure``, ``n_grams``, ``llr``, ``toxic_ratio``, ``base_failed`` and
+    ``kept``.
 
     ``base_failed``: under 50 words, or more than half of them repeated. ``kept``:
-    not failed and ``llr`` at least the threshold of ``fit``. A text of fewer than four
+    not failed, ``llr`` at least the threshold of ``fit`` and ``toxic_ratio`` at most that of
+    ``fit_toxic``. A text of fewer than four
     bytes has ratio zero. Columns of the same names are replaced.
     """
     ratio, least = fit(docs, labels, text, doc_id, limit)
-    scored = _scored(measure(docs, text), text, ratio)
+    grams, ratios, most = fit_toxic(docs, labels, text, doc_id, limit)
+    scored = _toxicity(_scored(measure(docs, text), text, ratio), text, grams, ratios)
     failed: Column = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    return scored.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(float(least))))
+    return scored.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(float(least))) & (F.col("toxic_ratio") <= F.lit(float(most))))

@@ -63,7 +63,7 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @_query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
-    return judged.drop("text", "n_grams")
+    return judged.drop("text", "n_grams", "toxic_ratio")
 
 
 @_query
