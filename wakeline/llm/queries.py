@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import bpe, html, langid, line_dedup, oracles, quality, simhash
+from wakeline.llm import bpe, html, langid, line_dedup, merkle, oracles, packing, quality, simhash, whiten
 from wakeline.llm.chat import rotate
 from wakeline.llm.decontaminate import find_passages
+from wakeline.llm.ordered import written
 from wakeline.llm.substring_dedup import remove_repeats
 from wakeline.llm.url_rules import judge
 from wakeline.llm.workers import importable
@@ -110,6 +111,36 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@_query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whiten.whiten(embeddings, "embedding", ["vec_id"], scale=64, shift=1_000_000)
+
+
+@_query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    doc_id, text = F.col("doc_id"), F.col("text")
+    rest = [F.col(c) for c in ("source", "lang", "n_chars")]
+    broken = F.coalesce(F.crc32(doc_id.cast("string")) % 2 == 0, F.lit(False)) & F.coalesce(F.contains(text, F.lit("\n")), F.lit(False))
+    changed = F.when(broken, merkle.leaf_of(doc_id, *rest, F.replace(text, F.lit("\n"), F.lit(""))))
+    found = merkle.manifest(
+        documents.withColumn("changed", changed), merkle.leaf_of(doc_id, *rest, text), "source", "doc_id", ["doc_id", "changed"]
+    )
+    folded = merkle.fold(F.coalesce("changed", "leaf"), F.col("path"))
+    proof = F.sha2(merkle.proof_text(F.col("path")), 256)
+    found = found.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), folded.alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@_query
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        vocabulary = file.read()
+    cut = packing.pieces(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN)
+    return packing.pack(written(cut, "pieces"))
+
+
 ORACLES: dict[str, str] = {
     "op4_benchmark_decontamination": oracles.CONTAMINATION,
     "op7_url_filters": oracles.URL_FILTERS,
