@@ -1,12 +1,16 @@
 """Readers, writers and the session."""
 
 from datetime import date
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from wakeline import schemas
+from wakeline.config import Rectangle
+from wakeline.functions.curve import hilbert_key
 from wakeline.operators import clean, latest
 from wakeline.plans import reports
 from wakeline.session import object_store_conf, working_dir
@@ -121,3 +125,68 @@ def test_compaction_keeps_every_row(spark, sf, tmp_path):
     assert after.filter(F.col("date") == F.lit(day)).select(F.input_file_name()).distinct().count() < files
     kept = after.select("mmsi", "timestamp")
     assert kept.exceptAll(rows.select("mmsi", "timestamp")).count() == 0
+
+
+def boxes_of_row_groups(path):
+    """Least and greatest latitude and longitude of every row group of the table."""
+    found = []
+    for file in Path(path).rglob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        names = [meta.schema.column(i).name for i in range(meta.num_columns)]
+        for g in range(meta.num_row_groups):
+            ends = [meta.row_group(g).column(names.index(c)).statistics for c in ("lat", "lon")]
+            found.append((ends[0].min, ends[0].max, ends[1].min, ends[1].max))
+    return found
+
+
+def read_of(path, box):
+    groups = boxes_of_row_groups(path)
+    met = [g for g in groups if g[0] <= box.lat_max and g[1] >= box.lat_min and g[2] <= box.lon_max and g[3] >= box.lon_min]
+    return len(met) / len(groups), len(groups)
+
+
+SMALL_GROUPS = {"parquet.block.size": "4096", "parquet.page.size": "1024", "parquet.block.size.row.check.min": "10", "parquet.page.size.row.check.min": "10"}
+QUAY = Rectangle(28.11, 28.14, -15.44, -15.41)
+
+
+def test_a_box_reads_few_row_groups_of_a_clustered_table(spark, sf, tmp_path):
+    day = clean.to_lake(fixture.positions(spark, sf)).withColumn("date", F.lit(date(2024, 1, 1)))
+    shares = {}
+    for clustered in (False, True):
+        path = str(tmp_path / f"clustered-{clustered}")
+        writers.append_lake(day, path, clustered=clustered, **SMALL_GROUPS)
+        shares[clustered], n = read_of(path, QUAY)
+        assert n > 40
+        lake = spark.read.parquet(path)
+        assert lake.drop("ingestion_time", "load").exceptAll(day.drop("ingestion_time").select(*[c for c in lake.columns if c not in ("ingestion_time", "load")])).count() == 0
+        inside = clean.within_box(readers.read_lake(spark, path), QUAY)
+        assert inside.count() == clean.within_box(day, QUAY).count() > 100
+        assert "GreaterThanOrEqual(lat" in inside._jdf.queryExecution().executedPlan().toString()
+    assert shares[True] < 0.2 < shares[False]
+
+
+def test_compaction_lays_a_day_out_along_the_curve(spark, sf, tmp_path):
+    path = str(tmp_path / "lake")
+    day = clean.to_lake(fixture.positions(spark, sf)).withColumn("date", F.lit(date(2024, 1, 1)))
+    for part in range(3):
+        writers.append_lake(day.filter(F.col("mmsi") % 3 == part), path, **SMALL_GROUPS)
+    before = readers.read_lake(spark, path).collect()
+    assert read_of(path, QUAY)[0] > 0.2
+    writers.compact_day(spark, path, date(2024, 1, 1), **SMALL_GROUPS)
+    assert sorted(map(str, readers.read_lake(spark, path).collect())) == sorted(map(str, before))
+    assert read_of(path, QUAY)[0] < 0.2
+
+
+def test_neighbours_on_the_curve_are_neighbours_on_the_map(spark):
+    n = 16
+    grid = spark.range(n * n).select(F.floor(F.col("id") / n).alias("y"), (F.col("id") % n).alias("x"))
+    middle = [(F.col(c) + 0.5) * span / n - span / 2 for c, span in (("y", 180.0), ("x", 360.0))]
+    rows = grid.withColumn("key", hilbert_key(*middle, bits=4)).orderBy("key").collect()
+    assert [r["key"] for r in rows] == list(range(n * n))
+    assert all(abs(a["x"] - b["x"]) + abs(a["y"] - b["y"]) == 1 for a, b in zip(rows, rows[1:], strict=False))
+
+
+def test_curve_of_odd_positions(spark):
+    rows = [(None, 1.0), (1.0, None), (float("nan"), 1.0), (90.0, 180.0), (-90.0, -180.0), (1e9, -1e9)]
+    got = [r[0] for r in spark.createDataFrame(rows, "lat DOUBLE, lon DOUBLE").select(hilbert_key(F.col("lat"), F.col("lon"))).collect()]
+    assert got[:3] == [None] * 3 and all(0 <= k < 4**18 for k in got[3:])

@@ -18,6 +18,7 @@ def lookup_join(
     condition: Column | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    small: bool | None = None,
 ) -> DataFrame:
     """``rows`` left-joined with ``lookup`` (aliased ``r`` and ``l``) on equal ``on``
     columns, null being equal to null, and ``condition``.
@@ -25,10 +26,12 @@ def lookup_join(
     The lookup is broadcast only if counting finds at most ``broadcast_rows``
     rows. Otherwise both sides shuffle on (key, salt): rows of one key spread
     over ``salts`` tasks and each lookup row is repeated once per salt, so the
-    answer is the same.
+    answer is the same. A caller that has measured the lookup says so by ``small``.
     """
     on = list(on)
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if small is None:
+        small = lookup.limit(broadcast_rows + 1).count() <= broadcast_rows
+    if small:
         lookup = F.broadcast(lookup)
     else:
         # The input partition is part of the salt so that identical rows spread as

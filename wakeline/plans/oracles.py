@@ -3,7 +3,7 @@ checking against another engine on the same tables."""
 
 from __future__ import annotations
 
-from wakeline.sources.fixture import POSITION_EXPRESSIONS
+from wakeline.sources.fixture import POSITION_EXPRESSIONS, WORLD_PORT, WORLD_POSITION
 
 _POSITIONS = ", ".join(f"{e} AS {c}" for c, e in POSITION_EXPRESSIONS.items())
 
@@ -180,6 +180,41 @@ UNION ALL SELECT 'kept', count(*) FROM fed WHERE event_id NOT IN (SELECT event_i
 _LATEST_CORE = "ship_name, lat, lon, speed, in_port, timestamp, event_id"
 _DAY, _SIX_HOURS = 86400, 21600
 
+# Each shape by its own inequalities: half-planes, a box, a norm, two boxes.
+_ZONES = """, zones AS (SELECT CAST(n_nationkey AS DOUBLE) AS k, n_nationkey % 4 AS kind, n_name AS port FROM nation)
+SELECT event_id, port FROM silver LEFT JOIN zones ON CASE kind
+  WHEN 0 THEN lat >= -20.00041
+          AND (lat + 20.00041) * (-15.45037 + 0.005 * k + 60.00037) <= (lon + 60.00037) * (28.20041 + 0.003 * k + 20.00041)
+          AND (lat + 20.00041) * (-15.45037 + 0.005 * k - 40.00037) >= (lon - 40.00037) * (28.20041 + 0.003 * k + 20.00041)
+  WHEN 1 THEN lat BETWEEN -59.9995 AND 28.1505 AND lon BETWEEN -99.9995 AND -15.4005 + 0.002 * k
+  WHEN 2 THEN abs(lon + 15.40037) * 0.0041 + abs(lat - 28.15041) * 0.0053 <= 0.0041 * 0.0053 * k
+  ELSE lon >= -15.4805 + 0.002 * k AND lat >= 28.0705
+       AND ((lon <= -15.3605 + 0.002 * k AND lat <= 28.1305) OR (lon <= -15.4205 + 0.002 * k AND lat <= 28.2205)) END"""
+
+
+def _km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    chord = f"least(1, pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))"
+    return f"2 * 6371.0 * atan2(sqrt({chord}), sqrt(1 - {chord}))"
+
+
+_NEAREST = f"""
+WITH positions AS (SELECT event_id, {", ".join(f"{e} AS {c}" for c, e in WORLD_POSITION.items())} FROM events),
+ports AS (SELECT {", ".join(f"{e} AS {c}" for c, e in WORLD_PORT.items())} FROM supplier),
+pairs AS (SELECT event_id, port, {_km("p.lat", "p.lon", "q.lat", "q.lon")} AS km FROM positions p CROSS JOIN ports q WHERE p.lat IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY km, port) AS port_rank FROM pairs)
+SELECT p.event_id, r.port, coalesce(CAST(r.port_rank AS INTEGER), 0) AS port_rank, round(r.km, 3) AS port_km
+FROM positions p LEFT JOIN (SELECT * FROM ranked WHERE port_rank <= 3) r ON p.event_id = r.event_id"""
+
+_IN_REACH = f"""
+, spots AS (
+  SELECT n_name AS port, ((28050 + (n_nationkey % 5) * 40) / 1000.0::DOUBLE + (28080 + (n_nationkey % 5) * 40) / 1000.0::DOUBLE) / 2 + 0.00037 AS plat,
+         ((-15500 + (n_nationkey // 5) * 40) / 1000.0::DOUBLE + (-15470 + (n_nationkey // 5) * 40) / 1000.0::DOUBLE) / 2 + 0.00071 AS plon
+  FROM nation),
+closest AS (
+  SELECT event_id, arg_min(port, km) AS port, min(km) AS km
+  FROM (SELECT event_id, port, {_km("lat", "lon", "plat", "plon")} AS km FROM silver CROSS JOIN spots) GROUP BY event_id)
+SELECT event_id, CASE WHEN km <= 5 THEN port END AS port FROM closest"""
+
 ORACLES: dict[str, str] = {
     "clean_positions": _with(
         "SELECT event_id, mmsi, ship_name, lat, lon, speed, heading, status, timestamp FROM silver"
@@ -197,6 +232,14 @@ FROM silver"""
     ),
     "geofence_flag": _with("SELECT event_id, in_port FROM silver"),
     "geofence_polygon": _with("SELECT event_id, in_port FROM silver"),
+    "zone_assignment": _with(_ZONES),
+    "nearest_ports": _NEAREST,
+    "nearest_port_in_reach": _with(_IN_REACH),
+    "lake_box": _with(
+        """SELECT mmsi, ship_name, lat, lon, speed, heading, status, timestamp, in_port,
+       strftime(timestamp, '%Y-%m-%d') AS date
+FROM silver WHERE lat >= 28.1 AND lat <= 28.2 AND lon >= -15.45 AND lon <= -15.35"""
+    ),
     "port_assignment": _with(
         """, boxes AS (
   SELECT n_name AS port, (28050 + (n_nationkey % 5) * 40) / 1000.0::DOUBLE AS lat_min,

@@ -122,6 +122,30 @@ def port_assignment(spark, d):
     return ports.assign_ports(rows, fixture.ports(spark, d)).select("event_id", "port")
 
 
+@query
+def zone_assignment(spark, d):
+    """Zones from a few cables to an ocean, many in one another."""
+    rows = fixture.silver(spark, d).select("event_id", "lat", "lon")
+    return ports.assign_ports(rows, fixture.zones(spark, d)).select("event_id", "port")
+
+
+@query
+def nearest_ports(spark, d):
+    """The three nearest of ports all over the globe."""
+    found = ports.nearest_ports(fixture.world_positions(spark, d), fixture.world_ports(spark, d), k=3)
+    rank = F.coalesce("port_rank", F.lit(0)).alias("port_rank")
+    return found.select("event_id", "port", rank, F.round("port_km", 3).alias("port_km"))
+
+
+@query
+def nearest_port_in_reach(spark, d):
+    """The nearest port of the harbour's own area for every position, if within 5 km."""
+    boxes = fixture.ports(spark, d)
+    spots = boxes.select("port", ((F.col("lat_min") + F.col("lat_max")) / 2 + 0.00037).alias("lat"), ((F.col("lon_min") + F.col("lon_max")) / 2 + 0.00071).alias("lon"))
+    rows = fixture.silver(spark, d).select("event_id", "lat", "lon")
+    return ports.nearest_ports(rows, spots, within_km=5.0, candidates=4, crowd=100).select("event_id", "port")
+
+
 @query
 def normalize_ais(spark, d):
     return normalize.normalize_ais(fixture.raw_ais(spark, d), F.col("timestamp"))
@@ -498,6 +522,15 @@ def lake_timeline(spark, d):
     return timeline.traffic_timeline(_written_lake(spark, d))
 
 
+@query
+def lake_box(spark, d):
+    """A box of the table laid out along a curve over the map."""
+    path = working_dir(spark, "lake-curve")
+    writers.append_lake(clean.to_lake(fixture.positions(spark, d)), path, clustered=True)
+    inside = clean.within_box(readers.read_lake(spark, path), INNER)
+    return inside.select(*schemas.POSITION_COLUMNS, "in_port", F.date_format("date", "yyyy-MM-dd").alias("date"))
+
+
 @query
 def csv_export_roundtrip(spark, d):
     table = rankings.operational_table(fl.filter_fleet(fleet_of(spark, d)))

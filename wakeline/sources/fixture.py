@@ -148,3 +148,49 @@ def ports(spark: SparkSession, sf_dir: str) -> DataFrame:
             ((west + 30) / F.lit(1000.0)).alias("lon_max"),
         )
     )
+
+
+# Corners of the zones below, in SQL of the key ``k`` of a row of ``nation``: triangles across an ocean,
+# boxes across an ocean, diamonds around one spot, each in the next, and angles.
+ZONE_CORNERS = {
+    0: (("-60.00037", "-20.00041"), ("40.00037", "-20.00041"), ("-15.45037 + 0.005 * k", "28.20041 + 0.003 * k")),
+    1: (("-99.9995", "-59.9995"), ("-15.4005 + 0.002 * k", "-59.9995"), ("-15.4005 + 0.002 * k", "28.1505"), ("-99.9995", "28.1505")),
+    2: (("-15.40037 - 0.0053 * k", "28.15041"), ("-15.40037", "28.15041 - 0.0041 * k"), ("-15.40037 + 0.0053 * k", "28.15041"), ("-15.40037", "28.15041 + 0.0041 * k")),
+    3: (
+        ("-15.4805 + 0.002 * k", "28.0705"), ("-15.3605 + 0.002 * k", "28.0705"), ("-15.3605 + 0.002 * k", "28.1305"),
+        ("-15.4205 + 0.002 * k", "28.1305"), ("-15.4205 + 0.002 * k", "28.2205"), ("-15.4805 + 0.002 * k", "28.2205"),
+    ),
+}
+
+
+def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One polygon per row of ``nation``, from a few cables to an ocean, many in one another."""
+    nations = spark.read.schema("n_nationkey INT, n_name STRING").parquet(f"{sf_dir.rstrip('/')}/nation.parquet")
+    corners = {kind: ", ".join(f"struct(double({x}) AS lon, double({y}) AS lat)" for x, y in own) for kind, own in ZONE_CORNERS.items()}
+    polygon = F.expr("CASE k % 4 " + " ".join(f"WHEN {kind} THEN array({own})" for kind, own in corners.items()) + " END")
+    shaped = nations.select(F.col("n_name").alias("port"), F.col("n_nationkey").alias("k")).withColumn("polygon", polygon)
+    ends = {f"{axis}_{end}": pick(F.col(f"polygon.{axis}")) for axis in ("lat", "lon") for end, pick in (("min", F.array_min), ("max", F.array_max))}
+    return shaped.withColumns(ends).drop("k")
+
+
+# Positions and ports all over the globe, poles and date line included; some ports share a spot.
+WORLD_POSITION = {
+    "lat": "CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST((event_id * 7907) % 18001 - 9000 AS DOUBLE) / CAST(100 AS DOUBLE) END",
+    "lon": "CAST((event_id * 104729) % 36001 - 18000 AS DOUBLE) / CAST(100 AS DOUBLE)",
+}
+WORLD_PORT = {
+    "port": "concat('PORT ', CAST(s_suppkey AS STRING))",
+    "lat": "CASE WHEN s_suppkey % 3 = 0 THEN CAST(28.00137 AS DOUBLE) + CAST(s_suppkey % 89 AS DOUBLE) / CAST(700 AS DOUBLE) "
+    "ELSE CAST(((s_suppkey - s_suppkey % 2) * 7919) % 17903 - 8951 AS DOUBLE) / CAST(100.03 AS DOUBLE) END",
+    "lon": "CASE WHEN s_suppkey % 3 = 0 THEN CAST(-15.40213 AS DOUBLE) + CAST(s_suppkey % 83 AS DOUBLE) / CAST(900 AS DOUBLE) "
+    "ELSE CAST(((s_suppkey - s_suppkey % 2) * 104729) % 35993 - 17996 AS DOUBLE) / CAST(100.07 AS DOUBLE) END",
+}
+
+
+def world_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_events(spark, sf_dir).select("event_id", *[F.expr(e).alias(c) for c, e in WORLD_POSITION.items()])
+
+
+def world_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    suppliers = spark.read.parquet(f"{sf_dir.rstrip('/')}/supplier.parquet")
+    return suppliers.select(*[F.expr(e).alias(c) for c, e in WORLD_PORT.items()])

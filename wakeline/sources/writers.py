@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wakeline import schemas
+from wakeline.functions.curve import hilbert_key
 from wakeline.operators.clean import conform
 
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -34,7 +35,13 @@ def publish(positions: DataFrame, target: str, servers: str | None = None) -> No
 
 
 def append_lake(
-    rows: DataFrame, path: str, fmt: str = "parquet", rebalance: bool = True, load: str | None = None
+    rows: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    rebalance: bool = True,
+    load: str | None = None,
+    clustered: bool = False,
+    **options: str,
 ) -> None:
     """Append to the lake table, enforcing its schema.
 
@@ -42,28 +49,48 @@ def append_lake(
     name of what wrote the files. Writing a load of the same name again replaces
     its files and adds none. Rebalancing by date gives few files per date, and splits a
     date that holds most rows over several tasks. Rows already grouped by date,
-    such as one day's load, do not need that shuffle.
+    such as one day's load, do not need that shuffle. ``clustered`` lays the rows of a
+    date out along a curve over the map instead (see ``along_curve``). ``options`` go to the writer.
     """
+    load = load or f"batch-{uuid.uuid4().hex}"
     table = conform(rows)
-    if rebalance:
+    if clustered:
+        table = along_curve(table, load)
+    elif rebalance:
         table = table.hint("rebalance", "date")
-    _write_load(table, path, fmt, load or f"batch-{uuid.uuid4().hex}", "date")
+    _write_load(table, path, fmt, load, "date", **options)
+
 
+def along_curve(table: DataFrame, load: str) -> DataFrame:
+    """``table`` in ranges of (date, place on a curve over the map), in that order within each.
 
-def _write_load(table: DataFrame, path: str, fmt: str, load: str, *by: str) -> None:
+    A file, and a row group in it, then holds one patch of the map, and its least and greatest
+    latitude and longitude tell a scan for a box whether to read it. Ranges are taken from a
+    sample, so a busy harbour is split over tasks. Rows without a position come first.
+    """
+    placed = table.withColumns({"_curve": hilbert_key(F.col("lat"), F.col("lon")), "load": F.lit(load)})
+    # the writer sorts by its folders; rows that come in that order already are left as they are
+    ordered = placed.repartitionByRange("date", "_curve").sortWithinPartitions("date", "load", "_curve")
+    return ordered.drop("_curve")
+
+
+def _write_load(table: DataFrame, path: str, fmt: str, load: str, *by: str, **options: str) -> None:
     (
         table.withColumn("load", F.lit(load))
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .options(**options)
         .partitionBy(*by, "load")
         .save(path)
     )
 
 
-def compact_day(spark: SparkSession, path: str, day: date, fmt: str = "parquet") -> None:
-    """One load in place of all loads of ``day``. For days that nothing is written to
-    any more and while nobody reads them.
+def compact_day(
+    spark: SparkSession, path: str, day: date, fmt: str = "parquet", clustered: bool = True, **options: str
+) -> None:
+    """One load in place of all loads of ``day``, laid out along a curve over the map unless
+    ``clustered`` is false. For days that nothing is written to any more and while nobody reads them.
 
     The new load is complete before an old one is deleted; a run that was broken off
     is finished by the next.
@@ -74,7 +101,11 @@ def compact_day(spark: SparkSession, path: str, day: date, fmt: str = "parquet")
     files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if not files.exists(hadoop(staged, "_SUCCESS")):
         rows = spark.read.format(fmt).load(folder).drop("load", "date")
-        rows.hint("rebalance").write.format(fmt).mode("overwrite").save(str(staged))
+        if clustered:
+            rows = along_curve(rows.withColumn("date", F.lit(day)), "").drop("load", "date")
+        else:
+            rows = rows.hint("rebalance")
+        rows.write.format(fmt).mode("overwrite").options(**options).save(str(staged))
     for status in files.globStatus(hadoop(f"{folder}/load=*")):
         files.delete(status.getPath(), True)
     files.rename(staged, target)
