@@ -128,3 +128,67 @@ SELECT doc_id, coalesce(len(parts), 0)::BIGINT AS n_lines, (coalesce(len(parts),
        sha256(coalesce(k.text, '')) AS kept_sha256
 FROM texts t LEFT JOIN kept k USING (row_id)
 """
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+# The checksum of a decimal number, bit by bit, without its last complement: it is odd where the checksum is even.
+_CRC = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, s: CASE WHEN s >= 0 THEN xor(a, s) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)"""
+
+
+def _tree(name: str, rows: str, part: str) -> str:
+    """Nodes of all levels; steps from each row of ``rows`` (``part``, rank, n) up to its root."""
+    return f"""
+{name}_nodes(part, level, place, n, digest) AS (
+  SELECT {part}, 0, rank, n, digest FROM {rows}
+  UNION ALL
+  SELECT part, level + 1, place // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+  FROM {name}_nodes WHERE n > 1 GROUP BY part, level, place // 3, n),
+{name}_own AS (
+  SELECT {part} AS part, rank, unnest(range(0, 38)) AS level FROM {rows}),
+{name}_steps AS (
+  SELECT o.part, o.rank, o.level,
+         coalesce(string_agg(digest, '' ORDER BY place) FILTER (place < o.rank // CAST(pow(3, o.level) AS BIGINT)), '') || '|' ||
+         coalesce(string_agg(digest, '' ORDER BY place) FILTER (place > o.rank // CAST(pow(3, o.level) AS BIGINT)), '') AS step
+  FROM {name}_own o JOIN {name}_nodes s
+    ON s.part IS NOT DISTINCT FROM o.part AND s.level = o.level AND s.n > 1 AND s.place // 3 = o.rank // CAST(pow(3, o.level + 1) AS BIGINT)
+  GROUP BY o.part, o.rank, o.level),
+{name}_paths AS (
+  SELECT part, rank, list(step ORDER BY level) AS path FROM {name}_steps GROUP BY part, rank)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, {_leaf("text")} AS digest,
+         CASE WHEN {_CRC} % 2 = 1 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS changed
+  FROM documents),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, digest) - 1 AS rank,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM leaves),
+{_tree("leaf", "ranked", "source")},
+parts AS (
+  SELECT part AS source, digest, row_number() OVER (ORDER BY part NULLS FIRST) - 1 AS rank, count(*) OVER () AS n, 1 AS forest
+  FROM leaf_nodes WHERE n = 1),
+{_tree("part", "parts", "forest")},
+whole AS (
+  SELECT r.doc_id, r.digest AS leaf, r.changed, p.digest AS subroot, (SELECT digest FROM part_nodes WHERE n = 1) AS root,
+         list_concat(coalesce(a.path, []), coalesce(b.path, [])) AS path
+  FROM ranked r JOIN parts p ON p.source IS NOT DISTINCT FROM r.source
+  LEFT JOIN leaf_paths a ON a.part IS NOT DISTINCT FROM r.source AND a.rank = r.rank
+  LEFT JOIN part_paths b ON b.rank = p.rank),
+folded AS (
+  SELECT *, list_reduce(list_prepend(changed, path),
+                        lambda node, s: sha256(split_part(s, '|', 1) || node || split_part(s, '|', 2))) AS folded_root
+  FROM whole)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), '|', '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded"""

@@ -191,7 +191,9 @@ def pack(runs: DataFrame, size: int = SIZE, lot: int = LOT) -> DataFrame:
     """
     columns = [c for c in runs.columns if c not in ("sequence_id", "offset")]
     member = F.struct(*columns, F.lit(0).cast("long").alias("offset"))
-    items = runs.select(F.col("length").cast("long").alias("used"), F.array(member).alias("members"))
+    items = written(runs.select(F.col("length").cast("long").alias("used"), F.array(member).alias("members")), "pieces")
+    # a task's lot should be large: the more pieces to choose from, the fuller the sequences
+    items = items.coalesce(math.ceil(items.count() / max(1, lot // 4)) or 1)
     tasks, given, done = None, math.inf, []
     while True:
         table = written(_round(items, size, lot), "packing")

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from wakeline.llm import bpe, html, langid, line_dedup, merkle, oracles, packing, quality, simhash, whiten
 from wakeline.llm.chat import rotate
 from wakeline.llm.decontaminate import find_passages
-from wakeline.llm.ordered import written
 from wakeline.llm.substring_dedup import remove_repeats
 from wakeline.llm.url_rules import judge
 from wakeline.llm.workers import importable
@@ -137,8 +136,8 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         vocabulary = file.read()
-    cut = packing.pieces(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN)
-    return packing.pack(written(cut, "pieces"))
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(packing.pieces(documents, vocabulary, public_tokenizers.PATTERN))
 
 
 ORACLES: dict[str, str] = {
@@ -146,4 +145,5 @@ ORACLES: dict[str, str] = {
     "op7_url_filters": oracles.URL_FILTERS,
     "op8_chat_formatting": oracles.PERSPECTIVES,
     "op9_line_dedup": oracles.LINE_DEDUP,
-    "op10_substring_dedup": oracles.SUBSTRING_DEDUP}
+    "op10_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op12_merkle_manifest": oracles.MERKLE}
