@@ -207,8 +207,8 @@ def encode(
     def make():
         codec = codec_of(known.value, pattern)
 
-        def work(piece: pa.RecordBatch) -> list[pa.Array]:
-            ids = [codec.encode_text(x or "") for x in piece.column("__text").to_pylist()]
+        def work(piece: pa.RecordBatch, texts: pa.Array) -> list[pa.Array]:
+            ids = [codec.encode_text(x or "") for x in texts.to_pylist()]
             return [
                 pa.array(ids, pa.binary()),
                 pa.array([len(x) // 4 for x in ids], pa.int64()),
@@ -217,7 +217,7 @@ def encode(
 
         return work
 
-    short = rows.append(docs.filter(~long).withColumn("__body", F.col(text)), "__body", _NEW, make).drop("__body")
+    short = rows.append(docs.filter(~long), text, _NEW, make)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(known.value, pattern)

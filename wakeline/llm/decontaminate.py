@@ -131,15 +131,15 @@ def find_passages(
     listed. Columns of the same names are replaced.
     """
     context = docs.sparkSession.sparkContext
-    found = rows.append(docs.withColumn("__body", F.col(text)), "__body", _NEW, lambda: _no_hits)
+    found = rows.append(docs, text, _NEW, lambda: _no_hits)
     for block in _blocks(benchmark, item, item_text, block_chars):
         groups = context.broadcast(_patterns(block, window))
-        found = _marked(found, groups)
-    return found.drop("__body")
+        found = _marked(found, text, groups)
+    return found
 
 
-def _no_hits(piece: pa.RecordBatch) -> list[pa.Array]:
-    words = textscan.scan(piece.column("__text"), textscan.ALPHANUMERIC, lower=True)
+def _no_hits(piece: pa.RecordBatch, texts: pa.Array) -> list[pa.Array]:
+    words = textscan.scan(texts, textscan.ALPHANUMERIC, lower=True)
     nothing = [[] for _ in range(piece.num_rows)]
     return [
         pa.array(words.count, pa.int64()),
@@ -149,16 +149,14 @@ def _no_hits(piece: pa.RecordBatch) -> list[pa.Array]:
     ]
 
 
-def _marked(docs: DataFrame, groups) -> DataFrame:
-    before = docs.withColumn("__items", F.col("item_ids")).withColumn("__runs", F.col("hit_runs"))
-
+def _marked(docs: DataFrame, text: str, groups) -> DataFrame:
     def make():
-        def work(piece: pa.RecordBatch) -> list[pa.Array]:
-            words = textscan.scan(piece.column("__text"), textscan.ALPHANUMERIC, lower=True)
+        def work(piece: pa.RecordBatch, texts: pa.Array) -> list[pa.Array]:
+            words = textscan.scan(texts, textscan.ALPHANUMERIC, lower=True)
             hashed = textscan.hashes(words)
             step = np.zeros(len(words.start) + 1, np.int64)
-            items = [set(x) for x in piece.column("__items").to_pylist()]
-            for i, runs in enumerate(piece.column("__runs").to_pylist()):
+            items = [set(x) for x in piece.column("item_ids").to_pylist()]
+            for i, runs in enumerate(piece.column("hit_runs").to_pylist()):
                 for r in runs:
                     step[words.first[i] + r["start"]] += 1
                     step[words.first[i] + r["end"]] -= 1
@@ -185,11 +183,13 @@ def _marked(docs: DataFrame, groups) -> DataFrame:
 
         return work
 
-    return rows.append(before, "__body", _NEW, make).drop("__items", "__runs")
+    return rows.append(docs, text, _NEW, make)
 
 
 def clean_of(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` in which no passage of the benchmark occurs, unchanged."""
     names = docs.columns
+    if not set(names) & {"n_words", "n_hit", "item_ids", "hit_runs"}:
+        return find_passages(docs, benchmark, **options).filter(F.col("n_hit") == 0).select(*names)
     marked = find_passages(docs.select(F.struct(*names).alias("row"), "text"), benchmark, **options)
     return marked.filter(F.col("n_hit") == 0).select("row.*")

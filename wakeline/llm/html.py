@@ -425,16 +425,16 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
     are replaced.
     """
     found = infer(pages, url, html).select(F.col("host").alias("__host"), F.col("wrapper").alias("__wrapper"))
-    known = pages.drop("text", "n_chars").withColumn("__host", host_of(F.col(url))).join(found, "__host", "left").drop("__host")
+    known = pages.withColumn("__host", host_of(F.col(url))).join(found, "__host", "left").drop("__host")
 
     def make():
         extractor = Extractor()
 
-        def work(piece: pa.RecordBatch) -> list[pa.Array]:
-            pairs = zip(piece.column("__text").to_pylist(), piece.column("__wrapper").to_pylist(), strict=True)
+        def work(piece: pa.RecordBatch, texts: pa.Array) -> list[pa.Array]:
+            pairs = zip(texts.to_pylist(), piece.column("__wrapper").to_pylist(), strict=True)
             out = [extractor.text(page, wrapper) for page, wrapper in pairs]
             return [pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())]
 
         return work
 
-    return rows.append(known.withColumn("__body", F.col(html)), "__body", "text string, n_chars long", make).drop("__body", "__wrapper")
+    return rows.append(known, html, "text string, n_chars long", make).drop("__wrapper")

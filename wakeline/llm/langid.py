@@ -29,6 +29,8 @@ MAX_WORD_CHARS = 40
 UNKNOWN = "und"
 
 _FLUSH = 150_000
+#: What a worker keeps of unseen words.
+_UNSEEN_BYTES = 4 << 20
 #: Log frequencies are whole numbers of this part, so that sums do not depend on their order.
 _ONE = 1 << 20
 
@@ -138,7 +140,9 @@ class Reader:
 
     def __init__(self, model: Model):
         self.model = model
-        self.unseen: dict[int, np.ndarray] = {}
+        # a row number for each unseen word, in a table of fixed size; an entry of the map takes some 150 bytes
+        self.unseen: dict[int, int] = {}
+        self.kept = np.zeros((max(1, _UNSEEN_BYTES // (150 + 8 * max(1, len(model.langs)))), len(model.langs)), np.int64)
 
     def longest(self, word: str) -> list[int]:
         """Rows of the longest known run at each place of the word."""
@@ -157,11 +161,11 @@ class Reader:
             row = self.unseen.get(key)
             if row is None:
                 found = self.longest(words.data[words.start[i] : words.end[i]].tobytes().decode())
-                row = self.model.run_values[found].sum(axis=0) // max(1, len(found))
-                if len(self.unseen) >= _FLUSH:
+                if len(self.unseen) >= len(self.kept):
                     self.unseen.clear()
-                self.unseen[key] = row
-            values[k] = row
+                row = self.unseen[key] = len(self.unseen)
+                self.kept[row] = self.model.run_values[found].sum(axis=0) // max(1, len(found))
+            values[k] = self.kept[row]
         return values
 
     def judge(self, texts: pa.Array) -> tuple[list[str], list[float]]:
@@ -205,13 +209,13 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def make():
         reader = Reader(known.value)
 
-        def work(piece: pa.RecordBatch) -> list[pa.Array]:
-            langs, scores = reader.judge(piece.column("__text"))
+        def work(piece: pa.RecordBatch, texts: pa.Array) -> list[pa.Array]:
+            langs, scores = reader.judge(texts)
             return [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
 
         return work
 
-    return rows.append(docs.withColumn("__body", F.col(text)), "__body", "lang_pred string, score double", make).drop("__body")
+    return rows.append(docs, text, "lang_pred string, score double", make)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -122,8 +122,8 @@ def _scored(docs: DataFrame, text: str, ratio: np.ndarray) -> DataFrame:
     table = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def make():
-        def work(piece: pa.RecordBatch) -> list[pa.Array]:
-            data, offsets = textscan.text_bytes(piece.column("__text"))
+        def work(piece: pa.RecordBatch, texts: pa.Array) -> list[pa.Array]:
+            data, offsets = textscan.text_bytes(texts)
             bucket, whole = _grams(data, offsets)
             value = np.zeros(len(data), np.int64)
             value[: len(bucket)] = np.where(whole, table.value[bucket], 0)
@@ -134,7 +134,7 @@ def _scored(docs: DataFrame, text: str, ratio: np.ndarray) -> DataFrame:
 
         return work
 
-    return rows.append(docs.withColumn("__body", F.col(text)), "__body", "n_grams long, llr double", make).drop("__body")
+    return rows.append(docs, text, "n_grams long, llr double", make)
 
 
 def _word_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -197,11 +197,11 @@ def _toxicity(docs: DataFrame, text: str, grams: np.ndarray, ratios: np.ndarray)
     table = docs.sparkSession.sparkContext.broadcast((grams, ratios))
 
     def make():
-        def work(piece: pa.RecordBatch) -> list[pa.Array]:
+        def work(piece: pa.RecordBatch, texts: pa.Array) -> list[pa.Array]:
             known, ratio = table.value
             most = np.zeros(piece.num_rows)
             if len(known):
-                value, own = _word_grams(piece.column("__text"))
+                value, own = _word_grams(texts)
                 at = np.minimum(np.searchsorted(known, value), len(known) - 1)
                 hit = known[at] == value
                 np.maximum.at(most, own[hit], ratio[at[hit]])
@@ -209,7 +209,7 @@ def _toxicity(docs: DataFrame, text: str, grams: np.ndarray, ratios: np.ndarray)
 
         return work
 
-    return rows.append(docs.withColumn("__body", F.col(text)), "__body", "toxic_ratio double", make).drop("__body")
+    return rows.append(docs, text, "toxic_ratio double", make)
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -222,18 +222,18 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     in the text.
     """
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    return rows.append(docs.withColumn("__body", F.col(text)), "__body", ", ".join(f"{n} long" for n in names), lambda: _measured).drop("__body")
+    return rows.append(docs, text, ", ".join(f"{n} long" for n in names), lambda: _measured)
 
 
-def _measured(piece: pa.RecordBatch) -> list[pa.Array]:
-    words = textscan.scan(piece.column("__text"))
+def _measured(piece: pa.RecordBatch, texts: pa.Array) -> list[pa.Array]:
+    words = textscan.scan(texts)
 
     def per_text(values: np.ndarray) -> np.ndarray:
         return np.diff(np.concatenate([[0], np.cumsum(values)])[words.offsets])
 
     points = ((words.data & 0xC0) != 0x80) & textscan.SPACED[words.data]
     lines = []
-    for text in piece.column("__text").to_pylist():
+    for text in texts.to_pylist():
         filled = [x for x in (text or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")]
         lines.append(len(filled) - len(set(filled)))
     step = np.zeros(len(words.start) + 1, np.int64)

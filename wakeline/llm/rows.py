@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wakeline.llm import textscan
@@ -19,24 +18,24 @@ def append(
     docs: DataFrame,
     text: str,
     columns: str,
-    make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]],
+    make: Callable[[], Callable[[pa.RecordBatch, pa.Array], list[pa.Array]]],
     slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """``docs`` with new ``columns`` (DDL) that replace columns of the same names.
 
     ``make`` runs once per task; what it returns is called with pieces of the rows
-    that hold about ``slice_bytes`` of text, and gives the new columns in order.
+    that hold about ``slice_bytes`` of text, and with their texts, and gives the new columns in
+    order. Columns to be replaced, of which ``text`` may be one, are still there in a piece.
+    Every column goes to the worker once, and back if it is not replaced.
     """
     new = T.StructType.fromDDL(columns)
-    # the text is carried under a name of its own, so that it may itself be replaced
-    carried = docs.withColumn("__text", F.col(text)).drop(*new.names)
-    rest = [n for n in carried.columns if n != "__text"]
+    rest = [n for n in docs.columns if n not in new.names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for piece in textscan.slices(batch, "__text", slice_bytes):
+            for piece in textscan.slices(batch, text, slice_bytes):
                 kept = [piece.column(n) for n in rest]
-                yield pa.RecordBatch.from_arrays(kept + work(piece), names=rest + new.names)
+                yield pa.RecordBatch.from_arrays(kept + work(piece, piece.column(text)), names=rest + new.names)
 
-    return carried.mapInArrow(run, T.StructType([carried.schema[n] for n in rest] + new.fields))
+    return docs.mapInArrow(run, T.StructType([docs.schema[n] for n in rest] + new.fields))

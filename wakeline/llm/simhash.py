@@ -54,13 +54,13 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) ->
     """``docs`` with ``bits``: the fingerprint as a signed 64-bit integer."""
 
     def make():
-        def work(piece: pa.RecordBatch) -> list[pa.Array]:
-            own = np.array([fingerprint(x, shingle) for x in piece.column("__text").to_pylist()], np.uint64)
+        def work(piece: pa.RecordBatch, texts: pa.Array) -> list[pa.Array]:
+            own = np.array([fingerprint(x, shingle) for x in texts.to_pylist()], np.uint64)
             return [pa.array(own.view(np.int64), pa.int64())]
 
         return work
 
-    return rows.append(docs.withColumn("__body", F.col(text)), "__body", "bits long", make).drop("__body")
+    return rows.append(docs, text, "bits long", make)
 
 
 #: For each of the five check bits, the positions (1 to 31) whose number has it.

@@ -49,8 +49,7 @@ def _shingles(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signed(shingle: int):
-    def work(piece: pa.RecordBatch) -> list[pa.Array]:
-        texts = piece.column("__text")
+    def work(piece: pa.RecordBatch, texts: pa.Array) -> list[pa.Array]:
         value, begins = _shingles(texts, shingle)
         filled = np.flatnonzero(np.diff(begins))
         keys = np.zeros((len(filled), BANDS), np.uint64)
@@ -74,8 +73,8 @@ def _confirmed(pairs: DataFrame, bodies: DataFrame, shingle: int, least: float)
     right = bodies.select(F.col("print").alias("dst"), F.col("body").alias("b"))
 
     def make():
-        def work(piece: pa.RecordBatch) -> list[pa.Array]:
-            sides = [_shingles(piece.column(c), shingle) for c in ("__text", "b")]
+        def work(piece: pa.RecordBatch, texts: pa.Array) -> list[pa.Array]:
+            sides = [_shingles(x, shingle) for x in (texts, piece.column("b"))]
             out = []
             for i in range(piece.num_rows):
                 x, y = (value[begins[i] : begins[i + 1]] for value, begins in sides)
