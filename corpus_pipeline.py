@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import bpe, decontaminate, langid, line_dedup, similar
+from wakeline.llm import bpe, decontaminate, langid, line_dedup, simhash
 from wakeline.llm.workers import importable
 from wakeline.session import working_dir
 
@@ -41,9 +41,10 @@ def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: five-word shingles, Jaccard similarity 0.8."""
+    """One document of each class of near copies: fingerprints of three-word shingles that differ in
+    three bits at most, and what can be reached over these."""
     importable(spark)
-    return similar.one_of_each(docs)
+    return simhash.one_of_each(docs)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
