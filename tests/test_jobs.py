@@ -1,12 +1,17 @@
 """The command-line jobs, end to end: raw messages to reports."""
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from wakeline.__main__ import main
 from wakeline.functions.vessel import one_decimal
-from wakeline.operators import normalize
-from wakeline.sources import fixture, readers
-from wakeline.streaming import stateful
+from wakeline.operators import normalize, visits
+from wakeline.operators.rollups import rolled_timeline
+from wakeline.operators.silence import silences
+from wakeline.operators.timeline import bucketed
+from wakeline.sources import fixture, readers, writers
+from wakeline.streaming import movements, rollups, stateful
 
 
 def test_raw_messages_to_reports(spark, sf, tmp_path):
@@ -51,6 +56,22 @@ def test_notices_quarantine_compaction_and_filters(spark, sf, tmp_path):
     assert spark.read.parquet(f"{out}/map_layers").filter("layer = 'alert'").count() == 0
 
 
+def test_movements_silences_and_traffic(spark, sf, tmp_path):
+    events, moves, silent, counts = (str(tmp_path / n) for n in ("events", "moves", "silent", "counts"))
+    writers.to_json_records(fixture.positions(spark, sf)).write.text(events)
+    main(["movements", events, moves, "--checkpoint", str(tmp_path / "c1"), "--once"])
+    main(["silences", events, silent, "--checkpoint", str(tmp_path / "c2"), "--once", "--limit-sec", "43200"])
+    main(["traffic", events, counts, "--checkpoint", str(tmp_path / "c3"), "--once"])
+    silver = fixture.silver(spark, sf)
+    assert movements.read_stays(spark, moves).count() == visits.port_visits(silver).count()
+    newest = silver.agg(F.max("timestamp")).first()[0] - timedelta(seconds=60)
+    want = silences(silver, 43_200, F.lit(newest))
+    got = stateful.read_versions(spark, silent, "ship_name STRING, silent_since TIMESTAMP")
+    assert got.exceptAll(want.select(*got.columns)).count() == want.select(*got.columns).exceptAll(got).count() == 0
+    rolled = rolled_timeline(rollups.read_sketches(spark, counts), 30)
+    assert rolled.exceptAll(bucketed(silver, 30)).count() == bucketed(silver, 30).exceptAll(rolled).count() == 0
+
+
 def test_one_decimal_rounds_like_c(spark):
     values = [0.25, 0.35, 0.45, 2.5, 1234.05, 0.05, 0.15, 9.95, 10.0, -0.25]
     df = spark.createDataFrame([(v,) for v in values], "x DOUBLE")

@@ -1,15 +1,17 @@
 """Streams over several micro-batches against the batch operators."""
 
-from datetime import datetime, timedelta
+import random
+from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULTS
-from wakeline.operators import alerts, clean, fleet, latest, timeline, visits
+from wakeline.operators import alerts, clean, fleet, latest, rollups, timeline, visits
 from wakeline.plans.queries import WIDE
-from wakeline.sources import fixture, readers, writers
-from wakeline.streaming import alerts as st_alerts, etl, stateful, traffic
+from wakeline.sources import fixture, readers, snapshots, writers
+from wakeline.streaming import alerts as st_alerts, etl, movements, rollups as st_rollups, stateful, traffic
 
 PARTS = 4
 
@@ -71,69 +73,129 @@ def test_latest_snapshots(spark, sf, landing, tmp_path):
     state = stateful.stream_latest(rows)
     root = str(tmp_path / "out")
     for _ in range(2):  # the second run finds nothing new, the snapshot is still there
-        stateful.start_latest_snapshots(state, root, str(tmp_path / "c"), every=None, retain=2).awaitTermination()
-    got = stateful.read_newest_version(spark, root, state.schema)
-    assert stateful.read_newest_version(spark, root + "-none", state.schema).count() == 0
+        stateful.start_latest_snapshots(state, root, str(tmp_path / "c"), every=None, buckets=16, retain=2).awaitTermination()
+    got = snapshots.read_snapshot(spark, root, state.schema)
+    assert snapshots.read_snapshot(spark, root + "-none", state.schema).count() == 0
     assert same(got, latest.latest_per_vessel(fixture.silver(spark, sf).drop("event_id")))
-    kept = readers.read_table(spark, root, state.schema).select("v").distinct().count()
-    assert kept == 2
+    # every bucket: two versions back and the newest part before them at most
+    assert len(readers.found_paths(spark, f"{root}/of=16/v=*/bucket=*")) <= 3 * 16
 
 
-EVENTS = "ship_name STRING, timestamp TIMESTAMP, event STRING"
+REPORT = "ship_name STRING, timestamp TIMESTAMP, in_port BOOLEAN, place INT"
 
 
-def test_transitions_over_batches(spark, sf, landing, tmp_path):
+def follow(spark, batches, root, tie="place", runs=True):
+    """Every list of reports as a micro-batch; with a new start of the query for each if ``runs``."""
+    source, checkpoint = f"{root}/in", f"{root}/c"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, REPORT).coalesce(1).write.mode("append").parquet(source)
+        if runs or i + 1 == len(batches):
+            stream = spark.readStream.schema(REPORT).option("maxFilesPerTrigger", 1).parquet(source)
+            movements.start_movements(stream, f"{root}/out", checkpoint, tie=tie, buckets=4, every=None).awaitTermination()
+    return spark.read.schema(REPORT).parquet(source)
+
+
+def check_movements(spark, reports, root, tie="place"):
+    assert same(movements.read_transitions(spark, f"{root}/out"), visits.port_transitions(reports, tie=tie))
+    assert same(movements.read_stays(spark, f"{root}/out"), visits.port_visits(reports, tie=tie))
+    log = stateful.read_versions(spark, f"{root}/out/changes", movements.changes_schema().add("sign", "integer"))
+    net = log.groupBy("ship_name", "timestamp", "event", "entry_seen").agg(F.sum("sign").alias("n")).filter("n <> 0")
+    assert net.filter("n <> 1").count() == 0
+    assert same(net.drop("n"), visits.port_changes(visits.port_states(reports, tie=tie)))
+
+
+def test_movements_in_order_and_restart(spark, sf, landing, tmp_path):
     root = str(tmp_path / "out")
     for _ in range(2):  # the second run finds nothing new
-        stateful.start_transitions(
-            silver_stream(spark, landing), root, str(tmp_path / "c"), every=None
-        ).awaitTermination()
-    got = stateful.read_versions(spark, f"{root}/events", EVENTS)
-    assert same(got, visits.port_transitions(fixture.silver(spark, sf)))
-    late = stateful.read_versions(spark, f"{root}/late", "ship_name STRING, timestamp TIMESTAMP, in_port BOOLEAN")
-    assert late.count() == 0
+        movements.start_movements(silver_stream(spark, landing), root, str(tmp_path / "c"), every=None).awaitTermination()
+    batch = fixture.silver(spark, sf)
+    assert same(movements.read_transitions(spark, root), visits.port_transitions(batch))
+    assert same(movements.read_stays(spark, root), visits.port_visits(batch))
 
 
-def test_late_reports_are_set_aside(spark, tmp_path):
+def test_late_reports_by_hand(spark, tmp_path):
+    """Between two states, before the first report, across days, at the very time of another report."""
     t0 = datetime(2024, 1, 1)
-    schema = "ship_name STRING, timestamp TIMESTAMP, in_port BOOLEAN"
-    source = str(tmp_path / "in")
-    batches = [[("A", t0 + timedelta(hours=2), False)], [("A", t0, True), ("A", t0 + timedelta(hours=3), True), ("B", t0, True)]]
-    root, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
-    for rows in batches:
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(schema).parquet(source)
-        stateful.start_transitions(stream, root, checkpoint, every=None).awaitTermination()
-    events = stateful.read_versions(spark, f"{root}/events", EVENTS).collect()
-    assert [tuple(r) for r in events] == [("A", t0 + timedelta(hours=3), "entry")]
-    late = stateful.read_versions(spark, f"{root}/late", schema).collect()
-    assert [tuple(r) for r in late] == [("A", t0, True)]
-
-
-def test_a_vessel_without_a_name_keeps_its_state(spark, tmp_path):
+
+    def at(hour, inside, ship="A", place=0):
+        return (ship, t0 + timedelta(hours=hour), inside, place)
+
+    batches = [
+        [at(2, False), at(100, True), at(5, False, None), at(200, True, "B")],
+        [at(50, True), at(101, True), at(6, True, None)],  # A entered earlier than it seemed
+        [at(0, True), at(75, False), at(150, False)],  # a first report inside, an exit in between
+        [at(75, True, place=1), at(150, True, place=1)],  # the same instants, decided the other way
+        [at(199, False, "B"), at(5, True, None, 1)],
+        [at(2, False), at(100, True)],  # nothing new
+    ]
+    reports = follow(spark, batches, str(tmp_path))
+    check_movements(spark, reports, str(tmp_path))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_shuffled_reports_end_like_a_batch(spark, tmp_path, seed):
+    rng = random.Random(seed)
     t0 = datetime(2024, 1, 1)
-    schema = "ship_name STRING, timestamp TIMESTAMP, in_port BOOLEAN"
-    source, root = str(tmp_path / "in"), str(tmp_path / "out")
-    batches = [[(None, t0, False), ("A", t0, True)], [(None, t0 + timedelta(hours=1), True)]]
-    for rows in batches:
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(schema).parquet(source)
-        stateful.start_transitions(stream, root, str(tmp_path / "c"), every=None).awaitTermination()
-    got = stateful.read_versions(spark, f"{root}/events", EVENTS)
-    assert [tuple(r) for r in got.collect()] == [(None, t0 + timedelta(hours=1), "entry")]
-    assert same(got, visits.port_transitions(spark.read.schema(schema).parquet(source)))
-
-
-def test_rerun_of_a_batch_overwrites_its_output(spark, tmp_path):
-    state = spark.createDataFrame([("A", 1)], "k STRING, v1 INT")
-    for _ in range(2):
-        stateful._save(state, str(tmp_path / "s"), 0)
-    assert stateful.read_versions(spark, str(tmp_path / "s"), "k STRING, v1 INT").count() == 1
+    rows = [(rng.choice(["A", "B", "hot", "hot", "hot", None]), t0 + timedelta(hours=rng.randrange(24 * 9)), rng.random() < 0.5, rng.randrange(3)) for _ in range(500)]
+    batches = [rows[i : i + 100] for i in range(0, 500, 100)] + [rows[:60]]
+    reports = follow(spark, batches, str(tmp_path), runs=False)
+    check_movements(spark, reports, str(tmp_path))
 
 
-def test_lost_state_is_an_error(spark, tmp_path):
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        stateful._previous(spark, str(tmp_path / "none"), 3, spark.range(1).schema)
+def test_history_is_read_for_late_days_only(spark, tmp_path):
+    """A late report makes the batch read its own and the neighbouring days, however many there are."""
+    t0 = datetime(2024, 1, 1)
+    days = [[("A", t0 + timedelta(days=d, hours=h), h % 2 == 0, 0) for h in range(4)] for d in range(12)]
+    root = str(tmp_path)
+    follow(spark, [sum(days, []), [("A", t0 + timedelta(days=5, hours=1, minutes=30), True, 0)]], root)
+    log = stateful.read_versions(spark, f"{root}/out/changes", movements.changes_schema().add("sign", "integer"))
+    corrected = spark.read.parquet(f"{root}/out/changes/v=000000000001")
+    assert {r["timestamp"] for r in corrected.collect()} == {t0 + timedelta(days=5, hours=1, minutes=30), t0 + timedelta(days=5, hours=2)}
+    assert {r["sign"] for r in corrected.collect()} == {1, -1} and log.count() > 20
+
+
+def test_movements_rerun_of_a_batch(spark, tmp_path):
+    """The last batch again after its writes, before it was committed."""
+    t0 = datetime(2024, 1, 1)
+    root = str(tmp_path)
+    batches = [[("A", t0 + timedelta(hours=i), i % 3 == 0, 0)] for i in (1, 9, 4, 6)]
+    reports = follow(spark, batches, root)
+    for commit in [f for f in Path(root, "c", "commits").iterdir() if f.name in ("3", ".3.crc")]:
+        commit.unlink()
+    stream = spark.readStream.schema(REPORT).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    movements.start_movements(stream, f"{root}/out", f"{root}/c", tie="place", buckets=4, every=None).awaitTermination()
+    check_movements(spark, reports, root)
+
+
+def test_a_version_writes_the_buckets_it_touches(spark, tmp_path):
+    root = str(tmp_path / "t")
+
+    def newest(before, changes):
+        return latest.merge_latest(before, changes, key="k", order="at")
+
+    fleet = spark.range(5000).select(F.concat(F.lit("V"), "id").alias("k"), F.lit(0).alias("at"), F.lit("x" * 50).alias("rest"))
+    snapshots.upsert(fleet, root, 0, ["k"], newest, buckets=32)
+    few = fleet.filter("k IN ('V1', 'V2', 'V77777')").withColumn("at", F.lit(1))
+    for _ in range(2):  # the same version twice
+        snapshots.upsert(few, root, 1, ["k"], newest, buckets=32)
+    size = [sum(f.stat().st_size for f in Path(root, f"of=32/v={v:012d}").rglob("*.parquet")) for v in (0, 1)]
+    assert size[1] < size[0] / 8
+    got = snapshots.read_snapshot(spark, root, fleet.schema)
+    assert got.count() == 5000 and got.filter("at = 1").count() == 2
+    assert snapshots.read_snapshot(spark, root, fleet.schema, version=0).filter("at = 1").count() == 0
+    with pytest.raises(ValueError, match="buckets"):
+        snapshots.upsert(few, root, 2, ["k"], newest, buckets=16)
+    snapshots.upsert(fleet.limit(0), root, 2, ["k"], newest, buckets=32)
+    assert snapshots.read_snapshot(spark, root, fleet.schema).count() == 5000
+
+
+def test_an_emptied_bucket_stays_empty(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k STRING, n INT")
+    snapshots.upsert(rows, root, 0, ["k"], lambda a, b: a.unionByName(b), buckets=1)
+    snapshots.upsert(rows.limit(1), root, 1, ["k"], lambda a, b: a.filter("false"), buckets=1)
+    assert snapshots.read_snapshot(spark, root, rows.schema).count() == 0
+    assert snapshots.read_snapshot(spark, root, rows.schema, version=0).count() == 2
 
 
 def test_alert_notices(spark, sf, landing, tmp_path):
@@ -161,6 +223,38 @@ def test_late_alerts_are_notified_once(spark, sf, tmp_path):
     assert same(got.select("alert_key"), want.select("alert_key"))
 
 
+def test_notices_look_up_their_own_keys_only(spark, sf, tmp_path):
+    """The last of many batches has few alerts: earlier notices are neither read nor looked up."""
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    silver = fixture.silver(spark, sf)
+    for part in (silver.filter("event_id % 20 <> 1"), silver.filter("event_id % 20 = 1")):
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        run = stateful.start_alert_notices(stream, root, str(tmp_path / "c"), WIDE, every=None)
+        run.awaitTermination()
+        state = run.lastProgress["stateOperators"][0]
+    high = alerts.high_alerts(alerts.find_alerts(fleet.enrich(silver.filter("event_id % 20 = 1"), WIDE, F.col("timestamp")), WIDE)).count()
+    assert run.lastProgress["numInputRows"] == silver.filter("event_id % 20 = 1").count()
+    assert state["numRowsTotal"] > 10 * high > 0
+    assert state["customMetrics"]["rocksdbGetCount"] <= 2 * high
+
+
+def test_sketches_of_shuffled_batches(spark, sf, tmp_path):
+    path, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+    events = fixture.stream_events(spark, sf, str(tmp_path / "in"), shuffled=True)
+    silver = clean.to_silver(fixture.as_positions(events))
+    for _ in range(2):  # the second run finds nothing new
+        st_rollups.start_sketches(silver, path, checkpoint, every=None).awaitTermination()
+    got = rollups.estimated(rollups.roll_up(st_rollups.read_sketches(spark, path), 10))
+    assert same(got, timeline.bucketed(fixture.silver(spark, sf), 10))
+    day = date(2024, 1, 5)
+    before = st_rollups.read_sketches(spark, path).filter(F.col("date") == F.lit(day)).count()
+    writers.compact_day(spark, path, day, arrange=rollups.merged_day)
+    after = st_rollups.read_sketches(spark, path)
+    assert after.filter(F.col("date") == F.lit(day)).count() < before
+    assert same(rollups.estimated(rollups.roll_up(after, 10)), timeline.bucketed(fixture.silver(spark, sf), 10))
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         readers.stream_kafka(spark, "localhost:9", DEFAULTS.vessel_key)

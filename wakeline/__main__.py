@@ -3,6 +3,9 @@
     normalize  raw AIS messages (folder or topic) to JSON position records
     etl        JSON position records to the lake table
     notify     JSON position records to high alerts, each key once
+    movements  JSON position records to port entries, exits and stays, late reports included
+    silences   JSON position records to notices of vessels that stopped reporting
+    traffic    JSON position records to mergeable traffic counts
     compact    few files in place of a closed day's many
     report     every control-room report over the lake table, as Parquet
 """
@@ -21,7 +24,7 @@ from wakeline.operators.fleet import CATEGORIES
 from wakeline.plans.reports import control_room
 from wakeline.session import build_session
 from wakeline.sources import readers, writers
-from wakeline.streaming import etl, stateful
+from wakeline.streaming import etl, movements, rollups, silence, stateful
 
 
 LIMITS = ("min_speed_kn", "max_distance_km", "speed_high_kn", "near_port_km", "stopped_near_port_km")
@@ -30,10 +33,10 @@ LIMITS = ("min_speed_kn", "max_distance_km", "speed_high_kn", "near_port_km", "s
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="wakeline")
     jobs = parser.add_subparsers(dest="job", required=True)
-    for name in ("normalize", "etl", "notify"):
+    for name in ("normalize", "etl", "notify", "movements", "silences", "traffic"):
         job = jobs.add_parser(name)
         job.add_argument("source", help="folder of JSON text, or a topic with --servers")
-        job.add_argument("target", help="topic or folder (normalize), lake path (etl), folder (notify)")
+        job.add_argument("target", help="topic or folder (normalize), lake path (etl), folder (others)")
         job.add_argument("--checkpoint", required=True)
         job.add_argument("--servers", default=os.environ.get("KAFKA_BOOTSTRAP_SERVERS"))
         job.add_argument("--max-offsets", type=int, default=0, help="records per trigger and topic; 200 suits a small host")
@@ -42,6 +45,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         if name == "etl":
             job.add_argument("--format", default="parquet")
             job.add_argument("--quarantine", help="folder for records that break the data contract")
+            job.add_argument("--extra", action="store_true", help="keep fields that the schema does not foresee")
+        if name == "silences":
+            job.add_argument("--limit-sec", type=int, default=int(DEFAULTS.stale_bad_sec), help="longest time without a report")
+            job.add_argument("--lateness-sec", type=int, default=int(DEFAULTS.stale_warn_sec), help="how late reports may be")
         if name == "normalize":
             job.add_argument("--area", action="store_true", help="only positions in the configured feed area")
     compact = jobs.add_parser("compact")
@@ -99,13 +106,22 @@ def main(argv: list[str] | None = None) -> None:
             records(spark, args), args.target, args.checkpoint, args.servers, every,
             DEFAULTS.feed_area if args.area else None,
         )
-    elif args.job == "notify":
-        silver = to_silver(parse_events(records(spark, args)))
-        run = stateful.start_alert_notices(silver, args.target, args.checkpoint, every=every)
-    else:
+    elif args.job == "etl":
         run = etl.start_etl(
-            records(spark, args), args.target, args.checkpoint, fmt=args.format, every=every, quarantine=args.quarantine
+            records(spark, args), args.target, args.checkpoint, fmt=args.format, every=every, quarantine=args.quarantine,
+            extra=args.extra,
         )
+    else:
+        silver = to_silver(parse_events(records(spark, args)))
+        places = (silver, args.target, args.checkpoint)
+        if args.job == "notify":
+            run = stateful.start_alert_notices(*places, every=every)
+        elif args.job == "movements":
+            run = movements.start_movements(*places, every=every)
+        elif args.job == "traffic":
+            run = rollups.start_sketches(*places, every=every)
+        else:
+            run = silence.start_silence_notices(*places, args.limit_sec, args.lateness_sec, every=every)
     etl.run_until_stopped(run)
 
 

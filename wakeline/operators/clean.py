@@ -70,7 +70,8 @@ def to_lake(positions: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 
 def conform(df: DataFrame) -> DataFrame:
-    """Enforce the lake schema: exactly its columns, in order, cast to its types. A value
-    that does not fit its type becomes null and does not fail the job."""
+    """Enforce the lake schema: exactly its columns, in order, cast to its types, and ``extra``
+    if there is one. A value that does not fit its type becomes null and does not fail the job."""
     types = dict(part.strip().split(" ", 1) for part in schemas.LAKE.split(","))
-    return df.select(*[F.col(c).try_cast(types[c]).alias(c) for c in schemas.LAKE_COLUMNS])
+    extra = [c for c in df.columns if c == "extra"]
+    return df.select(*[F.col(c).try_cast(types[c]).alias(c) for c in schemas.LAKE_COLUMNS], *extra)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULTS, Settings
@@ -58,22 +58,16 @@ def speed_histogram(fleet: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     """Vessels per speed bin: equal bins between slowest and fastest, the fastest in
     the last one; empty bins are left out."""
     n = settings.histogram_bins
-    # One row per distinct speed, so that the bounds need no second look at the fleet.
-    every = Window.partitionBy()
+    # one row per distinct speed; its ends are a single row, read where they are needed
     speeds = fleet.filter(F.col("speed").isNotNull()).groupBy("speed").agg(F.count("*").alias("vessels"))
-    bounded = speeds.withColumns({"lo": F.min("speed").over(every), "hi": F.max("speed").over(every)})
-    lo, width, number = F.col("lo"), (F.col("hi") - F.col("lo")) / n, F.col("bin")
+    ends = speeds.agg(F.struct(F.min("speed").alias("lo"), F.max("speed").alias("hi"))).scalar()
+    lo, width, number = ends["lo"], (ends["hi"] - ends["lo"]) / n, F.col("bin")
     step = F.floor(F.try_divide(F.col("speed") - lo, width))
     index = F.when(width > 0, F.least(step + 1, F.lit(n))).otherwise(1)
     return (
-        bounded.groupBy(index.cast("int").alias("bin"))
-        .agg(F.sum("vessels").alias("vessels"), F.min(lo).alias("lo"), F.min(width).alias("width"))
-        .select(
-            "bin",
-            (F.col("lo") + (number - 1) * F.col("width")).alias("bin_from"),
-            (F.col("lo") + number * F.col("width")).alias("bin_to"),
-            "vessels",
-        )
+        speeds.groupBy(index.cast("int").alias("bin"))
+        .agg(F.sum("vessels").alias("vessels"))
+        .select("bin", (lo + (number - 1) * width).alias("bin_from"), (lo + number * width).alias("bin_to"), "vessels")
         .orderBy("bin")
     )
 

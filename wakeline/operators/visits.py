@@ -61,22 +61,20 @@ def port_transitions(
     return changes_of(port_states(positions, key, tie, slice_hours), key, slice_hours)
 
 
-def port_visits(
-    positions: DataFrame, key: str = KEY, tie: str | None = None, slice_hours: int = SLICE_HOURS
-) -> DataFrame:
-    """``key, entered_at, left_at, entry_seen, dwell_sec``: one row per stay in port.
+def port_changes(states: DataFrame, key: str = KEY, slice_hours: int = SLICE_HOURS) -> DataFrame:
+    """``key, timestamp, event, entry_seen``: entries and exits, and a first report inside as an
+    entry that was not seen."""
+    event = F.when(F.col("in_port"), "entry").otherwise("exit").alias("event")
+    seen = F.col("_before").isNotNull().alias("entry_seen")
+    return _changes(states, key, True, slice_hours).select(key, "timestamp", event, seen)
 
-    A stay starts at an entry, or at the vessel's first report if that is inside
-    (``entry_seen`` false), and ends at the first report outside (null if none).
-    """
-    states = port_states(positions, key, tie, slice_hours)
-    changes = _changes(states, key, True, slice_hours).select(
-        key, "timestamp", "in_port", F.col("_before").isNotNull().alias("entry_seen")
-    )
+
+def stays_of(changes: DataFrame, key: str = KEY, slice_hours: int = SLICE_HOURS) -> DataFrame:
+    """Stays from what ``port_changes`` gives."""
     # Entries and exits alternate, so the next change after an entry is its exit.
     stays = with_neighbour(
         changes, key, "timestamp", ["timestamp"], "_next", forward=True,
-        keep=lambda _: F.col("in_port"), slice_hours=slice_hours,
+        keep=lambda _: F.col("event") == "entry", slice_hours=slice_hours,
     )
     entered, left = F.col("timestamp"), F.col("_next.timestamp")
     return stays.select(
@@ -86,3 +84,14 @@ def port_visits(
         "entry_seen",
         ((F.unix_micros(left) - F.unix_micros(entered)) / F.lit(1e6)).alias("dwell_sec"),
     )
+
+
+def port_visits(
+    positions: DataFrame, key: str = KEY, tie: str | None = None, slice_hours: int = SLICE_HOURS
+) -> DataFrame:
+    """``key, entered_at, left_at, entry_seen, dwell_sec``: one row per stay in port.
+
+    A stay starts at an entry, or at the vessel's first report if that is inside
+    (``entry_seen`` false), and ends at the first report outside (null if none).
+    """
+    return stays_of(port_changes(port_states(positions, key, tie, slice_hours), key, slice_hours), key, slice_hours)

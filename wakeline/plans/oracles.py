@@ -86,6 +86,15 @@ def _trailing(hours: int) -> str:
     return f"WHERE timestamp >= (SELECT t FROM newest) - INTERVAL '{hours} hours'"
 
 
+# Five-minute buckets that begin within 48 hours of the newest one's beginning.
+_LAST_48H = """
+, binned AS (SELECT *, time_bucket(INTERVAL '5 minutes', timestamp) AS ts_bin FROM silver)
+SELECT count(DISTINCT ship_name) AS vessels_total,
+       CAST(count(*) FILTER (in_port) AS BIGINT) AS rows_in_port,
+       CAST(count(*) FILTER (NOT in_port AND speed > 0.5) AS BIGINT) AS rows_moving,
+       CAST(count(*) FILTER (NOT in_port AND speed <= 0.5) AS BIGINT) AS rows_stopped
+FROM binned WHERE ts_bin >= (SELECT max(ts_bin) FROM binned) - INTERVAL '48 hours'"""
+
 _KPIS = """
 SELECT count(*) AS vessels,
        CAST(sum(CASE WHEN category = 'moving' THEN 1 ELSE 0 END) AS BIGINT) AS moving,
@@ -215,6 +224,48 @@ closest AS (
   FROM (SELECT event_id, port, {_km("lat", "lon", "plat", "plon")} AS km FROM silver CROSS JOIN spots) GROUP BY event_id)
 SELECT event_id, CASE WHEN km <= 5 THEN port END AS port FROM closest"""
 
+_STAYS = """
+, changes AS (SELECT * FROM steps WHERE in_port <> before OR (before IS NULL AND in_port)),
+stays AS (
+  SELECT ship_name, timestamp AS entered_at, in_port, before IS NOT NULL AS entry_seen,
+         lead(timestamp) OVER (PARTITION BY ship_name ORDER BY timestamp) AS left_at
+  FROM changes)
+SELECT ship_name, entered_at, left_at, entry_seen,
+       (epoch_us(left_at) - epoch_us(entered_at)) / 1e6 AS dwell_sec
+FROM stays WHERE in_port"""
+
+_SILENCES = """
+, following AS (
+  SELECT ship_name, timestamp, lead(timestamp) OVER (PARTITION BY ship_name ORDER BY timestamp) AS resumed_at
+  FROM (SELECT DISTINCT ship_name, timestamp FROM silver))
+SELECT ship_name, timestamp AS silent_since, resumed_at
+FROM following WHERE coalesce(resumed_at, (SELECT t FROM newest)) > timestamp + INTERVAL '12 hours'"""
+
+# The last report is that of the second event's vessel, a day after the newest one.
+_SILENCE_NOTICES = """
+, closing AS (SELECT (SELECT max(ts) FROM events) + INTERVAL '1 day' AS t),
+every_report AS (
+  SELECT ship_name, timestamp FROM silver
+  UNION SELECT ship_name, (SELECT t FROM closing) FROM silver WHERE event_id = (SELECT min(event_id) + 1 FROM events)),
+following AS (
+  SELECT ship_name, timestamp, lead(timestamp) OVER (PARTITION BY ship_name ORDER BY timestamp) AS resumed_at FROM every_report)
+SELECT ship_name, timestamp AS silent_since, timestamp + INTERVAL '12 hours' AS due_at
+FROM following
+WHERE (resumed_at IS NULL OR resumed_at > timestamp + INTERVAL '12 hours')
+  AND (SELECT t FROM closing) - INTERVAL '1 hour' > timestamp + INTERVAL '12 hours'"""
+
+_DRIFT = """
+SELECT field, count(*) AS records FROM (
+  SELECT unnest(['draught', 'dest', 'dest.port']) AS field FROM silver WHERE event_id % 7 = 0
+  UNION ALL SELECT 'speed' FROM silver WHERE event_id % 11 = 0 AND speed IS NOT NULL)
+GROUP BY field"""
+
+_AS_OF_HALF = """
+, half AS (
+  SELECT * FROM silver WHERE event_id < (SELECT min(event_id) + (max(event_id) + 1 - min(event_id)) * 2 // 4 FROM events)),
+newest_of AS (SELECT *, row_number() OVER (PARTITION BY ship_name ORDER BY timestamp DESC NULLS LAST, event_id DESC) AS place FROM half)
+SELECT ship_name, lat, lon, speed, in_port, timestamp, event_id FROM newest_of WHERE place = 1"""
+
 ORACLES: dict[str, str] = {
     "clean_positions": _with(
         "SELECT event_id, mmsi, ship_name, lat, lon, speed, heading, status, timestamp FROM silver"
@@ -295,6 +346,8 @@ SELECT ship_name, lat, lon, timestamp, ingestion_time, event_id FROM ranked WHER
     ),
     "vessel_search": _with(_FILTERED + " WHERE regexp_matches(ship_name, 'sel 0+[1-4]', 'i')"),
     "vessel_search_literal": _with(_FILTERED + " WHERE contains(lower(ship_name), 'vessel 00')"),
+    "name_search_indexed": _with("SELECT event_id, ship_name FROM silver WHERE regexp_matches(ship_name, 'sel 0+[1-4]', 'i')"),
+    "name_search_indexed_literal": _with("SELECT event_id, ship_name FROM silver WHERE contains(lower(ship_name), 'vessel 00')"),
     "zone_inside": _with(_FILTERED + " WHERE in_port"),
     "zone_outside": _with(_FILTERED + " WHERE NOT in_port"),
     "quality_filter": _with(_FILTERED + " WHERE score >= 60", _SIX_HOURS, _DAY),
@@ -403,18 +456,7 @@ FROM alerts WHERE priority = 'high' GROUP BY priority, ship_name, type, time_dis
     "valid_positions": _with(f"SELECT * FROM positions WHERE {_BROKEN} = ''"),
     "quarantine": _with(f"SELECT event_id, {_BROKEN} AS violations FROM positions WHERE {_BROKEN} <> ''"),
     "port_transitions": _with(_TRANSITIONS),
-    "port_visits": _with(
-        _STEPS
-        + """
-, changes AS (SELECT * FROM steps WHERE in_port <> before OR (before IS NULL AND in_port)),
-stays AS (
-  SELECT ship_name, timestamp AS entered_at, in_port, before IS NOT NULL AS entry_seen,
-         lead(timestamp) OVER (PARTITION BY ship_name ORDER BY timestamp) AS left_at
-  FROM changes)
-SELECT ship_name, entered_at, left_at, entry_seen,
-       (epoch_us(left_at) - epoch_us(entered_at)) / 1e6 AS dwell_sec
-FROM stays WHERE in_port"""
-    ),
+    "port_visits": _with(_STEPS + _STAYS),
     "rows_by_date": _with(
         "SELECT strftime(timestamp, '%Y-%m-%d') AS date, count(*) AS positions FROM silver GROUP BY 1"
     ),
@@ -423,6 +465,9 @@ FROM stays WHERE in_port"""
        strftime(timestamp, '%Y-%m-%d') AS date FROM silver"""
     ),
     "stream_quarantine": _with(_QUARANTINE),
+    **{f"traffic_rollup_{m}m": _with(_timeline("", m)) for m in (5, 10, 15, 30)},
+    "traffic_rollup_48h": _with(_LAST_48H),
+    "stream_rollup": _with(_timeline("", 10)),
     "lake_timeline": _with(_timeline(_trailing(24), 10)),
     "csv_export_roundtrip": _with(_OPERATIONAL),
     "stream_etl": _with(
@@ -430,7 +475,13 @@ FROM stays WHERE in_port"""
        strftime(timestamp, '%Y-%m-%d') AS date FROM silver"""
     ),
     "stream_timeline": _with(_timeline("", 10)),
+    "silences": _with(_SILENCES),
+    "stream_silences": _with(_SILENCE_NOTICES),
+    "lake_drift": _with(_DRIFT),
     "stream_transitions": _with(_TRANSITIONS),
+    "stream_transitions_late": _with(_TRANSITIONS),
+    "stream_visits": _with(_STEPS + _STAYS),
+    "snapshot_as_of_version": _with(_AS_OF_HALF),
     "stream_latest": _with(f"SELECT {_LATEST_CORE} FROM latest"),
     "stream_alert_dedup": _with(
         _EVERY_POSITION

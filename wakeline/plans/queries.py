@@ -17,20 +17,24 @@ from wakeline.functions.times import hours
 from wakeline.operators import (
     alerts as al,
     clean,
+    drift,
     fleet as fl,
     kpis,
     latest as lt,
+    names,
     normalize,
     ports,
     quality,
     rankings,
+    rollups,
+    silence,
     timeline,
     visits,
 )
 from wakeline.plans import reports
 from wakeline.session import checkpointed, working_dir
-from wakeline.sources import fixture, readers, writers
-from wakeline.streaming import alerts as st_alerts, etl, stateful, traffic
+from wakeline.sources import fixture, readers, snapshots, writers
+from wakeline.streaming import alerts as st_alerts, etl, movements, rollups as st_rollups, silence as st_silence, stateful, traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -270,6 +274,25 @@ def vessel_search_literal(spark, d):
     return _filtered(spark, d, search="vessel 00", literal=True)
 
 
+def _name_index(spark, d):
+    path = working_dir(spark, "names")
+    names.write_index(names.name_index(fixture.silver(spark, d)), path)
+    return readers.read_table(spark, path, names.INDEX)
+
+
+@query
+def name_search_indexed(spark, d):
+    """All positions of the vessels that a regular expression finds, by way of the trigram index."""
+    rows = fixture.silver(spark, d).select("event_id", "ship_name")
+    return names.search_positions(rows, _name_index(spark, d), "sel 0+[1-4]")
+
+
+@query
+def name_search_indexed_literal(spark, d):
+    rows = fixture.silver(spark, d).select("event_id", "ship_name")
+    return names.search_positions(rows, _name_index(spark, d), "vessel 00", literal=True)
+
+
 @query
 def zone_inside(spark, d):
     return _filtered(spark, d, zone="inside")
@@ -376,6 +399,27 @@ def traffic_history(spark, d):
     return timeline.bucketed(fixture.silver(spark, d), DEFAULTS.bucket_minutes)
 
 
+def _sketches(spark, d):
+    """Sketches of five-minute buckets, written once."""
+    path = working_dir(spark, "sketches")
+    rollups.bucket_sketches(fixture.silver(spark, d)).write.partitionBy("date").parquet(path)
+    return readers.read_table(spark, path, rollups.SKETCHES)
+
+
+def _rolled(minutes: int) -> Query:
+    return lambda spark, d: rollups.rolled_timeline(_sketches(spark, d), minutes)
+
+
+for _minutes in (5, 10, 15, 30):
+    REGISTRY[f"traffic_rollup_{_minutes}m"] = _rolled(_minutes)
+
+
+@query
+def traffic_rollup_48h(spark, d):
+    """All vessels of the last 48 hours, from the same sketches."""
+    return rollups.trailing_total(_sketches(spark, d), 48)
+
+
 # --- alerts ------------------------------------------------------------------------
 
 ALERT_OUTPUT = ("ship", "priority", "priority_rank", "type", "speed", "distance", "time")
@@ -582,14 +626,69 @@ def stream_timeline(spark, d):
     return readers.read_table(spark, sink[0], counts.schema)
 
 
+@query
+def stream_rollup(spark, d):
+    """Events arrive in no order; the buckets are merged from what each micro-batch counted."""
+    root = working_dir(spark, "stream-rollup")
+    silver = _silver_stream(spark, d, root, shuffled=True)
+    st_rollups.start_sketches(silver, f"{root}/table", f"{root}/checkpoint", every=None).awaitTermination()
+    return rollups.rolled_timeline(st_rollups.read_sketches(spark, f"{root}/table"), 10)
+
+
+def _movements(spark, d, **how):
+    root = working_dir(spark, "stream-movements")
+    silver = _silver_stream(spark, d, root, **how)
+    target = (f"{root}/out", f"{root}/checkpoint")
+    movements.start_movements(silver, *target, tie="event_id", every=None, buckets=8).awaitTermination()
+    return f"{root}/out"
+
+
 @query
 def stream_transitions(spark, d):
-    root = working_dir(spark, "stream-transitions")
-    stateful.start_transitions(
-        _silver_stream(spark, d, root), f"{root}/out", f"{root}/checkpoint", tie="event_id", every=None
-    ).awaitTermination()
-    schema = "ship_name STRING, timestamp TIMESTAMP, event STRING"
-    return stateful.read_versions(spark, f"{root}/out/events", schema)
+    return movements.read_transitions(spark, _movements(spark, d))
+
+
+@query
+def stream_transitions_late(spark, d):
+    """Events arrive in no order, and the first part of them twice."""
+    return movements.read_transitions(spark, _movements(spark, d, shuffled=True, again=True))
+
+
+@query
+def stream_visits(spark, d):
+    """Stays, from events that arrive in no order."""
+    return movements.read_stays(spark, _movements(spark, d, shuffled=True))
+
+
+SILENT_SEC, LATENESS_SEC = 12 * 3600, 3600
+
+
+@query
+def silences(spark, d):
+    """Vessels not heard from for twelve hours, as known at the table's newest time."""
+    silver = fixture.silver(spark, d)
+    return silence.silences(silver, SILENT_SEC, newest(silver))
+
+
+@query
+def stream_silences(spark, d):
+    """The same by timers; the stream ends with one report a day after the others."""
+    root = working_dir(spark, "stream-silences")
+    silver = _silver_stream(spark, d, root, closing=True)
+    st_silence.start_silence_notices(silver, f"{root}/out", f"{root}/checkpoint", SILENT_SEC, LATENESS_SEC, every=None).awaitTermination()
+    return stateful.read_versions(spark, f"{root}/out", "ship_name STRING, silent_since TIMESTAMP, due_at TIMESTAMP")
+
+
+@query
+def lake_drift(spark, d):
+    """Fields the schema does not foresee, after the stream to the lake and back, and a value in one of them."""
+    root = working_dir(spark, "lake-drift")
+    fixture.drifted_records(spark, d).write.text(f"{root}/landing")
+    records = readers.stream_text(spark, f"{root}/landing")
+    etl.start_etl(records, f"{root}/lake", f"{root}/checkpoint", every=None, extra=True).awaitTermination()
+    lake = readers.read_lake(spark, f"{root}/lake", extra=True)
+    port = lake.filter(F.try_variant_get("extra", "$.dest.port", "string") == "LPA")
+    return drift.drifted_fields(lake).unionAll(port.agg(F.lit("dest.port"), F.count("*")))
 
 
 @query
@@ -602,7 +701,19 @@ def stream_latest(spark, d):
     stateful.start_latest_snapshots(
         latest, f"{root}/out", f"{root}/checkpoint", ties=TIE, every=None
     ).awaitTermination()
-    return stateful.read_newest_version(spark, f"{root}/out", latest.schema)
+    return snapshots.read_snapshot(spark, f"{root}/out", latest.schema)
+
+
+@query
+def snapshot_as_of_version(spark, d):
+    """The fleet as it was after half of the micro-batches, read afterwards by version."""
+    root = working_dir(spark, "stream-versions")
+    rows = _silver_stream(spark, d, root).select("ship_name", "lat", "lon", "speed", "in_port", "timestamp", "event_id")
+    latest = stateful.stream_latest(rows, ties=TIE)
+    checkpoint = f"{root}/checkpoint"
+    stateful.start_latest_snapshots(latest, f"{root}/out", checkpoint, ties=TIE, every=None).awaitTermination()
+    versions = len(readers.found_paths(spark, f"{root}/out/of=*/v=*/_SUCCESS"))
+    return snapshots.read_snapshot(spark, f"{root}/out", latest.schema, version=versions // 2 - 1)
 
 
 @query

@@ -32,6 +32,9 @@ POSITION_COLUMNS = ("mmsi", "ship_name", "lat", "lon", "speed", "heading", "stat
 LAKE = POSITION + ", in_port BOOLEAN, ingestion_time TIMESTAMP, date DATE"
 LAKE_COLUMNS = (*POSITION_COLUMNS, "in_port", "ingestion_time", "date")
 
+# With the fields that the schema does not foresee.
+LAKE_WITH_EXTRA = LAKE + ", extra VARIANT"
+
 TEXT = "value STRING"
 
 # Columns of the outputs, in order. The vessel key, where a report has one, is

@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Mapping
 
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +57,18 @@ def build_session(app: str = "wakeline", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def package_on_workers(spark: SparkSession) -> None:
+    """Python workers started from now on also search the folder this package was imported from.
+
+    On a cluster the package is installed or sent with --py-files; a folder that is not there does no harm.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
+    if root not in known:
+        environment["PYTHONPATH"] = ":".join([*known, root])
+
+
 @cache
 def _own_dir() -> str:
     """One temporary folder for this process, removed when it ends."""

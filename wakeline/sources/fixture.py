@@ -47,18 +47,21 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(
-    spark: SparkSession, sf_dir: str, folder: str, parts: int = 4, again: bool = False, closing: bool = False
+    spark: SparkSession, sf_dir: str, folder: str, parts: int = 4, again: bool = False, closing: bool = False, shuffled: bool = False
 ) -> DataFrame:
     """All events as a stream of at least ``parts`` micro-batches, in order of ``event_id``.
 
     They are landed in ``folder`` in that many steps. ``again`` lands the first part
     once more at the end, late and repeated; ``closing`` adds one event a day after
-    the newest, so that every window before it closes.
+    the newest, so that every window before it closes. ``shuffled`` deals events out regardless of
+    their time, so that most of them arrive late.
     """
     events = read_events(spark, sf_dir)
     low, high, newest = events.agg(F.min("event_id"), F.max("event_id"), F.max("ts")).first()
     bounds = [low + (high + 1 - low) * i // parts for i in range(parts + 1)]
     steps = [events.filter((F.col("event_id") >= a) & (F.col("event_id") < b)) for a, b in zip(bounds, bounds[1:], strict=False)]
+    if shuffled:
+        steps = [events.filter(F.pmod(F.xxhash64("event_id"), F.lit(parts)) == i) for i in range(parts)]
     if again:
         steps.append(steps[0])
     if closing:
@@ -133,6 +136,15 @@ def faulty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions(spark, sf_dir).select("event_id", record.alias("value")).select(faulty.alias("value"))
 
 
+def drifted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions as JSON text of a feed that has changed: new fields, one of them an object, and speeds in words."""
+    value, event_id = F.col("value"), F.col("event_id")
+    record = F.to_json(F.struct(*schemas.POSITION_COLUMNS), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    worded = F.when(event_id % 11 == 0, F.regexp_replace(value, r'"speed":[-0-9.E]+', '"speed":"fast"')).otherwise(value)
+    more = F.when(event_id % 7 == 0, F.regexp_replace(worded, r"}$", ',"draught":4.5,"dest":{"port":"LPA"},"note":null}')).otherwise(worded)
+    return positions(spark, sf_dir).select("event_id", record.alias("value")).select(more.alias("value"))
+
+
 def ports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One port box per row of ``nation``, laid out on a 5-wide grid without overlaps."""
     key = F.col("n_nationkey")

@@ -26,26 +26,48 @@ def read_table(
 
 
 def read_lake(
-    spark: SparkSession, path: str | None = None, since: date | None = None, fmt: str = "parquet"
+    spark: SparkSession, path: str | None = None, since: date | None = None, fmt: str = "parquet", extra: bool = False
 ) -> DataFrame:
     """The lake table, read as a directory so that date partitions are found.
 
     Without ``path`` the environment decides: ``WAKELINE_SNAPSHOT`` (a local
     extract used instead of the lake) wins over ``WAKELINE_LAKE``. ``since``
-    prunes partitions at planning time.
+    prunes partitions at planning time. ``extra`` adds the column of that name, null where it
+    was not written.
     """
     path = path or os.environ.get("WAKELINE_SNAPSHOT") or os.environ.get("WAKELINE_LAKE")
     if not path:
         raise ValueError("give a path or set WAKELINE_LAKE")
-    lake = read_table(spark, path, fmt=fmt).select(*schemas.LAKE_COLUMNS)
+    schema = schemas.LAKE_WITH_EXTRA if extra else schemas.LAKE
+    lake = read_table(spark, path, schema, fmt).select(*schemas.LAKE_COLUMNS, *(["extra"] if extra else []))
     return lake.filter(F.col("date") >= F.lit(since)) if since else lake
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and the file system it is on, whichever that is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def found_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders by names alone; none is opened."""
+    place, files = _located(spark, pattern)
+    return [str(status.getPath()) for status in files.globStatus(place) or []]
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    place, files = _located(spark, path)
+    files.mkdirs(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place, files = _located(spark, path)
+    files.delete(place, True)
+
+
 def newest_day(spark: SparkSession, path: str) -> date | None:
     """The newest date of the lake table, from the names of its folders: no file is opened."""
-    days = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/date=*")
-    found = days.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(days)
-    names = [str(status.getPath().getName()).removeprefix("date=") for status in found or []]
+    names = [found.rpartition("date=")[2] for found in found_paths(spark, f"{path}/date=*")]
     return max((date.fromisoformat(n) for n in names if n[:1].isdigit()), default=None)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Callable
 from datetime import date, datetime, timezone
 
 import pandas as pd
@@ -58,7 +59,7 @@ def append_lake(
         table = along_curve(table, load)
     elif rebalance:
         table = table.hint("rebalance", "date")
-    _write_load(table, path, fmt, load, "date", **options)
+    write_load(table, path, fmt, load, "date", **options)
 
 
 def along_curve(table: DataFrame, load: str) -> DataFrame:
@@ -74,7 +75,8 @@ def along_curve(table: DataFrame, load: str) -> DataFrame:
     return ordered.drop("_curve")
 
 
-def _write_load(table: DataFrame, path: str, fmt: str, load: str, *by: str, **options: str) -> None:
+def write_load(table: DataFrame, path: str, fmt: str, load: str, *by: str, **options: str) -> None:
+    """Write ``table`` as the load of that name, in place of what the same load wrote before."""
     (
         table.withColumn("load", F.lit(load))
         .write.format(fmt)
@@ -87,10 +89,15 @@ def _write_load(table: DataFrame, path: str, fmt: str, load: str, *by: str, **op
 
 
 def compact_day(
-    spark: SparkSession, path: str, day: date, fmt: str = "parquet", clustered: bool = True, **options: str
+    spark: SparkSession,
+    path: str,
+    day: date,
+    fmt: str = "parquet",
+    arrange: Callable[[DataFrame], DataFrame] | None = None,
+    **options: str,
 ) -> None:
-    """One load in place of all loads of ``day``, laid out along a curve over the map unless
-    ``clustered`` is false. For days that nothing is written to any more and while nobody reads them.
+    """One load in place of all loads of ``day``, arranged by ``arrange``; without it rows are laid
+    out along a curve over the map. For days that nothing is written to any more and while nobody reads them.
 
     The new load is complete before an old one is deleted; a run that was broken off
     is finished by the next.
@@ -101,10 +108,7 @@ def compact_day(
     files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if not files.exists(hadoop(staged, "_SUCCESS")):
         rows = spark.read.format(fmt).load(folder).drop("load", "date")
-        if clustered:
-            rows = along_curve(rows.withColumn("date", F.lit(day)), "").drop("load", "date")
-        else:
-            rows = rows.hint("rebalance")
+        rows = arrange(rows) if arrange else along_curve(rows.withColumn("date", F.lit(day)), "").drop("load", "date")
         rows.write.format(fmt).mode("overwrite").options(**options).save(str(staged))
     for status in files.globStatus(hadoop(f"{folder}/load=*")):
         files.delete(status.getPath(), True)
@@ -168,7 +172,7 @@ def stream_to_lake(
         try:
             broken = F.size("violations") > 0
             append_lake(batch.filter(~broken), path, fmt, load=load)
-            _write_load(batch.filter(broken), quarantine, fmt, load)
+            write_load(batch.filter(broken), quarantine, fmt, load)
         finally:
             batch.unpersist()
 

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wakeline.config import DEFAULTS, Rectangle, Settings
 from wakeline.operators.clean import flag_harbour, nan_to_null, parse_events, to_lake, within_box
+from wakeline.operators.drift import parse_with_extra
 from wakeline.operators.normalize import normalize_ais
 from wakeline.operators.quality import with_violations
 from wakeline.sources.writers import stream_to_lake, stream_to_table, to_json_records
@@ -21,14 +22,20 @@ def start_etl(
     fmt: str = "parquet",
     every: str | None = "10 seconds",
     quarantine: str | None = None,
+    extra: bool = False,
 ) -> StreamingQuery:
     """Parse, clean, flag and append; no state.
 
     By default a row is kept if its position is usable. With ``quarantine`` every record
     must meet the whole data contract: the others go there with their text
     (``value``) and the names of the broken rules, so that kept and set aside rows
-    add up to what was read.
+    add up to what was read. With ``extra`` the lake keeps fields that the schema does not foresee
+    (``operators/drift.py``).
     """
+    if extra:
+        if quarantine:
+            raise ValueError("extra fields are kept in the lake or records are set aside, not both")
+        return stream_to_lake(to_lake(parse_with_extra(records), settings), path, checkpoint, fmt, every)
     if not quarantine:
         return stream_to_lake(to_lake(parse_events(records), settings), path, checkpoint, fmt, every)
     return stream_to_lake(judged(records, settings), path, checkpoint, fmt, every, quarantine)

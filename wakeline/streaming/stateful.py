@@ -1,54 +1,33 @@
-"""Keyed state on a stream, kept as versioned tables.
+"""Keyed state on a stream: latest positions and alert notices.
 
-Each micro-batch is an ordinary DataFrame here, so the batch operators apply
-unchanged, including their protection against hot keys. Version n of the state
-is a function of version n-1 and micro-batch n only, and both are written to
-paths named by n: a micro-batch that runs twice after a failure overwrites its
-own output.
+Latest positions are kept as a table in hash buckets, of which a micro-batch rewrites those it
+touches. Which alerts were notified is remembered by Spark's own state store.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import BooleanType, StructField, StructType, TimestampType
 
 from wakeline.config import DEFAULTS, Settings
-from wakeline.operators.alerts import find_alerts, unseen_alerts
+from wakeline.operators.alerts import alert_key, find_alerts, high_alerts
 from wakeline.operators.fleet import enrich
 from wakeline.operators.latest import latest_per_vessel, merge_latest
-from wakeline.operators.visits import changes_of, port_states
 from wakeline.sources.readers import read_table
+from wakeline.sources.snapshots import BUCKETS, KEPT_VERSIONS, upsert
 
-KEPT_VERSIONS = 10
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def version_path(root: str, version: int) -> str:
-    return f"{root}/v={version:012d}"
-
-
-def _previous(spark: SparkSession, root: str, version: int, schema: StructType) -> DataFrame:
-    """State before micro-batch ``version``. Only the first one may find none."""
-    if version == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(version_path(root, version - 1))
-
-
-def _save(state: DataFrame, root: str, version: int, retain: int | None = None) -> None:
-    state.write.mode("overwrite").parquet(version_path(root, version))
-    if retain and version >= retain:
-        spark = state.sparkSession
-        old = spark._jvm.org.apache.hadoop.fs.Path(version_path(root, version - retain))
-        old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(old, True)
-
-
-def _start(
+def start(
     rows: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
     mode: str, every: str | None,
 ) -> StreamingQuery:
+    """``handle`` for every micro-batch and its number. ``every=None`` drains what is there and ends."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         rows.writeStream.outputMode(mode)
@@ -59,6 +38,32 @@ def _start(
     )
 
 
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB: looked up by key, on disk, behind Bloom filters."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+def version_path(root: str, version: int) -> str:
+    return f"{root}/v={version:012d}"
+
+
+def save_version(rows: DataFrame, root: str, version: int) -> None:
+    """What one micro-batch gives; if it runs again, it overwrites its own."""
+    rows.write.mode("overwrite").parquet(version_path(root, version))
+
+
+def read_versions(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """All versions together, for outputs that accumulate."""
+    return read_table(spark, root, schema).drop("v")
+
+
 def stream_latest(
     silver: DataFrame, key: str = DEFAULTS.vessel_key, ties: Sequence[str] = ()
 ) -> DataFrame:
@@ -68,100 +73,35 @@ def stream_latest(
 
 def start_latest_snapshots(
     latest: DataFrame, root: str, checkpoint: str, key: str = DEFAULTS.vessel_key,
-    ties: Sequence[str] = (), every: str | None = "10 seconds", retain: int = KEPT_VERSIONS,
+    ties: Sequence[str] = (), every: str | None = "10 seconds", buckets: int = BUCKETS, retain: int = KEPT_VERSIONS,
 ) -> StreamingQuery:
-    """Upsert the vessels that changed into a new snapshot version per micro-batch."""
-    schema = latest.schema
+    """Upsert the vessels that changed; every micro-batch is a version of the table under ``root``
+    (``snapshots.read_snapshot``) and writes the buckets of these vessels only."""
 
-    def handle(changed: DataFrame, version: int) -> None:
-        before = _previous(changed.sparkSession, root, version, schema)
-        _save(merge_latest(before, changed, key=key, ties=ties), root, version, retain)
-
-    return _start(latest, handle, checkpoint, "update", every)
+    def merge(before: DataFrame, changed: DataFrame) -> DataFrame:
+        return merge_latest(before, changed, key=key, ties=ties)
 
+    def handle(changed: DataFrame, version: int) -> None:
+        upsert(changed, root, version, [key], merge, buckets, retain)
 
-def start_transitions(
-    silver: DataFrame, root: str, checkpoint: str, key: str = DEFAULTS.vessel_key,
-    tie: str | None = None, every: str | None = "10 seconds", retain: int = KEPT_VERSIONS,
-) -> StreamingQuery:
-    """Port entries and exits per micro-batch under ``root``.
+    return start(latest, handle, checkpoint, "update", every)
 
-    ``events/`` holds ``key, timestamp, event``; ``late/`` the reports no newer
-    than their vessel's last known state, which can no longer be put in order
-    and are kept for a batch run; ``state/`` the last state per vessel.
-    """
-    schema = StructType(
-        [
-            StructField(key, silver.schema[key].dataType),
-            StructField("timestamp", TimestampType()),
-            StructField("in_port", BooleanType()),
-        ]
-    )
 
-    def handle(batch: DataFrame, version: int) -> None:
-        before = _previous(batch.sparkSession, f"{root}/state", version, schema)
-        known = before.select(F.col(key).alias("_key"), F.col("timestamp").alias("_known"))
-        # Both sides have one row per vessel or per vessel and instant; Spark splits a
-        # partition of a busy vessel by itself.
-        same = F.col(key).eqNullSafe(F.col("_key"))
-        aged = (
-            port_states(batch, key, tie)
-            .join(known, same, "left")
-            .withColumn("late", F.coalesce(F.col("timestamp") <= F.col("_known"), F.lit(False)))
-            .drop("_key", "_known")
-            .persist()
-        )
-        try:
-            usable = aged.filter(~F.col("late")).drop("late")
-            # The stored state of a vessel opens its new sequence; as the first row
-            # it yields no event itself.
-            seen = usable.select(F.col(key).alias("_key")).distinct()
-            touched = before.join(seen, same, "left_semi")
-            _save(aged.filter("late").drop("late"), f"{root}/late", version)
-            sequence = usable.unionByName(touched)
-            events = changes_of(sequence, key)
-            _save(events, f"{root}/events", version)
-            _save(merge_latest(before, usable, key=key), f"{root}/state", version, retain)
-        finally:
-            aged.unpersist()
-
-    return _start(silver, handle, checkpoint, "append", every)
-
-
-NOTICE = "priority STRING, ship STRING, type STRING, time STRING, raised BIGINT, alert_key STRING"
+NOTICE = "priority STRING, ship STRING, type STRING, time STRING, alert_key STRING"
 
 
 def start_alert_notices(
     silver: DataFrame, root: str, checkpoint: str, settings: Settings = DEFAULTS,
     every: str | None = "10 seconds",
 ) -> StreamingQuery:
-    """High alerts whose key no earlier micro-batch has had, under ``root``.
-
-    What was notified is the output itself, so it survives restarts, and a report is
-    not refused for being late. ``raised`` counts the reports within the micro-batch.
-    """
-
-    def handle(batch: DataFrame, version: int) -> None:
-        fleet = enrich(batch, settings, F.col("timestamp"))
-        before = read_table(batch.sparkSession, root, NOTICE)
-        seen = before.filter(F.col("v") < version) if "v" in before.columns else before
-        _save(unseen_alerts(find_alerts(fleet, settings), seen), root, version)
-
-    return _start(silver, handle, checkpoint, "append", every)
-
-
-def read_versions(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """All versions together, for outputs that accumulate."""
-    return read_table(spark, root, schema).drop("v")
-
-
-def read_newest_version(spark: SparkSession, root: str, schema: str | StructType) -> DataFrame:
-    """The newest complete snapshot under ``root``; empty if there is none.
+    """High alerts whose key no earlier report has had, under ``root``.
 
-    Versions are found by listing, so a query that was started again and has had no
-    new data yet is answered too.
+    The keys are remembered for good, so a report is not refused for being late; they hold the time of day
+    and not the date, which bounds their number. Of each micro-batch only its own alerts are looked
+    up: earlier notices are not read again.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v=*/_SUCCESS")
-    found = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(folder)
-    paths = sorted(str(status.getPath().getParent()) for status in found or [])
-    return spark.read.schema(schema).parquet(paths[-1]) if paths else spark.createDataFrame([], schema)
+    fleet = enrich(silver, settings, F.col("timestamp"))
+    alerts = high_alerts(find_alerts(fleet, settings)).withColumn("alert_key", alert_key())
+    fresh = alerts.select("priority", "ship", "type", "time", "alert_key").dropDuplicates(["alert_key"])
+    with state_on_disk(silver.sparkSession):
+        return start(fresh, lambda batch, version: save_version(batch, root, version), checkpoint, "append", every)
