@@ -196,3 +196,21 @@ def test_long_pages_without_repeats_align(lab):
     pages = [(i, "http://h/x", f"<article>{b}</article>") for i, b in enumerate(body)]
     got = html.extract(lab.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)).collect()
     assert {r.text for r in got} == {" ".join(f"t{i}" for i in range(4000))}
+
+
+@pytest.mark.parametrize("body, text", [
+    ('<main class="content no-sidebar"><p>One</p></main>', "One"),
+    ('<div class="single has-sidebar"><article><p>One</p></article></div>', "One"),
+    ('<article class="post comments-open"><p>One</p><div class="comments"><article class="comment"><p>no</p></article></div></article>', "One"),
+    ('<article><p>One <span class="advert">no <b>no</b></span> two</p><p>three <span><span class="big">four</span></span></p></article>', "One two three four"),
+    ('<article><p>One <span class="ad">no</p><p>two</p></article>', "One two"),
+    ("<nav><ul><li>no<article><p>One</p></article>", "One"),
+    ("<header><h1>no</h1><main><p>One</p></main>", "One"),
+    ('<form id="page"><main><p>One</p></main></form>', "One"),
+    ('<div class="site-header">no</div><div class="search-form">no</div><article><header><h1>One</h1></header></article><div id="sidebar-left">no</div>', "One"),
+    ("<aside><article><p>no</p></article></aside><article><p>One</p></article>", "One"),
+    ('<article><p>One</p><div class="related-posts">no</div><p class="comment">no</p></article>', "One"),
+])
+def test_classes_that_say_what_an_element_is(body, text):
+    for around in ("<body>", '<body class="single has-sidebar comments">'):
+        assert html.Extractor().text(f"<html>{around}{body}</body></html>", None) == text

@@ -56,6 +56,17 @@ _ASIDE_WORDS = frozenset(
      "promotion", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored",
      "subscribe", "toolbar", "widget")
 )
+#: Of these, those that an inline element inside a paragraph is left out for.
+_INLINE_WORDS = frozenset(
+    ("ad", "ads", "advert", "adverts", "advertisement", "advertising", "promo", "promotion", "share", "sharing", "social", "sponsor", "sponsored")
+)
+#: Parts of a class that say something about a page and not what the element is.
+_SAID_BEFORE = frozenset(("has", "hide", "is", "no", "not", "show", "with", "without"))
+_SAID_AFTER = frozenset(("closed", "disabled", "enabled", "off", "on", "open"))
+#: Elements around a whole page or article, whose classes say how it is laid out, and
+#: those that cannot hold an article, so that one ends them if they were left open.
+_WHOLE = frozenset(("html", "body", "main", "article"))
+_ENDED_BY = {"main": _DROPPED, "article": frozenset(("nav", "menu", "header", "form"))}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -87,9 +98,11 @@ def tokens(page: str) -> list[Token]:
     stack: list[tuple[str, str, str]] = [("", "b", "")]
     pieces: list[str] = []
     plain = linked = in_link = 0
+    muted: list[str] = []  # inline elements that are left out, and those of their kind within
 
     def flush() -> None:
         nonlocal plain, linked
+        muted.clear()
         text = " ".join("".join(pieces).split())
         if text:
             _, zone, key = stack[-1]
@@ -99,7 +112,7 @@ def tokens(page: str) -> list[Token]:
 
     def said(raw: str) -> None:
         nonlocal plain, linked
-        if raw:
+        if raw and not muted:
             pieces.append(entities.unescape(raw) if "&" in raw else raw)
             if in_link:
                 linked += len(raw)
@@ -118,6 +131,10 @@ def tokens(page: str) -> list[Token]:
         name, ends = found["name"].lower(), bool(found["end"])
         if name in _INLINE:
             in_link = in_link if name != "a" else int(not ends)
+            if not ends and (muted[-1:] == [name] or not muted and _says(_marks(found["rest"]), _INLINE_WORDS)):
+                muted.append(name)
+            elif ends and muted[-1:] == [name]:
+                muted.pop()
             continue
         if name in ("br", "wbr", "img"):
             pieces.append(" " if name == "br" else "")
@@ -129,6 +146,7 @@ def tokens(page: str) -> list[Token]:
             out.append(Token(f"/{name}"))
             continue
         _implied(stack, name)
+        _interrupted(stack, name)
         words = _marks(found["rest"])
         key = ".".join([name, *words])
         out.append(Token(key))
@@ -144,15 +162,36 @@ def tokens(page: str) -> list[Token]:
 def _zone(outer: str, name: str, words: list[str]) -> str:
     if outer == "x":
         return "x"
-    apart = {part for word in words for part in re.split(r"[-_]+", word)}
     # inside an article a header is its own
-    if apart & _ASIDE_WORDS - ({"header"} if outer == "m" else set()):
+    named = _ASIDE_WORDS - ({"header"} if outer == "m" else set())
+    if name in _WHOLE:
+        if name == "article" and not {"comment", "comments"}.isdisjoint(words):
+            return "x"
+    elif _says(words, named):
         return "x"
     if name in _DROPPED and not (name == "header" and outer == "m"):
         return "x"
     return "m" if outer == "m" or name in _MAIN or "main" in words else "b"
 
 
+def _says(words: list[str], named: frozenset | set) -> bool:
+    """A class, id or role is one of the names, or is put together with one: not to say that there is or is none."""
+    for word in words:
+        parts = [p for p in re.split(r"[-_]+", word) if p]
+        if word in named or not named.isdisjoint(parts) and _SAID_BEFORE.isdisjoint(parts) and parts[-1] not in _SAID_AFTER:
+            return True
+    return False
+
+
+def _interrupted(stack: list, name: str) -> None:
+    """An article ends what cannot hold it and was left open."""
+    held = _ENDED_BY.get(name, ())
+    for i in range(1, len(stack)):
+        if stack[i][0] in held and stack[i][1] == "x" and stack[i - 1][1] != "x":
+            del stack[i:]
+            return
+
+
 def _close(stack: list, name: str) -> None:
     for i in range(len(stack) - 1, 0, -1):
         if stack[i][0] == name:
