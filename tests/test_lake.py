@@ -125,6 +125,9 @@ def test_compaction_keeps_every_row(spark, sf, tmp_path):
     assert after.filter(F.col("date") == F.lit(day)).select(F.input_file_name()).distinct().count() < files
     kept = after.select("mmsi", "timestamp")
     assert kept.exceptAll(rows.select("mmsi", "timestamp")).count() == 0
+    assert [f.name for f in Path(path, "date=2024-01-03").iterdir()] == ["load=compacted"]
+    writers.compact_day(spark, path, day)
+    assert readers.read_lake(spark, path).count() == want
 
 
 def boxes_of_row_groups(path):

@@ -83,13 +83,14 @@ def test_extra_goes_through_the_lake(spark, tmp_path):
     path = str(tmp_path / "lake")
     text = '{"mmsi": 1, "lat": 28.1, "lon": -15.4, "timestamp": "2024-01-05T00:00:00Z", "draught": 4.5}'
     rows = clean.to_lake(drift.parse_with_extra(spark.createDataFrame([(text,)], "value STRING")))
-    writers.append_lake(rows, path)
-    writers.append_lake(rows.drop("extra"), path)
-    writers.append_lake(rows, path, clustered=True)
+    writers.append_lake(rows.drop("extra"), path, load="a")
+    writers.append_lake(rows, path, load="b")
+    writers.append_lake(rows, path, clustered=True, load="c")
+    writers.append_lake(rows.drop("extra"), path, load="d")
     writers.compact_day(spark, path, datetime(2024, 1, 5).date())
     lake = readers.read_lake(spark, path, extra=True)
     found = lake.select(F.try_variant_get("extra", "$.draught", "double").alias("d")).collect()
-    assert sorted((r["d"] for r in found), key=str) == [4.5, 4.5, None]
+    assert sorted((r["d"] for r in found), key=str) == [4.5, 4.5, None, None]
     assert "extra" not in readers.read_lake(spark, path).columns
 
 

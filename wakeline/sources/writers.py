@@ -97,22 +97,26 @@ def compact_day(
     **options: str,
 ) -> None:
     """One load in place of all loads of ``day``, arranged by ``arrange``; without it rows are laid
-    out along a curve over the map. For days that nothing is written to any more and while nobody reads them.
+    out along a curve over the map. For days that nothing is written to any more.
 
-    The new load is complete before an old one is deleted; a run that was broken off
-    is finished by the next.
+    The new load is complete before an old one goes. Old loads are hidden by a change of name, the new one
+    is moved in, and only then are files deleted: a reader that lists the day in between misses it for as
+    long as these names take to change. A run that was broken off is finished by the next.
     """
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     folder = f"{path}/date={day:%Y-%m-%d}"
     target, staged = hadoop(f"{folder}/load=compacted"), hadoop(f"{path}/_compacting/date={day:%Y-%m-%d}")
     files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if not files.exists(hadoop(staged, "_SUCCESS")):
-        rows = spark.read.format(fmt).load(folder).drop("load", "date")
+        # columns that only some loads have are kept
+        rows = spark.read.format(fmt).option("mergeSchema", True).load(folder).drop("load", "date")
         rows = arrange(rows) if arrange else along_curve(rows.withColumn("date", F.lit(day)), "").drop("load", "date")
         rows.write.format(fmt).mode("overwrite").options(**options).save(str(staged))
     for status in files.globStatus(hadoop(f"{folder}/load=*")):
-        files.delete(status.getPath(), True)
+        files.rename(status.getPath(), hadoop(f"{folder}/_replaced-{uuid.uuid4().hex}"))
     files.rename(staged, target)
+    for status in files.globStatus(hadoop(f"{folder}/_replaced-*")):
+        files.delete(status.getPath(), True)
 
 
 def export_csv(table: DataFrame, folder: str, stem: str = "fleet_filtered") -> str:
