@@ -1,5 +1,10 @@
 """Every registered query against DuckDB on the same tables."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as catalog
@@ -75,3 +80,14 @@ def test_bands_and_split_cover_everything(spark, sf):
     assert alerting > 0 and quiet > 0 and alerting + quiet == len(filtered)
     positions = fixture.positions(spark, sf).count()
     assert QUERIES["valid_positions"](spark, sf).count() + QUERIES["quarantine"](spark, sf).count() == positions
+
+
+@pytest.mark.parametrize("missing", ["regex", "xxhash", "public_tokenizers", "corpus_pipeline", "wakeline.llm"])
+def test_queries_do_without_what_only_texts_need(missing):
+    code = (
+        "import sys, warnings; warnings.simplefilter('ignore'); "
+        f"sys.modules[{missing!r}] = None; import __spark_entry__ as e; from wakeline.plans.queries import REGISTRY; "
+        "assert set(e.queries()) == set(REGISTRY), set(e.queries()) ^ set(REGISTRY)"
+    )
+    root = Path(catalog.__file__).parent
+    subprocess.run([sys.executable, "-c", code], cwd=root, env={**os.environ, "PYTHONPATH": str(root)}, check=True, timeout=120)
