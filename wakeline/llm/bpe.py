@@ -73,7 +73,14 @@ class Codec:
         self.none = 1 + max(self.tokens)
         self.find = regex.compile(pattern)
         self.pieces = _Remembering(self._piece)
-        self.units = _Remembering(lambda unit: self.encode(self.find.findall(unit)))
+        self.units = _Remembering(self._unit)
+        # a rank for every two bytes, so that a merge begins without cutting the text up
+        self.twos = [self.ranks.get(bytes((a, b)), self.none) for a in range(256) for b in range(256)]
+
+    def _unit(self, unit: str) -> bytes:
+        found = self.find.findall(unit)
+        # most are one pre-token, which need not be remembered twice
+        return self._piece(found[0]) if len(found) == 1 else self.encode(found)
 
     def _piece(self, piece: str) -> bytes:
         raw = piece.encode()
@@ -83,20 +90,21 @@ class Codec:
 
     def _merge_few(self, raw: bytes) -> list[int]:
         """The same merges as ``_merge`` by looking at all pairs each time."""
-        get, none = self.ranks.get, self.none
-        cuts = list(range(len(raw) + 1))
-        pairs = [get(raw[i : i + 2], none) for i in range(len(raw) - 1)]
+        get, none, twos = self.ranks.get, self.none, self.twos
+        parts = [raw[i : i + 1] for i in range(len(raw))]
+        pairs = [twos[a << 8 | b] for a, b in zip(raw, raw[1:], strict=False)]
         while pairs:
             best = min(pairs)
             if best == none:
                 break
             i = pairs.index(best)
-            del cuts[i + 1], pairs[i]
+            part = parts[i] = parts[i] + parts.pop(i + 1)
+            del pairs[i]
             if i:
-                pairs[i - 1] = get(raw[cuts[i - 1] : cuts[i + 1]], none)
+                pairs[i - 1] = get(parts[i - 1] + part, none)
             if i < len(pairs):
-                pairs[i] = get(raw[cuts[i] : cuts[i + 2]], none)
-        return [self.ranks[raw[a:b]] for a, b in zip(cuts, cuts[1:], strict=False)]
+                pairs[i] = get(part + parts[i + 1], none)
+        return [self.ranks[part] for part in parts]
 
     def _merge(self, raw: bytes) -> list[int]:
         """Merges the neighbours of lowest rank, leftmost first, until none is known."""
