@@ -84,36 +84,42 @@ def _continued(fresh: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return changes_of(sequence, key).withColumn("entry_seen", F.lit(True)).unionByName(first)
 
 
-def _corrections(root: str, version: int, fresh: DataFrame, late: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """What the late reports take back (``sign`` -1) and add (1)."""
-    spark = late.sparkSession
+def _slices(fresh: DataFrame, late: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """``key, day, settled``: days of vessels to be read for the late reports, and whether their changes may differ."""
     touched = late.select(key, "day").distinct()
     mine = known.select(F.col(key).alias("_key"), F.col("days").alias("_days"))
     more = fresh.unionByName(late).groupBy(F.col(key).alias("_new")).agg(F.collect_set("day").alias("_more"))
     placed = touched.join(mine, F.col(key).eqNullSafe(F.col("_key")), "left").join(more, F.col(key).eqNullSafe(F.col("_new")), "left")
     none = F.array().cast(NO_DAYS)
     days = F.array_union(F.coalesce("_days", none), F.coalesce("_more", none))
-    around = placed.select(
-        key,
-        "day",
-        F.array_max(F.filter(days, lambda d: d < F.col("day"))).alias("before"),
-        F.array_min(F.filter(days, lambda d: d > F.col("day"))).alias("after"),
-    )
+    before = F.array_max(F.filter(days, lambda d: d < F.col("day")))
+    after = F.array_min(F.filter(days, lambda d: d > F.col("day")))
     # on the day after, only its first report has another predecessor; of the day before only the last report counts
-    settled = around.select(key, "day").union(around.select(key, "after")).filter("day IS NOT NULL").distinct()
-    needed = settled.union(around.select(key, "before")).filter("day IS NOT NULL").distinct()
+    own = [F.struct(d.alias("day"), F.lit(s).alias("settled")) for d, s in ((F.col("day"), True), (after, True), (before, False))]
+    around = placed.select(key, F.explode(F.array(*own)).alias("_slice")).select(key, "_slice.*")
+    return around.filter("day IS NOT NULL").groupBy(key, "day").agg(F.max("settled").alias("settled"))
+
+
+def _corrections(root: str, version: int, fresh: DataFrame, late: DataFrame, slices: DataFrame, key: str) -> DataFrame:
+    """What the late reports take back (``sign`` -1) and add (1).
+
+    Both sequences, without and with them, are worked out in one pass, each vessel being there once for each.
+    """
+    spark = late.sparkSession
     # literal dates prune the scan; there are no more of them than days of history
-    dates = [r[0] for r in needed.select("day").distinct().collect()]
+    dates = [r[0] for r in slices.select("day").distinct().collect()]
     schema = StructType(list(late.schema.fields)).add("load", "string")
     history = read_table(spark, f"{root}/reports", schema).filter(F.col("day").isin(dates) & (F.col("load") < _load(version)))
-    old = _meeting(history.select(*late.columns), needed, key).unionByName(_meeting(fresh, needed, key))
-
-    def changes(rows: DataFrame) -> DataFrame:
-        found = port_changes(port_states(rows, key, "tie"), key)
-        return _meeting(found.withColumn("day", F.to_date("timestamp")), settled, key).drop("day")
-
-    was, now = changes(old), changes(old.unionByName(late))
-    return was.exceptAll(now).withColumn("sign", F.lit(-1)).unionByName(now.exceptAll(was).withColumn("sign", F.lit(1)))
+    both, only_now = F.array(F.lit(False), F.lit(True)), F.array(F.lit(True))
+    old = _meeting(history.select(*late.columns).unionByName(fresh), slices, key).withColumn("_now", F.explode(both))
+    rows = old.unionByName(late.withColumn("_now", F.explode(only_now)))
+    rows = rows.withColumn("_side", F.struct("_now", F.col(key).alias("vessel"))).drop(key)
+    found = port_changes(port_states(rows, "_side", "tie"), "_side")
+    found = found.select(F.col("_side.vessel").alias(key), "timestamp", "event", "entry_seen", "_side._now", F.to_date("timestamp").alias("day"))
+    # an instant has one state, so a change is there once on a side at most
+    sign = F.sum(F.when(F.col("_now"), 1).otherwise(-1)).cast("int").alias("sign")
+    changes = _meeting(found, slices.filter("settled"), key)
+    return changes.groupBy(key, "timestamp", "event", "entry_seen").agg(sign).filter("sign <> 0")
 
 
 def start_movements(
@@ -134,18 +140,22 @@ def start_movements(
 
     def handle(batch: DataFrame, version: int) -> None:
         spark = batch.sparkSession
-        reports = _reports(batch, key, tie).persist()
+        reports = _reports(batch, key, tie)
+        known = read_snapshot(spark, f"{root}/state", _states(reports, key).schema, version - 1)
+        ages = known.select(F.col(key).alias("_key"), F.col("timestamp").alias("_known"))
+        # a vessel has one state at most, so reports stay as they are
+        aged = reports.join(ages, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key").persist()
+        slices = None
         try:
+            reports = aged.drop("_known")
             states = _states(reports, key)
-            known = read_snapshot(spark, f"{root}/state", states.schema, version - 1)
-            ages = known.select(F.col(key).alias("_key"), F.col("timestamp").alias("_known"))
-            aged = reports.join(ages, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
             is_late = F.coalesce(F.col("timestamp") <= F.col("_known"), F.lit(False))
             fresh, late = aged.filter(~is_late), aged.filter(is_late).drop("_known")
             delta = _continued(fresh, known, key).withColumn("sign", F.lit(1))
             if not late.isEmpty():
-                delta = delta.unionByName(_corrections(root, version, fresh.drop("_known"), late, known, key))
-            write_load(reports, f"{root}/reports", "parquet", _load(version), "day")
+                slices = _slices(fresh.drop("_known"), late, known, key).persist()
+                delta = delta.unionByName(_corrections(root, version, fresh.drop("_known"), late, slices, key))
+            write_load(reports.hint("rebalance", "day"), f"{root}/reports", "parquet", _load(version), "day")
             save_version(delta, f"{root}/changes", version)
             delta = spark.read.schema(delta.schema).parquet(version_path(f"{root}/changes", version))
             upsert(delta, f"{root}/events", version, [key], lambda a, b: _net(a, b, key), buckets, retain, standing)
@@ -155,7 +165,9 @@ def start_movements(
                 write_version(stays.withColumn("bucket", bucket_of([key], buckets)), f"{root}/stays", version, buckets, rewritten, retain)
             upsert(states, f"{root}/state", version, [key], lambda a, b: _later(a, b, key), buckets, retain)
         finally:
-            reports.unpersist()
+            aged.unpersist()
+            if slices is not None:
+                slices.unpersist()
 
     return start(silver, handle, checkpoint, "append", every)
 
