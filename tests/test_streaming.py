@@ -113,6 +113,35 @@ def test_movements_in_order_and_restart(spark, sf, landing, tmp_path):
     assert same(movements.read_stays(spark, root), visits.port_visits(batch))
 
 
+@pytest.mark.parametrize("how", [{}, {"shuffled": True}])
+def test_a_step_is_one_micro_batch(spark, sf, tmp_path, how):
+    """However many files the table and its steps have; a late batch works out its days in one pass."""
+    table = str(tmp_path / "table")
+    fixture.read_events(spark, sf).repartition(8).write.parquet(f"{table}/events.parquet")
+    events = fixture.stream_events(spark, table, str(tmp_path / "landing"), file_rows=100, **how)
+    assert len(readers.found_paths(spark, str(tmp_path / "landing/*.parquet"))) >= 4 * 2
+    root = str(tmp_path / "out")
+    movements.start_movements(clean.to_silver(fixture.as_positions(events)), root, str(tmp_path / "c"), tie="event_id", every=None).awaitTermination()
+    assert len(readers.found_paths(spark, f"{root}/changes/v=*")) == 4
+    batch = fixture.silver(spark, sf)
+    assert same(movements.read_transitions(spark, root), visits.port_transitions(batch, tie="event_id"))
+    assert same(movements.read_stays(spark, root), visits.port_visits(batch, tie="event_id"))
+
+
+def test_history_is_scanned_once(spark, tmp_path):
+    t0, root = datetime(2024, 1, 1), str(tmp_path)
+    follow(spark, [[("A", t0 + timedelta(hours=h), h % 3 == 0, 0) for h in range(60)]], root)
+    late = movements._reports(spark.createDataFrame([("A", t0 + timedelta(hours=30, minutes=5), True, 0)], REPORT), "ship_name", "place")
+    known = snapshots.read_snapshot(spark, f"{root}/out/state", movements._states(late, "ship_name").schema)
+    slices = movements._slices(late.limit(0), late, known, "ship_name").persist()
+    assert {(r["day"].day, r["settled"]) for r in slices.collect()} == {(1, False), (2, True), (3, True)}
+    delta = movements._corrections(f"{root}/out", 1, late.limit(0), late, slices, "ship_name")
+    plan = delta._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation [" in line and "load#" in line for line in plan.splitlines()) == 1
+    # inside from 30:00 to 31:00 anyway, so nothing differs
+    assert delta.count() == 0
+
+
 def test_late_reports_by_hand(spark, tmp_path):
     """Between two states, before the first report, across days, at the very time of another report."""
     t0 = datetime(2024, 1, 1)

@@ -6,6 +6,8 @@ one position; some get missing, zero, out-of-range or odd values on purpose.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ from wakeline.operators.normalize import CLASS_A, CLASS_B
 EVENTS = (
     "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 )
+#: Rows of a file that is landed for a stream, about.
+FILE_ROWS = 250_000
 
 # Valid in Spark SQL and in other ANSI engines alike, so that a check can reuse them.
 POSITION_EXPRESSIONS = {
@@ -47,17 +51,20 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(
-    spark: SparkSession, sf_dir: str, folder: str, parts: int = 4, again: bool = False, closing: bool = False, shuffled: bool = False
+    spark: SparkSession, sf_dir: str, folder: str, parts: int = 4, again: bool = False, closing: bool = False, shuffled: bool = False,
+    file_rows: int = FILE_ROWS,
 ) -> DataFrame:
-    """All events as a stream of at least ``parts`` micro-batches, in order of ``event_id``.
+    """All events as a stream of ``parts`` micro-batches, in order of ``event_id``.
 
-    They are landed in ``folder`` in that many steps. ``again`` lands the first part
+    They are landed in ``folder`` in that many steps, of which each is a micro-batch: all steps have the same
+    number of files, set by the size of the table, and a trigger takes that many. ``again`` lands the first part
     once more at the end, late and repeated; ``closing`` adds one event a day after
     the newest, so that every window before it closes. ``shuffled`` deals events out regardless of
     their time, so that most of them arrive late.
     """
     events = read_events(spark, sf_dir)
-    low, high, newest = events.agg(F.min("event_id"), F.max("event_id"), F.max("ts")).first()
+    low, high, newest, rows = events.agg(F.min("event_id"), F.max("event_id"), F.max("ts"), F.count("*")).first()
+    files = max(1, ceil(rows / parts / file_rows))
     bounds = [low + (high + 1 - low) * i // parts for i in range(parts + 1)]
     steps = [events.filter((F.col("event_id") >= a) & (F.col("event_id") < b)) for a, b in zip(bounds, bounds[1:], strict=False)]
     if shuffled:
@@ -67,8 +74,8 @@ def stream_events(
     if closing:
         steps.append(events.filter(F.col("event_id") == low + 1).withColumn("ts", F.lit(newest) + F.make_dt_interval(days=F.lit(1))))
     for step in steps:
-        step.write.mode("append").parquet(folder)
-    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(folder)
+        step.repartition(files).write.mode("append").parquet(folder)
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def as_positions(events: DataFrame) -> DataFrame:
