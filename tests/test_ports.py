@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wakeline.functions.geo import in_polygon_column
 from wakeline.operators import cells
-from wakeline.operators.ports import assign_ports, nearest_index, nearest_ports
+from wakeline.operators.ports import _with_lists, assign_ports, nearest_index, nearest_ports
 from wakeline.session import checkpointed
 
 PORTS = [
@@ -168,6 +168,25 @@ def test_a_cell_lists_few_ports(spark):
     assert max(r["n"] for r in listed) <= 30 < len(HARBOURS) / 2 and len(listed) < 2000
 
 
+def test_long_lists_are_shuffled_once(spark):
+    """Lists too large to broadcast meet the positions in one join, however many levels cells are of."""
+    rng = random.Random(4)
+    spots = [(i, 28 + rng.random() / 5, -15.4 + rng.random() / 4) for i in range(800)] + [(1000 + i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(200)]
+    df = spark.createDataFrame([*spots, (-1, None, 1.0)], "id INT, lat DOUBLE, lon DOUBLE")
+    ports = spark.createDataFrame(HARBOURS, "port STRING, lat DOUBLE, lon DOUBLE")
+    cells = nearest_index(ports, df, 3, candidates=5, crowd=20).cache()
+    n, held, rows = cells.agg(F.count("*"), F.sum(F.size("held")), F.sum("rows")).first()
+    assert n < held and rows == 1000 and cells.select("level").distinct().count() > 1
+    found = nearest_ports(df, ports, 3, candidates=5, crowd=20, broadcast_weight=n)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") == 1
+    # copies of a list follow the positions of its cell and are no more rows of the answer
+    parted = _with_lists(df, cells, n, part_rows=7)
+    assert parted.count() == 1001
+    few = parted.select("id", F.size("_held").alias("n")).exceptAll(_with_lists(df, cells, n).select("id", F.size("_held")))
+    assert few.count() == 0 and found.exceptAll(nearest_ports(df, ports, 3, candidates=5, crowd=20)).count() == 0
+
+
 def test_no_ports_at_all(spark):
     df = spark.createDataFrame([(1, 1.0, 1.0)], "id INT, lat DOUBLE, lon DOUBLE")
     none = spark.createDataFrame([], "port STRING, lat DOUBLE, lon DOUBLE")

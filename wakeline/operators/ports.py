@@ -11,6 +11,7 @@ from wakeline.functions.geo import EARTH_RADIUS_KM, haversine_km
 from wakeline.operators.cells import (
     BROADCAST_WEIGHT, REFINE, SPLIT, STEP, cell_number, cell_size, contains, cover, weight_of, with_cells,
 )
+from wakeline.operators.lookup import SALTS
 from wakeline.session import checkpointed
 
 #: Added to every bound on a distance, far above rounding and far below any distance that counts.
@@ -19,6 +20,8 @@ MARGIN_KM = 1e-6
 #: and one in which very many may be in any case, down to squares of 2.4 km.
 CANDIDATES, CROWD, MANY = 24, 512, 4096
 SMALLEST = 14
+#: So many positions at most share one copy of a cell's list where lists are shuffled.
+PART_ROWS = 10_000
 CELL = ["level", "cy", "cx"]
 
 
@@ -88,8 +91,8 @@ def _upwards(occupied: DataFrame, level: int) -> DataFrame:
 def nearest_index(
     ports: DataFrame, positions: DataFrame, k: int = 1, within_km: float | None = None, candidates: int = CANDIDATES, crowd: int = CROWD
 ) -> DataFrame:
-    """Cells that hold all positions, each with the ports (``port, lat, lon``) that can be among
-    the ``k`` nearest of a point in it.
+    """Cells that hold all positions, each with its number of these (``rows``) and the ports (``port, lat, lon``)
+    that can be among the ``k`` nearest of a point in it. No two cells overlap.
 
     It starts with a quarter of the globe and splits cells of more than ``candidates`` ports and ``crowd``
     positions, and in any case those of very many ports; cells without positions are
@@ -120,7 +123,31 @@ def nearest_index(
         parts = parts.withColumn("cx", F.explode(F.transform(offsets, lambda i: F.col("cx") * SPLIT + i)))
         pairs = parts.join(_upwards(occupied, level + STEP), CELL)
     held = F.collect_list(F.struct("port", "lat", "lon")).alias("held")
-    return reduce(DataFrame.unionByName, done).groupBy(*CELL).agg(held)
+    return reduce(DataFrame.unionByName, done).groupBy(*CELL).agg(F.first("rows").alias("rows"), held)
+
+
+def _with_lists(positions: DataFrame, cells: DataFrame, broadcast_weight: int, part_rows: int = PART_ROWS) -> DataFrame:
+    """``positions`` with ``_held``, what the cell around each of them lists.
+
+    Lists are broadcast if all of them together are small. Otherwise only the names of the cells are looked up,
+    and one join by name brings positions and lists together: each is shuffled once, a list in as many
+    copies as its cell has parts of ``part_rows`` positions.
+    """
+    if (cells.agg(F.sum(F.size("held"))).first()[0] or 0) <= broadcast_weight:
+        return with_cells(positions, cells, "_held", broadcast_weight=broadcast_weight)
+    parted = cells.withColumn("parts", F.ceil(F.col("rows") / part_rows))
+    names = parted.select(*CELL, F.array(F.struct(*CELL, "parts")).alias("held"))
+    placed = with_cells(positions, names, "_cell", broadcast_weight=broadcast_weight).withColumn("_cell", F.get("_cell", F.lit(0)))
+    # positions outside all cells find no list, but are spread over tasks as well
+    parts = F.coalesce("_cell.parts", F.lit(SALTS).cast("long"))
+    placed = placed.withColumn("_part", F.pmod(F.xxhash64(*positions.columns, F.spark_partition_id()), parts))
+    lists = parted.select(
+        *[F.col(c).alias(f"_{c}") for c in CELL], F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("_copy"), F.col("held").alias("_held")
+    )
+    match = F.col("_part") == F.col("_copy")
+    for c in CELL:
+        match = match & (F.col(f"_cell.{c}") == F.col(f"_{c}"))
+    return placed.join(lists, match, "left").select(*positions.columns, "_held")
 
 
 def nearest_ports(
@@ -141,7 +168,7 @@ def nearest_ports(
     """
     cells = checkpointed(nearest_index(ports, positions, k, within_km, candidates, crowd))
     lat, lon = F.col("lat"), F.col("lon")
-    found = with_cells(positions, cells, "_held", broadcast_weight=broadcast_weight)
+    found = _with_lists(positions, cells, broadcast_weight)
     measured = F.transform("_held", lambda p: F.struct(haversine_km(lat, lon, p["lat"], p["lon"]).alias("km"), p["port"].alias("port")))
     near = F.slice(F.sort_array(measured), 1, k)
     if within_km is not None:
